@@ -59,7 +59,7 @@ def _runs(spark, sf) -> DataFrame:
 
 
 def _window(spark, sf) -> DataFrame:
-    return calendar.days_of_runs(_runs(spark, sf)).select("date")
+    return calendar.days_of_runs(_runs(spark, sf))
 
 
 # --- sources and sinks ------------------------------------------------------------------------
@@ -160,7 +160,9 @@ def pending_dates(spark, sf):
 
 @query
 def missing_dates(spark, sf):
-    return calendar.missing_dates(_window(spark, sf), view(spark, sf, "points_obs"))
+    points = view(spark, sf, "points").select("point_id", "province")
+    observed = view(spark, sf, "points_obs").join(points, "point_id")
+    return calendar.missing_dates(points, observed, RUN_DATE)
 
 
 @query
@@ -248,14 +250,17 @@ def _gridded(spark, sf) -> DataFrame:
     return weather.weather_on_grid(view(spark, sf, "weather"), GRID)
 
 
+def _total(name: str) -> Column:
+    return F.aggregate("meteo", F.lit(0.0), lambda s, m: s + F.coalesce(m[name], F.lit(0.0)))
+
+
 def _list_summary(df: DataFrame, *keys: str) -> DataFrame:
     """Nested lists as numbers: rows, known values and totals."""
     return df.select(
         *keys,
-        F.coalesce(F.size("meteo"), F.lit(0)).alias("n_rows"),
-        F.size(F.filter("meteo", lambda m: m["Precipitation"].isNotNull())).alias("n_known"),
-        *[F.aggregate("meteo", F.lit(0.0), lambda s, m, v=v: s + F.coalesce(m[v], F.lit(0.0))).alias(f"sum_{v}")
-          for v in WEATHER_VARS],
+        F.coalesce(F.size("meteo"), F.lit(0)).cast("bigint").alias("n_rows"),
+        F.size(F.filter("meteo", lambda m: m["Precipitation"].isNotNull())).cast("bigint").alias("n_known"),
+        *[_total(v).alias(f"sum_{v}") for v in WEATHER_VARS],
     )
 
 
@@ -288,7 +293,8 @@ def weather_semi(spark, sf):
 
 @query
 def cells_without_weather(spark, sf):
-    return weather.cells_without_weather(_placed(spark, sf), _gridded(spark, sf))
+    lacking = weather.cells_without_weather(_placed(spark, sf), _gridded(spark, sf), _days())
+    return lacking.select(_whole("cell"), "dates")
 
 
 @query

@@ -14,16 +14,16 @@ def window_bounds(run_date: dt.date) -> tuple[dt.date, dt.date]:
     return run_date - dt.timedelta(WINDOW_OLDEST), run_date - dt.timedelta(WINDOW_NEWEST)
 
 
-def days_of_runs(runs: DataFrame) -> DataFrame:
+def days_of_runs(runs: DataFrame, *carried: str) -> DataFrame:
     """The 381 days each run of ``runs`` (run_date) covers."""
     run = F.col("run_date")
     days = F.sequence(F.date_sub(run, WINDOW_OLDEST), F.date_sub(run, WINDOW_NEWEST))
-    return runs.select("run_date", F.explode(days).alias("date"))
+    return runs.select(*carried, F.explode(days).alias("date"))
 
 
 def date_window(spark: SparkSession, run_date: dt.date) -> DataFrame:
     """The days one run covers."""
-    return days_of_runs(spark.range(1).select(F.lit(run_date).alias("run_date"))).select("date")
+    return days_of_runs(spark.range(1).select(F.lit(run_date).alias("run_date")))
 
 
 def pending_dates(window: DataFrame, processed: DataFrame) -> DataFrame:
@@ -31,9 +31,16 @@ def pending_dates(window: DataFrame, processed: DataFrame) -> DataFrame:
     return window.join(processed.select("date").distinct(), "date", "left_anti")
 
 
-def missing_dates(window: DataFrame, observed: DataFrame) -> DataFrame:
-    """Days of the window for which a source holds no row at all."""
-    return window.join(observed.select("date").distinct(), "date", "left_anti")
+def missing_dates(points: DataFrame, observed: DataFrame, run_date: dt.date) -> DataFrame:
+    """(province, date) of the window for which a source holds no row at all.
+
+    Every province is expected on every day.
+    """
+    first, last = window_bounds(run_date)
+    expected = points.select("province").distinct().withColumn(
+        "date", F.explode(F.sequence(F.lit(first), F.lit(last)))
+    )
+    return expected.join(observed.select("province", "date").distinct(), ["province", "date"], "left_anti")
 
 
 def window_retention(df: DataFrame, run_date: dt.date, column: str = "date") -> DataFrame:

@@ -71,10 +71,14 @@ def weather_semi(weather: DataFrame, points: DataFrame) -> DataFrame:
     return weather.join(small_side(cells), "cell", "left_semi")
 
 
-def cells_without_weather(points: DataFrame, weather: DataFrame) -> DataFrame:
-    """Cells that hold a point but no weather row."""
-    cells = points.select("cell").where(F.col("cell").isNotNull()).distinct()
-    return cells.join(weather.select("cell").distinct(), "cell", "left_anti")
+def cells_without_weather(points: DataFrame, weather: DataFrame, dates: Column) -> DataFrame:
+    """(cell, day) of cells that hold a point but no weather on one of ``dates`` (an array).
+
+    Cells are made distinct first, so points sharing a cell count once. Points
+    outside the grid share the NULL cell, which never has weather.
+    """
+    wanted = points.select("cell").distinct().withColumn("dates", F.explode(dates))
+    return wanted.join(weather.select("cell", "dates").distinct(), ["cell", "dates"], "left_anti")
 
 
 def _record(variables=WEATHER_VARS, date: str = "dates") -> Column:
@@ -110,19 +114,13 @@ def weather_nest(
 
 
 def weather_gap_fill(points: DataFrame, nested: DataFrame, dates: Column) -> DataFrame:
-    """``nested`` plus one all-NULL record for every day of a point's cell without weather.
-
-    ``dates`` is an array of the days in question. Cells are made distinct
-    first, so points sharing a cell share its filler. Points outside the grid
-    share the filler of the NULL cell.
-    """
-    wanted = points.select("cell").distinct().withColumn("dates", F.explode(dates))
+    """``nested`` plus one all-NULL record for every day of a point's cell without weather."""
     filler = F.struct(
         F.col("dates").alias("dates"), *[F.lit(None).cast("double").alias(v) for v in WEATHER_VARS]
     )
-    missing = wanted.join(
-        nested.select("cell", "dates").distinct(), ["cell", "dates"], "left_anti"
-    ).select("cell", "dates", F.lit(0).cast("bigint").alias("part"), F.array(filler).alias("meteo"))
+    missing = cells_without_weather(points, nested, dates).select(
+        "cell", "dates", F.lit(0).cast("bigint").alias("part"), F.array(filler).alias("meteo")
+    )
     return nested.unionByName(missing)
 
 
