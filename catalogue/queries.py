@@ -406,9 +406,9 @@ def daily_means_filter(spark, sf):
 
 @query
 def wkt_rings(spark, sf):
-    shaped = polygons(spark, sf).withColumn("rings", rings_from_wkt(F.col("wkt")))
-    return shaped.select(
-        "admin_level", "polygon_id", wkt_from_rings(F.col("rings")).alias("wkt"), F.posexplode("rings")
+    shaped = polygons(spark, sf).selectExpr("*", f"{rings_from_wkt('wkt')} AS rings")
+    return shaped.selectExpr(
+        "admin_level", "polygon_id", f"{wkt_from_rings('rings')} AS wkt", "posexplode(rings)"
     ).select(
         "admin_level", "polygon_id", "wkt", F.col("pos").alias("ring"), F.size("col").alias("n_vertices"),
         F.aggregate("col", F.lit(0.0), lambda s, p: s + p["x"]).alias("sum_x"),
@@ -424,8 +424,7 @@ def _coarse(spark, sf) -> DataFrame:
 
 def _pixels(spark, sf) -> DataFrame:
     scaled = raster.scaled_layers(_coarse(spark, sf))
-    long = raster.unpivot_vars(scaled, ["date", "row", "col"])
-    return raster.coloured(long, raster.var_ranges(scaled))
+    return raster.coloured(raster.unpivot_vars(scaled, ["date", "row", "col"]))
 
 
 @query

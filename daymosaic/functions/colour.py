@@ -43,16 +43,30 @@ def hex_to_lab(colour: str) -> tuple[float, float, float]:
     return 116 * f[1] - 16, 500 * (f[0] - f[1]), 200 * (f[1] - f[2])
 
 
-def _literals(values) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+def _array(values) -> str:
+    return "array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")"
 
 
-def ramp_position(value: Column, low: Column, high: Column, var: Column) -> Column:
+def _between_anchors(anchors) -> str:
+    start = f"element_at({_array(anchors)}, _seg)"
+    return f"{start} + (element_at({_array(anchors)}, _seg + 1) - {start}) * _w"
+
+
+def _tristimulus(f: str, white: float) -> str:
+    cube = f"{f} * {f} * {f}"
+    return f"{white!r}D * CASE WHEN {cube} > {LAB_EPSILON!r}D THEN {cube} ELSE (116D * {f} - 16D) / {LAB_KAPPA!r}D END"
+
+
+def _byte_hex(c: str) -> str:
+    gamma = f"CASE WHEN {c} <= 0.0031308D THEN {c} * 12.92D ELSE 1.055D * pow({c}, {1 / 2.4!r}D) - 0.055D END"
+    return f"lpad(hex(CAST(round(greatest(0D, least(1D, {gamma})) * 255D) AS BIGINT)), 2, '0')"
+
+
+def ramp_position(value: str, low: str, high: str, var: str) -> str:
     """Place in [0, 1] of the ramp; reversed variables run the other way."""
-    share = F.when(high == low, F.lit(0.5)).otherwise(
-        (value - low) / F.when(high != low, high - low)
-    )
-    return F.when(var.isin(*REVERSED_RAMPS), F.lit(1.0) - share).otherwise(share)
+    share = f"CASE WHEN {high} = {low} THEN 0.5D ELSE ({value} - {low}) / nullif({high} - {low}, 0D) END"
+    reversed_vars = ", ".join(f"'{v}'" for v in REVERSED_RAMPS)
+    return f"CASE WHEN {var} IN ({reversed_vars}) THEN 1D - ({share}) ELSE {share} END"
 
 
 def with_colour(df: DataFrame, value: str, low: str, high: str, var: str, out: str) -> DataFrame:
@@ -61,57 +75,29 @@ def with_colour(df: DataFrame, value: str, low: str, high: str, var: str, out: s
     Variable ``Psi`` uses its own break points. A missing value gets the
     transparent colour.
     """
-    keep = df.columns
     lab = list(zip(*[hex_to_lab(c) for c in RAMP_COLOURS]))
-    breaks = F.when(F.col(var) == "Psi", _literals(PSI_BREAKS)).otherwise(_literals(EVEN_BREAKS))
-
-    df = df.withColumn("_t", ramp_position(F.col(value), F.col(low), F.col(high), F.col(var)))
-    df = df.withColumn("_breaks", breaks)
-    # segment 1..8: the last break not beyond the position
-    seg = F.lit(1)
-    for k in range(2, len(RAMP_COLOURS)):
-        seg = seg + (F.col("_t") >= F.element_at("_breaks", k)).cast("int")
-    df = df.withColumn("_seg", seg)
-    at = F.element_at("_breaks", F.col("_seg"))
-    df = df.withColumn("_w", (F.col("_t") - at) / (F.element_at("_breaks", F.col("_seg") + 1) - at))
-    for name, anchors in zip(("_l", "_a", "_b"), lab):
-        start = F.element_at(_literals(anchors), F.col("_seg"))
-        stop = F.element_at(_literals(anchors), F.col("_seg") + 1)
-        df = df.withColumn(name, start + (stop - start) * F.col("_w"))
-    df = df.withColumn("_fy", (F.col("_l") + 16) / F.lit(116.0))
-    df = df.withColumns({
-        "_fx": F.col("_fy") + F.col("_a") / F.lit(500.0),
-        "_fz": F.col("_fy") - F.col("_b") / F.lit(200.0),
-    })
-
-    def tristimulus(f: Column, white: float) -> Column:
-        cube = f * f * f
-        small = (F.lit(116.0) * f - 16) / F.lit(LAB_KAPPA)
-        return F.lit(white) * F.when(cube > LAB_EPSILON, cube).otherwise(small)
-
-    df = df.withColumns({
-        "_x": tristimulus(F.col("_fx"), WHITE[0]),
-        "_y": tristimulus(F.col("_fy"), WHITE[1]),
-        "_z": tristimulus(F.col("_fz"), WHITE[2]),
-    })
-    df = df.withColumns({
-        name: F.lit(m[0]) * F.col("_x") + F.lit(m[1]) * F.col("_y") + F.lit(m[2]) * F.col("_z")
-        for name, m in zip(("_lr", "_lg", "_lb"), XYZ_TO_RGB)
-    })
-
-    def byte_hex(c: Column) -> Column:
-        gamma = F.when(c <= 0.0031308, c * 12.92).otherwise(
-            F.lit(1.055) * F.pow(F.greatest(c, F.lit(0.0)), F.lit(1 / 2.4)) - 0.055
-        )
-        level = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), gamma)) * 255)
-        return F.lpad(F.hex(level.cast("bigint")), 2, "0")
-
-    known = F.col("_t").isNotNull() & ~F.isnan("_t")
-    df = df.withColumn(
-        out,
-        F.when(known, F.concat(F.lit("#"), byte_hex(F.col("_lr")), byte_hex(F.col("_lg")), byte_hex(F.col("_lb"))))
-        .otherwise(F.lit(MISSING_COLOUR)),
+    # segment 1..8: one more than the number of inner breaks not beyond the position
+    segment = " + ".join(
+        ["1"] + [f"CAST(_t >= element_at(_breaks, {k}) AS INT)" for k in range(2, len(RAMP_COLOURS))]
     )
+    colour = " || ".join(["'#'"] + [_byte_hex(c) for c in ("_lr", "_lg", "_lb")])
+    stages = [
+        {"_t": ramp_position(value, low, high, var)},
+        {"_breaks": f"CASE WHEN {var} = 'Psi' THEN {_array(PSI_BREAKS)} ELSE {_array(EVEN_BREAKS)} END"},
+        {"_seg": segment},
+        {"_w": "(_t - element_at(_breaks, _seg)) / (element_at(_breaks, _seg + 1) - element_at(_breaks, _seg))"},
+        {name: _between_anchors(anchors) for name, anchors in zip(("_l", "_a", "_b"), lab)},
+        {"_fy": "(_l + 16D) / 116D", "_fx": "(_l + 16D) / 116D + _a / 500D", "_fz": "(_l + 16D) / 116D - _b / 200D"},
+        {name: _tristimulus(f, white) for name, f, white in zip(("_x", "_y", "_z"), ("_fx", "_fy", "_fz"), WHITE)},
+        {
+            name: " + ".join(f"{w!r}D * {c}" for w, c in zip(weights, ("_x", "_y", "_z")))
+            for name, weights in zip(("_lr", "_lg", "_lb"), XYZ_TO_RGB)
+        },
+        {out: f"CASE WHEN _t IS NOT NULL AND NOT isnan(_t) THEN {colour} ELSE '{MISSING_COLOUR}' END"},
+    ]
+    keep = df.columns
+    for stage in stages:
+        df = df.selectExpr("*", *[f"{e} AS {name}" for name, e in stage.items()])
     return df.select(*keep, out)
 
 

@@ -1,80 +1,59 @@
-"""Polygon boundaries as arrays: WKT text, edges, and the point-in-polygon test."""
+"""Polygon boundaries as arrays: WKT text, edges, and the point-in-polygon test.
 
-from __future__ import annotations
+The expressions are SQL text, where array functions with nested lambdas read
+most plainly. Arguments are SQL expressions too.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 
-def rings_from_wkt(wkt: Column) -> Column:
+def rings_from_wkt(wkt: str) -> str:
     """Rings of a POLYGON or MULTIPOLYGON text, all parts in one list."""
-    texts = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
-
-    def vertex(text: Column) -> Column:
-        xy = F.split(F.trim(text), r"\s+")
-        return F.struct(
-            F.element_at(xy, 1).cast("double").alias("x"),
-            F.element_at(xy, 2).cast("double").alias("y"),
-        )
-
-    return F.transform(texts, lambda ring: F.transform(F.split(ring, ","), vertex))
+    return (
+        f"transform(regexp_extract_all({wkt}, r'\\(([^()]+)\\)', 1), ring -> "
+        "transform(transform(split(ring, ','), v -> split(trim(v), ' +')), xy -> "
+        "named_struct('x', CAST(xy[0] AS DOUBLE), 'y', CAST(xy[1] AS DOUBLE))))"
+    )
 
 
-def wkt_from_rings(rings: Column) -> Column:
+def wkt_from_rings(rings: str) -> str:
     """POLYGON text of one outer ring and its holes."""
-    def ring_text(ring: Column) -> Column:
-        vertices = F.transform(
-            ring, lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))
-        )
-        return F.concat(F.lit("("), F.array_join(vertices, ", "), F.lit(")"))
-
-    return F.concat(F.lit("POLYGON ("), F.array_join(F.transform(rings, ring_text), ", "), F.lit(")"))
+    return (
+        f"concat('POLYGON (', array_join(transform({rings}, ring -> concat('(', "
+        "array_join(transform(ring, p -> concat_ws(' ', CAST(p.x AS STRING), CAST(p.y AS STRING))), ', '), "
+        "')')), ', '), ')')"
+    )
 
 
-def edges_of(rings: Column) -> Column:
+def edges_of(rings: str) -> str:
     """Edges of all rings; every ring repeats its first vertex at the end."""
-    def ring_edges(ring: Column) -> Column:
-        starts = F.slice(ring, F.lit(1), F.size(ring) - 1)
-        return F.transform(
-            starts,
-            lambda p, i: F.struct(
-                p["x"].alias("ax"), p["y"].alias("ay"),
-                F.element_at(ring, i + 2)["x"].alias("bx"),
-                F.element_at(ring, i + 2)["y"].alias("by"),
-            ),
-        )
-
-    return F.flatten(F.transform(F.filter(rings, lambda r: F.size(r) > 1), ring_edges))
+    return (
+        f"flatten(transform({rings}, ring -> zip_with("
+        "slice(ring, 1, greatest(size(ring) - 1, 0)), slice(ring, 2, greatest(size(ring) - 1, 0)), (a, b) -> "
+        "named_struct('ax', a.x, 'ay', a.y, 'bx', b.x, 'by', b.y))))"
+    )
 
 
-def on_edge(e: Column, x: Column, y: Column) -> Column:
-    """The point lies on the edge: no turn, and inside the edge's own box."""
-    turn = (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
+def on_edge(x: str, y: str) -> str:
+    """The point lies on edge ``e``: no turn, and inside the edge's own box."""
     return (
-        (turn == 0)
-        & x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"]))
-        & y.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"]))
+        f"((e.bx - e.ax) * ({y} - e.ay) - (e.by - e.ay) * ({x} - e.ax) = 0"
+        f" AND {x} BETWEEN least(e.ax, e.bx) AND greatest(e.ax, e.bx)"
+        f" AND {y} BETWEEN least(e.ay, e.by) AND greatest(e.ay, e.by))"
     )
 
 
-def crosses_ray(e: Column, x: Column, y: Column) -> Column:
-    """The ray from the point to the right crosses the edge (half-open in y)."""
-    span = e["by"] - e["ay"]
-    crossing = (e["bx"] - e["ax"]) * (y - e["ay"]) / F.when(span != 0, span) + e["ax"]
-    return F.coalesce(((e["ay"] > y) != (e["by"] > y)) & (x < crossing), F.lit(False))
+def crosses_ray(x: str, y: str) -> str:
+    """The ray from the point to the right crosses edge ``e`` (half-open in y)."""
+    return (
+        f"((e.ay > {y}) <> (e.by > {y})"
+        f" AND {x} < (e.bx - e.ax) * ({y} - e.ay) / nullif(e.by - e.ay, 0D) + e.ax)"
+    )
 
 
-def touches(edges: Column, x: Column, y: Column) -> Column:
+def touches(edges: str, x: str, y: str) -> str:
     """The point is inside the polygon or on its boundary (even-odd over all rings)."""
-    border = F.exists(edges, lambda e: on_edge(e, x, y))
-    odd = F.size(F.filter(edges, lambda e: crosses_ray(e, x, y))) % 2 == 1
-    return border | odd
-
-
-def transform_rings(rings: Column, convert) -> Column:
-    """Apply ``convert(x, y) -> (x, y)`` to every vertex."""
-    def vertex(p: Column) -> Column:
-        x, y = convert(p["x"], p["y"])
-        return F.struct(x.alias("x"), y.alias("y"))
-
-    return F.transform(rings, lambda ring: F.transform(ring, vertex))
+    return (
+        f"(exists({edges}, e -> {on_edge(x, y)})"
+        f" OR size(filter({edges}, e -> {crosses_ray(x, y)})) % 2 = 1)"
+    )

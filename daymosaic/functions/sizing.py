@@ -1,32 +1,80 @@
-"""Broadcast decisions backed by a count, and the shared folder for cut lineage."""
+"""Broadcast decisions backed by a measurement, and the shared folder for cut lineage."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: rows a joined side may have to be sent to every executor
-MAX_BROADCAST_ROWS = 2_000_000
+#: bytes a joined side may have to be sent to every executor
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
+ROW_OVERHEAD = 32
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when a count shows that ``df`` has at most ``max_rows`` rows.
 
-    The count is a distributed, column-pruned job over the side in question,
-    which is a dimension (points, polygons, grid cells), never the observations.
+def _fixed_width(dtype: T.DataType) -> int | None:
+    """Bytes of a value of ``dtype``, or None where values differ in length."""
+    if isinstance(dtype, T.StructType):
+        widths = [_fixed_width(f.dataType) for f in dtype.fields]
+        return None if None in widths else 8 + sum(widths)
+    if isinstance(dtype, (T.ArrayType, T.MapType, T.StringType, T.BinaryType)):
+        return None
+    return 8
+
+
+def _bytes_of(c: Column, dtype: T.DataType) -> Column:
+    fixed = _fixed_width(dtype)
+    if fixed is not None:
+        return F.lit(fixed).cast("bigint")
+    if isinstance(dtype, T.ArrayType):
+        element = _fixed_width(dtype.elementType)
+        if element is not None:
+            inner = F.size(c) * element
+        else:
+            inner = F.aggregate(
+                c, F.lit(0).cast("bigint"), lambda s, e: s + _bytes_of(e, dtype.elementType)
+            )
+    elif isinstance(dtype, T.StructType):
+        inner = sum((_bytes_of(c[f.name], f.dataType) for f in dtype.fields), F.lit(0))
+    elif isinstance(dtype, T.MapType):
+        raise TypeError("maps are not measured")
+    else:
+        inner = F.octet_length(c)
+    return F.coalesce(inner.cast("bigint"), F.lit(0).cast("bigint")) + 16
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of ``df`` in memory, by one distributed aggregation over it."""
+    row = F.lit(ROW_OVERHEAD).cast("bigint")
+    for f in df.schema.fields:
+        row = row + _bytes_of(F.col(f"`{f.name}`"), f.dataType)
+    return df.agg(F.sum(row)).first()[0] or 0
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, at_most_rows: int | None = None) -> bool:
+    """True when ``df`` is known, or else measured, to have at most ``max_bytes``.
+
+    ``at_most_rows`` is a bound that follows from the definition of ``df``; with
+    fixed-width columns it can make the measurement unnecessary. What is measured
+    is a dimension (points, polygons, grid cells), never the observations.
     """
-    return df.count() <= max_rows
+    if at_most_rows is not None:
+        widths = [_fixed_width(f.dataType) for f in df.schema.fields]
+        if None not in widths and at_most_rows * (ROW_OVERHEAD + sum(widths)) <= max_bytes:
+            return True
+    return measured_bytes(df) <= max_bytes
 
 
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, at_most_rows: int | None = None) -> DataFrame:
     """``df`` with a broadcast hint if it is small, with a sort-merge hint if it is not.
 
     Beyond the bound both sides are shuffled on the join key and adaptive
     execution splits the partitions of hot keys.
     """
-    return df.hint("broadcast") if fits_broadcast(df, max_rows) else df.hint("merge")
+    return df.hint("broadcast" if fits_broadcast(df, max_bytes, at_most_rows) else "merge")
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import EXTRA_OUTPUTS, INDICATORS
 from daymosaic.functions.missing import (
-    clamp01, is_missing, nan_to_null, ratio_or_nan, ratio_or_null, sum_unless_missing,
+    clamp01, nan_to_null, ratio_or_nan, ratio_or_null, sum_unless_missing,
 )
 from daymosaic.operators.quality import accepted, qc_clean
 
@@ -41,45 +41,51 @@ def water_balance_columns(df: DataFrame, record: str | None = None) -> DataFrame
     })
 
 
-def _fold(layers: Column, term) -> Column:
-    """Sum over an array that is missing as soon as one term is."""
-    return F.aggregate(layers, F.lit(0.0), lambda total, l: total + nan_to_null(term(l)))
+def soil_record(layers: str) -> str:
+    """SQL text that folds an array of soil layers once.
 
+    A sum is NULL as soon as one of its terms is missing (NULL or NaN). The cast
+    declares the fields of the start value nullable, which literals are not.
+    """
+    def term(e: str) -> str:
+        return f"nullif({e}, double('NaN'))"
+
+    return (
+        f"aggregate({layers}, CAST(named_struct('w', 0D, 'fc', 0D, 'theta', 0D, 'span', 0D, 'stored', 0D) AS "
+        "STRUCT<w: DOUBLE, fc: DOUBLE, theta: DOUBLE, span: DOUBLE, stored: DOUBLE>), (s, l) -> "
+        f"named_struct('w', s.w + {term('l.W')}, 'fc', s.fc + {term('l.waterFC')}, "
+        f"'theta', s.theta + {term('l.theta * l.waterFC')}, "
+        f"'span', s.span + {term('l.waterFC - l.waterWP')}, "
+        f"'stored', s.stored + {term('l.W * l.waterFC - l.waterWP')}))"
+    )
 
-def soil_columns(layers: Column) -> dict[str, Column]:
-    """Theta, REW and Psi of an array of soil layers (top layer first)."""
-    fc = _fold(layers, lambda l: l["waterFC"])
-    span = _fold(layers, lambda l: l["waterFC"] - l["waterWP"])
-    stored = _fold(layers, lambda l: l["W"] * l["waterFC"] - l["waterWP"])
-    known = ~F.exists(layers, lambda l: is_missing(l["W"]) | is_missing(l["waterFC"])) & (fc != 0)
-    top = F.element_at(F.array_sort(F.transform(
-        layers, lambda l: F.struct(l["layer"].alias("layer"), l["psi"].alias("psi"))
-    )), F.when(F.size(layers) > 0, F.lit(1)).otherwise(F.lit(None)))
-    theta = _fold(layers, lambda l: l["theta"] * l["waterFC"])
-    return {
-        "Theta": F.when(known, clamp01(ratio_or_null(theta, fc))),
-        "REW": F.when(known, F.lit(100.0) * clamp01(ratio_or_null(stored, span))),
-        "Psi": F.when(known, top["psi"]),
-    }
+
+def top_layer(layers: str) -> str:
+    """SQL text for Psi of the top layer."""
+    return f"array_min(transform({layers}, l -> named_struct('layer', l.layer, 'psi', l.psi))).psi"
 
 
-def cohort_columns(cohorts: Column) -> dict[str, Column]:
-    """DDS and LFMC of an array of cohorts, weighted with leaf area.
+def cohort_record(cohorts: str) -> str:
+    """SQL text that sums an array of cohorts once, leaving out missing terms.
 
-    A cohort leaves the numerator when either factor is missing, but the
-    denominator only when its leaf area is. Without leaf area the result is NaN.
+    A cohort leaves the numerators when either factor is missing, but the
+    denominator only when its leaf area is.
     """
-    cohorts = F.coalesce(cohorts, F.array().cast("array<struct<LAI:double,DDS:double,LFMC:double>>"))
+    def term(e: str) -> str:
+        return f"coalesce(nullif({e}, double('NaN')), 0D)"
+
+    return (
+        f"aggregate({cohorts}, named_struct('lai', 0D, 'dds', 0D, 'lfmc', 0D), (s, c) -> "
+        f"named_struct('lai', s.lai + {term('c.LAI')}, 'dds', s.dds + {term('c.LAI * c.DDS')}, "
+        f"'lfmc', s.lfmc + {term('c.LAI * c.LFMC')}))"
+    )
 
-    def total(term) -> Column:
-        return F.aggregate(
-            cohorts, F.lit(0.0), lambda s, c: s + F.coalesce(nan_to_null(term(c)), F.lit(0.0))
-        )
 
-    lai = total(lambda c: c["LAI"])
+def _soil_outputs(fc: Column, theta: Column, span: Column, stored: Column, psi: Column, known: Column) -> dict[str, Column]:
     return {
-        "DDS": F.lit(100.0) * ratio_or_nan(total(lambda c: c["LAI"] * c["DDS"]), lai),
-        "LFMC": ratio_or_nan(total(lambda c: c["LAI"] * c["LFMC"]), lai),
+        "Theta": F.when(known, clamp01(ratio_or_null(theta, fc))),
+        "REW": F.when(known, F.lit(100.0) * clamp01(ratio_or_null(stored, span))),
+        "Psi": F.when(known, psi),
     }
 
 
@@ -101,12 +107,8 @@ def soil_profile(layers: DataFrame, keys, order: Column) -> DataFrame:
         F.min_by("psi", order).alias("_psi"),
     )
     known = (F.col("_w") == F.col("_n")) & (F.col("_f") == F.col("_n")) & (F.col("_fc") != 0)
-    return sums.select(
-        *keys,
-        F.when(known, clamp01(ratio_or_null(F.col("_theta"), F.col("_fc")))).alias("Theta"),
-        F.when(known, F.lit(100.0) * clamp01(ratio_or_null(F.col("_stored"), F.col("_span")))).alias("REW"),
-        F.when(known, F.col("_psi")).alias("Psi"),
-    )
+    outputs = _soil_outputs(*[F.col(c) for c in ("_fc", "_theta", "_span", "_stored", "_psi")], known)
+    return sums.select(*keys, *[c.alias(name) for name, c in outputs.items()])
 
 
 def cohort_sums(cohorts: DataFrame, keys) -> DataFrame:
@@ -137,11 +139,20 @@ def flatten_results(results: DataFrame, clean: bool = True) -> DataFrame:
     A narrow plan: no shuffle, no Python.
     """
     carried = [c for c in results.columns if c not in ("result", "state", "error")]
-    flat = water_balance_columns(accepted(results), "result.WaterBalance")
+    flat = water_balance_columns(accepted(results), "result.WaterBalance").selectExpr(
+        "*",
+        f"{soil_record('state.soil')} AS _soil",
+        f"{top_layer('state.soil')} AS _psi",
+        f"{cohort_record('result.Plants')} AS _plants",
+    )
+    soil = {c: F.col(f"_soil.{c}") for c in ("w", "fc", "theta", "span", "stored")}
+    known = soil["w"].isNotNull() & soil["fc"].isNotNull() & (soil["fc"] != 0)
+    lai = F.col("_plants.lai")
     flat = flat.withColumns({
         "LAI": F.col("result.Stand.LAIexpanded"),
-        **soil_columns(F.col("state.soil")),
-        **cohort_columns(F.col("result.Plants")),
+        **_soil_outputs(soil["fc"], soil["theta"], soil["span"], soil["stored"], F.col("_psi"), known),
+        "DDS": F.lit(100.0) * ratio_or_nan(F.col("_plants.dds"), lai),
+        "LFMC": ratio_or_nan(F.col("_plants.lfmc"), lai),
         "DFMC": F.col("result.FireHazard.`DFMC [%]`"),
         "SFP": F.col("result.FireHazard.SFP"),
         "CFP": F.col("result.FireHazard.CFP"),

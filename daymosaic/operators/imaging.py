@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import INDICATORS, PALETTE_LABEL, ROUNDING_FACTOR
-from daymosaic.functions.colour import channel
 from daymosaic.functions.text import compact_date
 from daymosaic.operators.raster import coloured, scaled_layers, unpivot_vars, var_ranges
 from daymosaic.schemas import GridSpec
@@ -20,7 +19,7 @@ def image_legend(layers: DataFrame, target: GridSpec, variables=INDICATORS) -> D
     return _describe(var_ranges(scaled_layers(layers, variables), variables), target)
 
 
-def _describe(ranges: DataFrame, target: GridSpec) -> DataFrame:
+def _describe(ranges: DataFrame, target: GridSpec, *more) -> DataFrame:
     scale = F.lit(float(ROUNDING_FACTOR))
     return ranges.select(
         compact_date(F.col("date")).alias("date"), "var",
@@ -28,6 +27,7 @@ def _describe(ranges: DataFrame, target: GridSpec) -> DataFrame:
         F.lit(float(target.xmin)).alias("left_ext"), F.lit(float(target.ymin)).alias("down_ext"),
         F.lit(float(target.xmax)).alias("right_ext"), F.lit(float(target.ymax)).alias("up_ext"),
         (F.col("min_value") / scale).alias("min_value"), (F.col("max_value") / scale).alias("max_value"),
+        *more,
     )
 
 
@@ -39,24 +39,19 @@ def image_table(layers: DataFrame, target: GridSpec, variables=INDICATORS) -> Da
     """
     if target.ncell > MAX_PIXELS:
         raise ValueError(f"an image of {target.ncell} pixels is too large for one task")
-    scaled = scaled_layers(layers, variables)
-    ranges = var_ranges(scaled, variables)
-    pixels = coloured(unpivot_vars(scaled, ["date", "row", "col"], variables), ranges)
-    packed = pixels.select(
-        "date", "var",
+    pixels = coloured(unpivot_vars(scaled_layers(layers, variables), ["date", "row", "col"], variables))
+    known = F.length("colour") == 7
+    images = pixels.select(
+        "date", "var", "min_value", "max_value",
         (F.col("row") * target.ncol + F.col("col")).alias("at"),
-        F.when(
-            F.length("colour") == 7,
-            channel(F.col("colour"), 0) * 65536 + channel(F.col("colour"), 1) * 256 + channel(F.col("colour"), 2),
-        ).otherwise(0xFFFFFF).alias("rgb"),
+        F.when(known, F.conv(F.substring("colour", 2, 6), 16, 10).cast("int")).otherwise(0xFFFFFF).alias("rgb"),
+    ).groupBy("date", "var").applyInPandas(
+        _encoder(target.ncol, target.nrow),
+        "date date, var string, min_value double, max_value double, png binary",
     )
-    images = packed.groupBy("date", "var").applyInPandas(
-        _encoder(target.ncol, target.nrow), "date date, var string, png binary"
-    ).select(
-        compact_date(F.col("date")).alias("date"), "var",
-        F.concat(F.lit("data:image/png;base64,"), F.base64("png")).alias("base64_string"),
-    )
-    return _describe(ranges, target).join(images, ["date", "var"]).select(
+    text = F.concat(F.lit("data:image/png;base64,"), F.base64("png"))
+    described = _describe(images, target, text.alias("base64_string"))
+    return described.select(
         "date", "var", "palette_selected", "base64_string",
         "left_ext", "down_ext", "right_ext", "up_ext", "min_value", "max_value",
     )
@@ -68,7 +63,6 @@ def _encoder(ncol: int, nrow: int):
         import zlib
 
         import numpy as np
-        import pandas as pd
 
         def chunk(kind: bytes, body: bytes) -> bytes:
             return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
@@ -85,6 +79,7 @@ def _encoder(ncol: int, nrow: int):
             chunk(b"IDAT", zlib.compress(lines.tobytes(), 6)),
             chunk(b"IEND", b""),
         ])
-        return pd.DataFrame({"date": [group["date"].iloc[0]], "var": [group["var"].iloc[0]], "png": [png]})
+        first = group.iloc[:1][["date", "var", "min_value", "max_value"]]
+        return first.assign(png=[png])
 
     return encode

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import BLOCK_FACTOR, INDICATORS, ROUNDING_FACTOR
@@ -12,7 +12,7 @@ from daymosaic.functions.colour import with_colour
 from daymosaic.functions.grid import centre_x, centre_y, col_of_cell, row_of_cell
 from daymosaic.functions.missing import mean_skip_missing, nan_to_null
 from daymosaic.functions.projection import to_degrees, to_metres
-from daymosaic.functions.sizing import MAX_BROADCAST_ROWS, small_side
+from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, small_side
 from daymosaic.schemas import GridSpec
 
 
@@ -73,16 +73,25 @@ def var_ranges(layers: DataFrame, variables=INDICATORS) -> DataFrame:
     return wide.select("date", F.inline(rows))
 
 
-def coloured(long: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Add the ramp colour of every (date, var, value) in the domain of its layer."""
-    placed = long.join(small_side(ranges), ["date", "var"])
-    return with_colour(placed, "value", "min_value", "max_value", "var", "colour")
+def coloured(long: DataFrame) -> DataFrame:
+    """Add the range of the layer and the ramp colour to every (date, var, value).
+
+    The range comes from a window over the layer, whose rows are limited by the
+    grid: no second pass over what the layers were made from, and the partitioning
+    is the one images are put together in.
+    """
+    layer = Window.partitionBy("date", "var")
+    value = nan_to_null(F.col("value"))
+    ranged = long.withColumns({
+        "min_value": F.min(value).over(layer), "max_value": F.max(value).over(layer),
+    })
+    return with_colour(ranged, "value", "min_value", "max_value", "var", "colour")
 
 
 def colour_lookup(layers: DataFrame, variables=INDICATORS) -> DataFrame:
     """Colour table: the distinct values of each layer and their colours."""
     values = unpivot_vars(layers, ["date"], variables).distinct()
-    return coloured(values, var_ranges(layers, variables)).select("date", "var", "value", "colour")
+    return coloured(values).select("date", "var", "value", "colour")
 
 
 def cell_lonlat(cells: DataFrame, spec: GridSpec) -> DataFrame:
@@ -139,7 +148,7 @@ def resample_weights(spark: SparkSession, source: GridSpec, target: GridSpec) ->
 
 def grid_resample_bilinear(
     blocks: DataFrame, source: GridSpec, target: GridSpec, variables=INDICATORS,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Layers on ``source`` (date, row, col) resampled to pixels of ``target``.
 
@@ -147,7 +156,7 @@ def grid_resample_bilinear(
     weights table has four rows per pixel of the target grid.
     """
     weights = resample_weights(blocks.sparkSession, source, target)
-    joined = blocks.join(small_side(weights, max_broadcast_rows), ["row", "col"])
+    joined = blocks.join(small_side(weights, max_bytes, at_most_rows=4 * target.ncell), ["row", "col"])
     w = F.col("weight")
 
     def weighted(v: str) -> Column:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import EXCLUDED_PROVINCES, INDICATORS
 from daymosaic.functions.geometry import edges_of, rings_from_wkt, touches
 from daymosaic.functions.missing import mean_skip_missing, nan_to_null
-from daymosaic.functions.sizing import MAX_BROADCAST_ROWS, fits_broadcast, small_side
+from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, fits_broadcast, small_side
 
 
 def admin_polygons_clean(polygons: DataFrame) -> DataFrame:
@@ -37,77 +37,62 @@ def polygon_cover(polygons: DataFrame, cell_sizes: dict[str, float]) -> DataFram
     that share its rows and do not lie wholly to its left. A bucket no edge comes
     near is decided here, once: it is either dropped or marked ``whole``.
     """
-    sizes = F.create_map(*[F.lit(v) for level, size in cell_sizes.items() for v in (level, float(size))])
-    shaped = (
-        polygons.withColumn("_edges", edges_of(rings_from_wkt(F.col("wkt"))))
-        .withColumn("_size", F.coalesce(
-            F.element_at(sizes, F.col("admin_level")),
-            F.raise_error(F.concat(F.lit("no bucket size for level "), F.col("admin_level"))).cast("double"),
-        ))
-        .where(F.size("_edges") > 0)
-    )
-
-    def low(a: str, b: str) -> Column:
-        return F.array_min(F.transform("_edges", lambda e: F.least(e[a], e[b])))
-
-    def high(a: str, b: str) -> Column:
-        return F.array_max(F.transform("_edges", lambda e: F.greatest(e[a], e[b])))
-
-    def buckets(least: Column, most: Column) -> Column:
-        return F.explode(F.sequence(F.floor(least / F.col("_size")), F.floor(most / F.col("_size"))))
-
-    rows = (
-        shaped.withColumn("_gy", buckets(low("ay", "by"), high("ay", "by")))
-        .withColumn("_y0", F.col("_gy") * F.col("_size"))
-        .withColumn("_row", F.filter("_edges", lambda e: (
-            (F.least(e["ay"], e["by"]) <= F.col("_y0") + F.col("_size"))
-            & (F.greatest(e["ay"], e["by"]) >= F.col("_y0"))
-        )))
-        .withColumn("_gx", buckets(low("ax", "bx"), high("ax", "bx")))
-        .withColumn("_x0", F.col("_gx") * F.col("_size"))
-        .withColumn("_ahead", F.filter("_row", lambda e: F.greatest(e["ax"], e["bx"]) >= F.col("_x0")))
-        .withColumn("_near", F.exists("_ahead", lambda e: (
-            F.least(e["ax"], e["bx"]) <= F.col("_x0") + F.col("_size")
-        )))
-    )
-    centre = (F.col("_x0") + F.col("_size") / 2, F.col("_y0") + F.col("_size") / 2)
-    return rows.where(F.col("_near") | touches(F.col("_ahead"), *centre)).select(
-        "admin_level", "polygon_id", "_gx", "_gy",
-        (~F.col("_near")).alias("_whole"),
-        F.when(F.col("_near"), F.col("_ahead")).alias("_edges"),
+    size = "CASE admin_level " + " ".join(
+        f"WHEN '{level}' THEN {float(s)}D" for level, s in cell_sizes.items()
+    ) + " ELSE raise_error(concat('no bucket size for level ', admin_level)) END"
+    return (
+        polygons.selectExpr(
+            "admin_level", "polygon_id", f"CAST({size} AS DOUBLE) AS size", f"{rings_from_wkt('wkt')} AS rings"
+        )
+        .selectExpr("admin_level", "polygon_id", "size", f"{edges_of('rings')} AS edges")
+        .selectExpr(
+            "*",
+            "array_min(transform(edges, e -> least(e.ax, e.bx))) AS xmin",
+            "array_max(transform(edges, e -> greatest(e.ax, e.bx))) AS xmax",
+            "explode(sequence(floor(array_min(transform(edges, e -> least(e.ay, e.by))) / size),"
+            " floor(array_max(transform(edges, e -> greatest(e.ay, e.by))) / size))) AS gy",
+        )
+        .selectExpr(
+            "admin_level", "polygon_id", "size", "gy",
+            "filter(edges, e -> least(e.ay, e.by) <= (gy + 1) * size AND greatest(e.ay, e.by) >= gy * size) AS edges",
+            "explode(sequence(floor(xmin / size), floor(xmax / size))) AS gx",
+        )
+        .selectExpr(
+            "admin_level", "polygon_id", "size", "gx", "gy",
+            "filter(edges, e -> greatest(e.ax, e.bx) >= gx * size) AS edges",
+        )
+        .selectExpr("*", "exists(edges, e -> least(e.ax, e.bx) <= (gx + 1) * size) AS near")
+        .where("near OR " + touches("edges", "((gx + 0.5D) * size)", "((gy + 0.5D) * size)"))
+        .selectExpr(
+            "admin_level", "polygon_id", "gx", "gy", "NOT near AS whole", "CASE WHEN near THEN edges END AS edges"
+        )
     )
 
 
 def locate_points(
     points: DataFrame, polygons: DataFrame, cell_sizes: dict[str, float],
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """(point_id, admin_level, polygon_id) for every polygon a point touches.
 
     Polygons are independent: a point on a shared border is in both. The join is
-    an equality on buckets, broadcast while the cover is counted to be small; the
+    an equality on buckets, broadcast while the cover is measured to be small; the
     exact test runs on the candidates. Points are located once, not once per day.
     """
-    cover = polygon_cover(polygons, cell_sizes)
-    levels = F.array(*[
-        F.struct(F.lit(level).alias("admin_level"), F.lit(float(size)).alias("_size"))
-        for level, size in cell_sizes.items()
-    ])
-    placed = points.select("point_id", "x", "y", F.inline(levels)).select(
-        "point_id", "x", "y", "admin_level",
-        F.floor(F.col("x") / F.col("_size")).alias("_gx"),
-        F.floor(F.col("y") / F.col("_size")).alias("_gy"),
+    cover = small_side(polygon_cover(polygons, cell_sizes), max_bytes)
+    levels = ", ".join(f"named_struct('admin_level', '{level}', 'size', {float(s)}D)" for level, s in cell_sizes.items())
+    placed = points.selectExpr("point_id", "x", "y", f"inline(array({levels}))").selectExpr(
+        "point_id", "x", "y", "admin_level", "floor(x / size) AS gx", "floor(y / size) AS gy"
     )
-    x, y = F.col("x"), F.col("y")
-    candidates = placed.join(small_side(cover, max_broadcast_rows), ["admin_level", "_gx", "_gy"])
-    return candidates.where(F.col("_whole") | touches(F.col("_edges"), x, y)).select(
+    candidates = placed.join(cover, ["admin_level", "gx", "gy"])
+    return candidates.where("whole OR " + touches("edges", "x", "y")).select(
         "point_id", "admin_level", "polygon_id"
     )
 
 
 def poly_daily_means(
     observations: DataFrame, located: DataFrame, polygons: DataFrame,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Mean of each indicator per polygon and day, all levels in one pass.
 
@@ -118,7 +103,7 @@ def poly_daily_means(
     polygons, so a point with very many rows arrives as one row a day.
     """
     keys = ["admin_level", "polygon_id", "date"]
-    if fits_broadcast(located, max_broadcast_rows):
+    if fits_broadcast(located, max_bytes):
         means = (
             observations.select("point_id", "date", *INDICATORS)
             .join(F.broadcast(located), "point_id")

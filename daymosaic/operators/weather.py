@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import HULL_MARGIN, WEATHER_UNUSED, WEATHER_VARS
 from daymosaic.functions.grid import cell_number
-from daymosaic.functions.sizing import MAX_BROADCAST_ROWS, fits_broadcast, small_side
+from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, fits_broadcast, small_side
 from daymosaic.schemas import GridSpec
 
 #: longest list one row may hold; a larger group is split over several rows
@@ -125,7 +125,7 @@ def weather_gap_fill(points: DataFrame, nested: DataFrame, dates: Column) -> Dat
 
 
 def weather_to_points(
-    points: DataFrame, nested: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+    points: DataFrame, nested: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
     """Every point with the weather lists of its cell; NULL where there is none.
 
@@ -135,7 +135,7 @@ def weather_to_points(
     columns = [*points.columns, *[c for c in nested.columns if c != "cell"]]
     lists = nested.withColumnRenamed("cell", "_cell")
     same_cell = F.col("cell").eqNullSafe(F.col("_cell"))
-    if not fits_broadcast(points, max_broadcast_rows):
+    if not fits_broadcast(points, max_bytes):
         return points.join(lists.hint("merge"), same_cell, "left").select(*columns)
     matched = lists.join(F.broadcast(points), same_cell).select(*columns)
     served = lists.select("_cell").distinct()
