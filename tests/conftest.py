@@ -10,8 +10,8 @@ from daymosaic.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(4)
-    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    session = local_session(4, checkpoint_dir=str(tmp_path_factory.mktemp("shared")))
+    session.conf.set("spark.sql.maxMetadataStringLength", "10000")
     yield session
     session.stop()
 
