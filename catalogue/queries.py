@@ -211,7 +211,11 @@ def water_balance_columns(spark, sf):
 
 @query
 def soil_profile(spark, sf):
-    order = F.struct("l_linenumber", "l_partkey", "l_suppkey")
+    # one number that sorts like (l_linenumber, l_partkey, l_suppkey)
+    order = F.expr(
+        "CAST(l_linenumber AS DECIMAL(2, 0)) * CAST(1e30 AS DECIMAL(31, 0))"
+        " + CAST(l_partkey AS DECIMAL(15, 0)) * CAST(1e15 AS DECIMAL(16, 0)) + l_suppkey"
+    )
     return flatten.soil_profile(view(spark, sf, "soil_layers"), ["obs_id"], order)
 
 
@@ -306,8 +310,8 @@ def weather_nest(spark, sf):
 @query
 def weather_gap_fill(spark, sf):
     placed = _placed(spark, sf)
-    nested = weather.weather_nest(weather.weather_semi(_gridded(spark, sf), placed), "obs_id")
-    filled = weather.weather_gap_fill(placed, nested, _days())
+    reduced = weather.weather_semi(_gridded(spark, sf), placed)
+    filled = weather.weather_gap_fill(placed, reduced, _days(), "obs_id")
     return _list_summary(filled.withColumn("cell", _whole("cell")), "cell", "dates")
 
 

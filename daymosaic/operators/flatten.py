@@ -92,7 +92,8 @@ def _soil_outputs(fc: Column, theta: Column, span: Column, stored: Column, psi:
 def soil_profile(layers: DataFrame, keys, order: Column) -> DataFrame:
     """Theta, REW and Psi per key from one row per soil layer.
 
-    ``order`` ranks the layers of a key; the lowest one is the top layer.
+    ``order`` ranks the layers of a key; the lowest one is the top layer. With a
+    numeric order everything is one hash aggregation; a struct makes it sort.
     """
     known_w = F.count(nan_to_null(F.col("W")))
     known_fc = F.count(nan_to_null(F.col("waterFC")))

@@ -44,6 +44,8 @@ def polygon_cover(polygons: DataFrame, cell_sizes: dict[str, float]) -> DataFram
         polygons.selectExpr(
             "admin_level", "polygon_id", f"CAST({size} AS DOUBLE) AS size", f"{rings_from_wkt('wkt')} AS rings"
         )
+        # a polygon file is one small split; covering large shapes is not one task's work
+        .repartition(polygons.sparkSession.sparkContext.defaultParallelism, "admin_level", "polygon_id")
         .selectExpr("admin_level", "polygon_id", "size", f"{edges_of('rings')} AS edges")
         .selectExpr(
             "*",

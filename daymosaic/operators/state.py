@@ -93,8 +93,10 @@ def state_asof_window(
     )
     older = (
         requests.where(~is_recent).select(*keys, "date", F.date_sub("date", 1).alias("_before"))
-        .join(daily.withColumnRenamed("state_date", "_before").withColumn("state_date", F.col("_before")),
-              [*keys, "_before"], "left")
+        .join(
+            daily.where(F.col("state_date") <= F.lit(limit)).withColumn("_before", F.col("state_date")),
+            [*keys, "_before"], "left",
+        )
         .select(*keys, "date", "state_date", "state")
     )
     return carried.unionByName(older).select(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import HULL_MARGIN, WEATHER_UNUSED, WEATHER_VARS
 from daymosaic.functions.grid import cell_number
-from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, fits_broadcast, small_side
+from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, materialise, small_side
 from daymosaic.schemas import GridSpec
 
 #: longest list one row may hold; a larger group is split over several rows
@@ -71,75 +71,91 @@ def weather_semi(weather: DataFrame, points: DataFrame) -> DataFrame:
     return weather.join(small_side(cells), "cell", "left_semi")
 
 
-def cells_without_weather(points: DataFrame, weather: DataFrame, dates: Column) -> DataFrame:
-    """(cell, day) of cells that hold a point but no weather on one of ``dates`` (an array).
+def wanted_lists(points: DataFrame, dates: Column) -> DataFrame:
+    """(cell, dates) for which points need weather.
 
     Cells are made distinct first, so points sharing a cell count once. Points
     outside the grid share the NULL cell, which never has weather.
     """
-    wanted = points.select("cell").distinct().withColumn("dates", F.explode(dates))
-    return wanted.join(weather.select("cell", "dates").distinct(), ["cell", "dates"], "left_anti")
+    return points.select("cell").distinct().withColumn("dates", F.explode(dates))
 
 
-def _record(variables=WEATHER_VARS, date: str = "dates") -> Column:
-    return F.struct(F.col(date).alias("dates"), *[F.col(v) for v in variables])
+def cells_without_weather(points: DataFrame, weather: DataFrame, dates: Column) -> DataFrame:
+    """(cell, day) of cells that hold a point but no weather on one of ``dates`` (an array)."""
+    seen = weather.select("cell", "dates").distinct()
+    return wanted_lists(points, dates).join(seen, ["cell", "dates"], "left_anti")
 
 
 def weather_nest(
-    weather: DataFrame, row_id: str, keys=("cell", "dates"), rows_per_list: int = ROWS_PER_LIST
+    weather: DataFrame, row_id: str, rows_per_list: int = ROWS_PER_LIST, wanted: DataFrame | None = None
 ) -> DataFrame:
     """Weather rows of a cell and day as one sorted list.
 
+    ``wanted`` (cell, dates) asks for a list even where there is no weather: one
+    record that is all NULL but for the date. It joins in before the grouping, so
+    weather is read and shuffled once.
+
     A group of more than ``rows_per_list`` rows is spread over several lists,
     numbered by ``part``, so no list and no task holds an unbounded group. The
     part comes from the row's own identifier, which makes a retried task assign
     the same rows again.
     """
-    keys = list(keys)
-    large = (
+    keys = ["cell", "dates"]
+    # large groups are counted once, from the key columns, and kept as a small table
+    large = small_side(materialise(
         weather.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > rows_per_list)
-        .select(*keys, F.ceil(F.col("_n") / rows_per_list).alias("_parts"))
-    )
+        .select(*keys, F.ceil(F.col("_n") / rows_per_list).alias("_parts")),
+        "large-groups",
+    ))
     part = F.when(
         F.col("_parts").isNotNull(), F.pmod(F.xxhash64(row_id), F.coalesce("_parts", F.lit(1)))
     ).otherwise(F.lit(0).cast("bigint"))
-    return (
-        weather.join(small_side(large), keys, "left")
-        .withColumn("part", part)
-        .repartition(*keys, "part")
-        .groupBy(*keys, "part")
-        .agg(F.sort_array(F.collect_list(_record())).alias("meteo"))
+    record = F.struct("dates", *WEATHER_VARS)
+    rows = weather.join(large, keys, "left").select(*keys, part.alias("part"), record.alias("_record"))
+    if wanted is not None:
+        absent = wanted.join(large, keys, "left_anti")
+        rows = rows.unionByName(absent.select(
+            *keys, F.lit(0).cast("bigint").alias("part"),
+            F.lit(None).cast(rows.schema["_record"].dataType).alias("_record"),
+        ))
+    # collect_list leaves NULL out, so a list is empty where only the request is
+    lists = (
+        rows.repartition(*keys, "part").groupBy(*keys, "part")
+        .agg(F.sort_array(F.collect_list("_record")).alias("meteo"))
+    )
+    if wanted is None:
+        return lists
+    filler = F.struct("dates", *[F.lit(None).cast("double").alias(v) for v in WEATHER_VARS])
+    return lists.withColumn(
+        "meteo", F.when(F.size("meteo") == 0, F.array(filler)).otherwise(F.col("meteo"))
     )
 
 
-def weather_gap_fill(points: DataFrame, nested: DataFrame, dates: Column) -> DataFrame:
-    """``nested`` plus one all-NULL record for every day of a point's cell without weather."""
-    filler = F.struct(
-        F.col("dates").alias("dates"), *[F.lit(None).cast("double").alias(v) for v in WEATHER_VARS]
-    )
-    missing = cells_without_weather(points, nested, dates).select(
-        "cell", "dates", F.lit(0).cast("bigint").alias("part"), F.array(filler).alias("meteo")
-    )
-    return nested.unionByName(missing)
+def weather_gap_fill(
+    points: DataFrame, weather: DataFrame, dates: Column, row_id: str, rows_per_list: int = ROWS_PER_LIST
+) -> DataFrame:
+    """Weather lists for every cell that holds a point and every day of ``dates`` (an array)."""
+    return weather_nest(weather, row_id, rows_per_list, wanted_lists(points, dates))
 
 
 def weather_to_points(
-    points: DataFrame, nested: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES
+    points: DataFrame, lists: DataFrame, filled: bool = False, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
     """Every point with the weather lists of its cell; NULL where there is none.
 
-    With a small point table this is an inner join against the broadcast points,
-    which leaves the weather where it is, plus the points that found nothing.
+    An inner join, which leaves the weather where it is while the point table is
+    small; otherwise both sides are shuffled, and a cell with much of the data can
+    be split on either side. Points that found nothing are added, unless the
+    lists are ``filled`` and every point finds some.
     """
-    columns = [*points.columns, *[c for c in nested.columns if c != "cell"]]
-    lists = nested.withColumnRenamed("cell", "_cell")
+    columns = [*points.columns, *[c for c in lists.columns if c != "cell"]]
+    lists = lists.withColumnRenamed("cell", "_cell")
     same_cell = F.col("cell").eqNullSafe(F.col("_cell"))
-    if not fits_broadcast(points, max_bytes):
-        return points.join(lists.hint("merge"), same_cell, "left").select(*columns)
-    matched = lists.join(F.broadcast(points), same_cell).select(*columns)
-    served = lists.select("_cell").distinct()
-    lonely = points.join(served, same_cell, "left_anti")
+    matched = lists.join(small_side(points, max_bytes), same_cell).select(*columns)
+    if filled:
+        return matched
+    lonely = points.join(lists.select("_cell").distinct(), same_cell, "left_anti")
     return matched.unionByName(lonely, allowMissingColumns=True)
 
 

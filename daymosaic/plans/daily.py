@@ -7,19 +7,23 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymosaic.functions.sizing import small_side
+from daymosaic.functions.text import partition_digits
 from daymosaic.operators.calendar import date_window, pending_dates, window_retention
 from daymosaic.operators.flatten import flatten_results
 from daymosaic.operators.quality import rejected
-from daymosaic.sources.readers import read_indicators
+from daymosaic.sources.readers import list_files
 from daymosaic.sources.writers import write_partitioned_day
 
 
 def new_indicators(results: DataFrame, processed: DataFrame, run_date: dt.date) -> DataFrame:
-    """Flattened rows of the days of the window that are not processed yet."""
-    days = pending_dates(date_window(results.sparkSession, run_date), processed)
-    recent = window_retention(results, run_date)
-    return flatten_results(recent.join(small_side(days), "date", "left_semi"))
+    """Flattened rows of the days of the window that are not processed yet.
+
+    The window has 381 days, so the pending ones become a literal list: the
+    reader skips every folder or row group of another day.
+    """
+    pending = pending_dates(date_window(results.sparkSession, run_date), processed)
+    days = [r["date"] for r in pending.collect()]
+    return flatten_results(results.where(F.col("date").isin(days)))
 
 
 def publish_new_days(
@@ -35,7 +39,9 @@ def publish_new_days(
 
 
 def processed_dates(spark: SparkSession, indicators_root: str) -> DataFrame:
-    """Days the indicator dataset holds, from its folders."""
-    return read_indicators(spark, indicators_root).select(
-        F.make_date("year", "month", "day").alias("date")
-    ).distinct()
+    """Days the indicator dataset holds, from the names of its folders; no file is read."""
+    digits = partition_digits(F.col("path"))
+    return (
+        list_files(spark, indicators_root, "*.parquet")
+        .select(F.to_date(digits, "yyyyMMdd").alias("date")).distinct()
+    )

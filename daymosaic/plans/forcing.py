@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daymosaic.operators.state import state_asof, state_asof_window
 from daymosaic.operators.weather import (
-    weather_gap_fill, weather_nest, weather_on_grid, weather_semi, weather_to_points, with_cell,
+    weather_gap_fill, weather_on_grid, weather_semi, weather_to_points, with_cell,
 )
 from daymosaic.schemas import GridSpec
 
@@ -23,8 +23,7 @@ def day_forcing(
     """(point, day) rows with the weather of the point's cell, gaps filled."""
     placed = with_cell(points, spec)
     reduced = weather_semi(weather_on_grid(weather, spec), placed)
-    nested = weather_nest(reduced, row_id)
-    return weather_to_points(placed, weather_gap_fill(placed, nested, dates))
+    return weather_to_points(placed, weather_gap_fill(placed, reduced, dates, row_id), filled=True)
 
 
 def simulation_input(

@@ -10,28 +10,41 @@ Running a batch twice gives the same dataset.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daymosaic.functions.sizing import small_side
 from daymosaic.operators.flatten import flatten_results
 from daymosaic.schemas import RESULTS
+from daymosaic.sources.readers import read_results
 from daymosaic.sources.writers import write_partitioned_day
 
+#: days named one by one in the filter of the second read
+MAX_LISTED_DAYS = 1000
+
+
 def results_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
-    return (
-        spark.readStream.schema(RESULTS).option("maxFilesPerTrigger", files_per_batch)
-        .option("recursiveFileLookup", "true").parquet(root)
-    )
+    """New result files below ``root``, flat or in ``province=/date=`` folders."""
+    return spark.readStream.schema(RESULTS).option("maxFilesPerTrigger", files_per_batch).parquet(root)
+
+
+def rows_of_days(results: DataFrame, days: DataFrame, max_listed: int = MAX_LISTED_DAYS) -> DataFrame:
+    """Rows of ``results`` whose date is in ``days``.
+
+    A batch touches a few days: they become a literal filter, so the reader
+    leaves out the folders and row groups of all others. A longer list is joined.
+    """
+    listed = [r["date"] for r in days.limit(max_listed + 1).collect()]
+    if len(listed) <= max_listed:
+        return results.where(F.col("date").isin(listed))
+    return results.join(small_side(days), "date", "left_semi")
+
 
 def update_indicators(spark: SparkSession, results_root: str, indicators_root: str, checkpoint: str) -> None:
     """Flatten and publish every day touched by result files not seen before."""
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         days = batch.select("date").distinct()
-        everything = (
-            batch.sparkSession.read.schema(RESULTS).option("recursiveFileLookup", "true")
-            .parquet(results_root)
-        )
-        touched = everything.join(small_side(days), "date", "left_semi")
+        touched = rows_of_days(read_results(batch.sparkSession, results_root), days)
         write_partitioned_day(flatten_results(touched), indicators_root)
 
     query = (

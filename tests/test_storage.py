@@ -9,7 +9,7 @@ from daymosaic.functions.sizing import fits_broadcast, materialise, measured_byt
 from daymosaic.plans.daily import new_indicators, processed_dates, publish_new_days
 from daymosaic.schemas import RESULTS
 from daymosaic.sources import readers, writers
-from daymosaic.streaming.incremental import update_indicators
+from daymosaic.streaming.incremental import rows_of_days, update_indicators
 from tests.test_flatten import layer, result
 
 D1, D2 = dt.date(2025, 3, 7), dt.date(2025, 11, 18)
@@ -134,6 +134,20 @@ def test_arriving_files_update_whole_days(spark, tmp_path):
     assert published() == [(1, D1), (2, D2), (3, D1)]
 
 
+def test_partitioned_results_are_pruned_to_the_touched_days(spark, plan, tmp_path):
+    ok = [(1.0, 0.5, 80.0)]
+    rows = [result(1, [layer(1)], ok), at(result(2, [layer(1)], ok), D2)]
+    spark.createDataFrame(rows, RESULTS).write.partitionBy("province", "date").parquet(str(tmp_path / "r"))
+    source = readers.read_results(spark, str(tmp_path / "r"))
+    days = spark.createDataFrame([(D2,)], "date date")
+    few, many = rows_of_days(source, days), rows_of_days(source, days, max_listed=0)
+    assert [r["point_id"] for r in few.collect()] == [r["point_id"] for r in many.collect()] == [2]
+    filters = plan(few)[plan(few).index("PartitionFilters"):]
+    assert "date" in filters[:filters.index("]")]
+    update_indicators(spark, str(tmp_path / "r"), str(tmp_path / "i"), str(tmp_path / "log"))
+    assert readers.read_indicators(spark, str(tmp_path / "i")).count() == 2
+
+
 def test_broadcast_bound_counts_bytes(spark):
     df = spark.createDataFrame([(1, "abcd", [1.0, 2.0], [([1],)])], "a long, b string, c array<double>, d array<struct<e:array<long>>>")
     assert measured_bytes(df) == 32 + 8 + (4 + 16) + (16 + 16) + (8 + 16 + 16 + 16)

@@ -52,11 +52,11 @@ def test_unused_columns_and_rows_outside_are_dropped(spark):
 def test_points_outside_the_grid_match_nothing_but_get_a_filler(spark):
     pts = w.with_cell(points(spark, [(1, 1, 0.5, 0.5), (1, 2, 99.0, 0.5), (1, 3, 98.0, 0.5)]), GRID)
     gridded = w.weather_on_grid(weather(spark, [(1, 0.6, 0.6, D1, 4.0), (2, 77.0, 0.5, D1, 9.0)]), GRID)
-    nested = w.weather_nest(w.weather_semi(gridded, pts), "obs_id")
-    assert nested.count() == 1
-    filled = w.weather_gap_fill(pts, nested, days())
+    reduced = w.weather_semi(gridded, pts)
+    assert reduced.count() == 1
+    filled = w.weather_gap_fill(pts, reduced, days(), "obs_id")
     assert filled.count() == 4          # two cells, one of them NULL, two days
-    rows = w.weather_to_points(pts, filled).collect()
+    rows = w.weather_to_points(pts, filled, filled=True).collect()
     assert len(rows) == 6 and all(len(r["meteo"]) == 1 for r in rows)
     known = [(r["point_id"], r["dates"]) for r in rows if r["meteo"][0]["PET"] is not None]
     assert known == [(1, D1)]
@@ -65,9 +65,9 @@ def test_points_outside_the_grid_match_nothing_but_get_a_filler(spark):
 
 def test_points_sharing_a_cell_share_one_filler(spark):
     pts = w.with_cell(points(spark, [(1, 1, 0.5, 0.5), (1, 2, 0.6, 0.6)]), GRID)
-    empty = w.weather_nest(w.weather_on_grid(weather(spark, []), GRID), "obs_id")
+    empty = w.weather_on_grid(weather(spark, []), GRID)
     assert w.cells_without_weather(pts, empty, days()).count() == 2
-    assert w.weather_to_points(pts, w.weather_gap_fill(pts, empty, days())).count() == 4
+    assert w.weather_to_points(pts, w.weather_gap_fill(pts, empty, days(), "obs_id")).count() == 4
 
 
 @pytest.mark.parametrize("max_bytes", [10**9, 0])
@@ -75,7 +75,7 @@ def test_every_point_is_kept_on_both_join_paths(spark, max_bytes):
     pts = w.with_cell(points(spark, [(1, i, float(i % 12), 0.5) for i in range(40)]), GRID)
     rows = [(i, float(i % 7) + 0.2, 0.4, D1 if i % 2 else D2, float(i)) for i in range(60)]
     nested = w.weather_nest(w.weather_on_grid(weather(spark, rows), GRID), "obs_id")
-    got = w.weather_to_points(pts, nested, max_bytes).collect()
+    got = w.weather_to_points(pts, nested, max_bytes=max_bytes).collect()
     want = set()
     for i in range(40):
         cell = (i % 12) if i % 12 < 10 else 9 if i % 12 == 10 else None
@@ -92,6 +92,9 @@ def test_large_groups_are_split_and_stay_whole(spark):
     assert len(hot) > 5 and max(len(r["meteo"]) for r in hot) < 200
     assert sorted(m["PET"] for r in hot for m in r["meteo"]) == [float(i) for i in range(1000)]
     assert [(r["part"], len(r["meteo"])) for r in got if r["cell"] == 92] == [(0, 1)]
+    pts = w.with_cell(points(spark, [(1, 1, 0.5, 0.5), (1, 2, 2.5, 0.5)]), GRID)
+    filled = w.weather_gap_fill(pts, gridded, days(), "obs_id", rows_per_list=100).collect()
+    assert sum(len(r["meteo"]) for r in filled) == 1001 + 3     # fillers: hot cell on day 2, other cell on both
     one = w.weather_nest(gridded, "obs_id").where("cell = 91").collect()
     assert len(one) == 1 and len(one[0]["meteo"]) == 1000
 
@@ -123,3 +126,13 @@ def test_simulation_input_joins_weather_and_state(spark):
     got = simulation_input(pts, data, history, GRID, [D1, D2], dt.date(2025, 1, 7), F.lit(-1).cast("long"), "obs_id")
     rows = {(r["point_id"], r["date"]): (r["meteo"][0]["PET"], r["state"]) for r in got.collect()}
     assert rows == {(1, D1): (3.0, 8), (1, D2): (None, 8), (2, D1): (None, -1), (2, D2): (None, -1)}
+
+
+def test_forcing_reads_the_weather_once(spark, plan, tmp_path):
+    from daymosaic.plans.forcing import day_forcing
+
+    weather(spark, [(1, 0.5, 0.5, D1, 3.0)]).write.parquet(str(tmp_path / "weather"))
+    points(spark, [(1, 1, 0.5, 0.5)]).write.parquet(str(tmp_path / "points"))
+    read = lambda name: spark.read.parquet(str(tmp_path / name))
+    text = plan(day_forcing(read("points"), read("weather"), GRID, days(), "obs_id"))
+    assert text.count("/weather]") == 1
