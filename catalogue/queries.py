@@ -291,7 +291,7 @@ def weather_bbox_scan(spark, sf):
 
 @query
 def weather_semi(spark, sf):
-    rows = weather.weather_semi(_gridded(spark, sf), _placed(spark, sf))
+    rows = weather.weather_semi(_gridded(spark, sf), _placed(spark, sf), GRID)
     return rows.select("cell", "obs_id", "dates", *WEATHER_VARS)
 
 
@@ -303,14 +303,14 @@ def cells_without_weather(spark, sf):
 
 @query
 def weather_nest(spark, sf):
-    nested = weather.weather_nest(weather.weather_semi(_gridded(spark, sf), _placed(spark, sf)), "obs_id")
+    nested = weather.weather_nest(weather.weather_semi(_gridded(spark, sf), _placed(spark, sf), GRID), "obs_id")
     return _list_summary(nested, "cell", "dates", "part")
 
 
 @query
 def weather_gap_fill(spark, sf):
     placed = _placed(spark, sf)
-    reduced = weather.weather_semi(_gridded(spark, sf), placed)
+    reduced = weather.weather_semi(_gridded(spark, sf), placed, GRID)
     filled = weather.weather_gap_fill(placed, reduced, _days(), "obs_id")
     return _list_summary(filled.withColumn("cell", _whole("cell")), "cell", "dates")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,27 +54,36 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(row)).first()[0] or 0
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, at_most_rows: int | None = None) -> bool:
+def fits_broadcast(
+    df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, at_most_rows: int | None = None, text_bytes: int | None = None
+) -> bool:
     """True when ``df`` is known, or else measured, to have at most ``max_bytes``.
 
-    ``at_most_rows`` is a bound that follows from the definition of ``df``; with
-    fixed-width columns it can make the measurement unnecessary. What is measured
-    is a dimension (points, polygons, grid cells), never the observations.
+    ``at_most_rows`` is a bound that is known already: it follows from the
+    definition of ``df`` or was counted while it was written. Together with
+    ``text_bytes``, the longest text in it, it can make measuring unnecessary.
+    What is measured is a dimension (points, polygons, grid cells), never the
+    observations.
     """
     if at_most_rows is not None:
-        widths = [_fixed_width(f.dataType) for f in df.schema.fields]
+        widths = [
+            16 + text_bytes if text_bytes is not None and isinstance(f.dataType, T.StringType)
+            else _fixed_width(f.dataType) for f in df.schema.fields
+        ]
         if None not in widths and at_most_rows * (ROW_OVERHEAD + sum(widths)) <= max_bytes:
             return True
     return measured_bytes(df) <= max_bytes
 
 
-def small_side(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, at_most_rows: int | None = None) -> DataFrame:
+def small_side(
+    df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, at_most_rows: int | None = None, text_bytes: int | None = None
+) -> DataFrame:
     """``df`` with a broadcast hint if it is small, with a sort-merge hint if it is not.
 
     Beyond the bound both sides are shuffled on the join key and adaptive
     execution splits the partitions of hot keys.
     """
-    return df.hint("broadcast" if fits_broadcast(df, max_bytes, at_most_rows) else "merge")
+    return df.hint("broadcast" if fits_broadcast(df, max_bytes, at_most_rows, text_bytes) else "merge")
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -91,8 +100,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: the plan is cut there."""
+def materialise(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+    """Write ``df`` to the shared folder; (the table read back, its number of rows).
+
+    The plan is cut there. Rows are counted while they are written.
+    """
     path = shared_folder(df.sparkSession, purpose)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = Observation(purpose)
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), written.get["rows"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymosaic.fixed_values import EXCLUDED_PROVINCES, INDICATORS
+from daymosaic.fixed_values import ADMIN_LEVELS, EXCLUDED_PROVINCES, INDICATORS
 from daymosaic.functions.geometry import edges_of, rings_from_wkt, touches
 from daymosaic.functions.missing import mean_skip_missing, nan_to_null
 from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, fits_broadcast, small_side
@@ -94,7 +94,7 @@ def locate_points(
 
 def poly_daily_means(
     observations: DataFrame, located: DataFrame, polygons: DataFrame,
-    max_bytes: int = MAX_BROADCAST_BYTES,
+    max_bytes: int = MAX_BROADCAST_BYTES, located_rows: int | None = None,
 ) -> DataFrame:
     """Mean of each indicator per polygon and day, all levels in one pass.
 
@@ -105,7 +105,7 @@ def poly_daily_means(
     polygons, so a point with very many rows arrives as one row a day.
     """
     keys = ["admin_level", "polygon_id", "date"]
-    if fits_broadcast(located, max_bytes):
+    if fits_broadcast(located, max_bytes, located_rows, max(map(len, ADMIN_LEVELS))):
         means = (
             observations.select("point_id", "date", *INDICATORS)
             .join(F.broadcast(located), "point_id")

@@ -65,10 +65,10 @@ def weather_bbox_scan(
     return days.where(inside)
 
 
-def weather_semi(weather: DataFrame, points: DataFrame) -> DataFrame:
-    """Weather rows whose cell holds a point."""
+def weather_semi(weather: DataFrame, points: DataFrame, spec: GridSpec) -> DataFrame:
+    """Weather rows whose cell holds a point. There are at most as many such cells as the grid has."""
     cells = points.select("cell").where(F.col("cell").isNotNull()).distinct()
-    return weather.join(small_side(cells), "cell", "left_semi")
+    return weather.join(small_side(cells, at_most_rows=spec.ncell), "cell", "left_semi")
 
 
 def wanted_lists(points: DataFrame, dates: Column) -> DataFrame:
@@ -102,12 +102,13 @@ def weather_nest(
     """
     keys = ["cell", "dates"]
     # large groups are counted once, from the key columns, and kept as a small table
-    large = small_side(materialise(
+    large, n_large = materialise(
         weather.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > rows_per_list)
         .select(*keys, F.ceil(F.col("_n") / rows_per_list).alias("_parts")),
         "large-groups",
-    ))
+    )
+    large = small_side(large, at_most_rows=n_large)
     part = F.when(
         F.col("_parts").isNotNull(), F.pmod(F.xxhash64(row_id), F.coalesce("_parts", F.lit(1)))
     ).otherwise(F.lit(0).cast("bigint"))

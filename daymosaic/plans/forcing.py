@@ -22,7 +22,7 @@ def day_forcing(
 ) -> DataFrame:
     """(point, day) rows with the weather of the point's cell, gaps filled."""
     placed = with_cell(points, spec)
-    reduced = weather_semi(weather_on_grid(weather, spec), placed)
+    reduced = weather_semi(weather_on_grid(weather, spec), placed, spec)
     return weather_to_points(placed, weather_gap_fill(placed, reduced, dates, row_id), filled=True)
 
 

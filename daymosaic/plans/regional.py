@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from daymosaic.functions.sizing import materialise
 from daymosaic.operators.quality import qc_clean
 from daymosaic.operators.regions import admin_polygons_clean, locate_points, poly_daily_means
 
@@ -12,7 +13,11 @@ def regional_series(
     observations: DataFrame, points: DataFrame, polygons: DataFrame, cell_sizes: dict[str, float],
     clean: bool = True,
 ) -> DataFrame:
-    """Clean the observations, locate the points, average by (level, polygon, day)."""
+    """Clean the observations, locate the points, average by (level, polygon, day).
+
+    Where the points lie is computed once and kept as a table.
+    """
     regions = admin_polygons_clean(polygons)
-    located = locate_points(points, regions, cell_sizes)
-    return poly_daily_means(qc_clean(observations) if clean else observations, located, regions)
+    located, rows = materialise(locate_points(points, regions, cell_sizes), "located")
+    cleaned = qc_clean(observations) if clean else observations
+    return poly_daily_means(cleaned, located, regions, located_rows=rows)

@@ -153,9 +153,11 @@ def test_broadcast_bound_counts_bytes(spark):
     assert measured_bytes(df) == 32 + 8 + (4 + 16) + (16 + 16) + (8 + 16 + 16 + 16)
     assert fits_broadcast(df, 1000) and not fits_broadcast(df, 50)
     assert fits_broadcast(spark.range(5), 10**6, at_most_rows=5)
+    words = spark.createDataFrame([("a",)], "w string")
+    assert fits_broadcast(words, 1000, at_most_rows=10, text_bytes=9) and not fits_broadcast(words, 40, 10, 9)
 
 
 def test_lineage_is_cut_in_the_shared_folder(spark, plan):
     assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
-    cut = materialise(spark.range(10).groupBy((F.col("id") % 3).alias("k")).count(), "x")
-    assert cut.count() == 3 and "Aggregate" not in plan(cut)
+    cut, rows = materialise(spark.range(10).groupBy((F.col("id") % 3).alias("k")).count(), "x")
+    assert cut.count() == rows == 3 and "Aggregate" not in plan(cut)

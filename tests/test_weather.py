@@ -52,7 +52,7 @@ def test_unused_columns_and_rows_outside_are_dropped(spark):
 def test_points_outside_the_grid_match_nothing_but_get_a_filler(spark):
     pts = w.with_cell(points(spark, [(1, 1, 0.5, 0.5), (1, 2, 99.0, 0.5), (1, 3, 98.0, 0.5)]), GRID)
     gridded = w.weather_on_grid(weather(spark, [(1, 0.6, 0.6, D1, 4.0), (2, 77.0, 0.5, D1, 9.0)]), GRID)
-    reduced = w.weather_semi(gridded, pts)
+    reduced = w.weather_semi(gridded, pts, GRID)
     assert reduced.count() == 1
     filled = w.weather_gap_fill(pts, reduced, days(), "obs_id")
     assert filled.count() == 4          # two cells, one of them NULL, two days
