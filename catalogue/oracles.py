@@ -479,3 +479,27 @@ near AS (SELECT trow, tcol, b.*, (1 - abs(fx - b.col)) * (1 - abs(fy - b.row)) A
   FROM placed p JOIN blocks b ON abs(fx - b.col) < 1 AND abs(fy - b.row) < 1)
 SELECT date, trow AS row, tcol AS col, {each('round(sum(w * {v}) / sum(CASE WHEN {v} IS NOT NULL THEN w END), 4) AS {v}')}
 FROM near GROUP BY date, trow, tcol"""
+
+
+def ring_rows(level: str, table: str, key: str, origin: str, ring: int, vertices, where: str = "") -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{level}' AS admin_level, {key} AS polygon_id, {ring} AS ring, {k} AS vertex, "
+        f"CAST({x} AS DOUBLE) / 100000::DOUBLE - 4::DOUBLE AS lon, CAST({y} AS DOUBLE) / 100000::DOUBLE + 40::DOUBLE AS lat "
+        f"FROM (SELECT *, {origin} FROM {table}) {where}"
+        for k, (x, y) in enumerate([*vertices, vertices[0]])
+    )
+
+
+_VERTICES = " UNION ALL ".join([
+    ring_rows("municipio", "nation", "n_nationkey", NATION, 0,
+              [("x0", "y0"), ("x0 + 2300", "y0 + 100"), ("x0 + 1000", "y0 + 2200")]),
+    ring_rows("comarca", "nation", "n_nationkey", NATION, 0,
+              [("x0", "y0"), ("x0 + 2000", "y0"), ("x0 + 2000", "y0 + 2000"), ("x0", "y0 + 2000")]),
+    ring_rows("provincia", "region", "r_regionkey", REGION, 0,
+              [("x0", "0"), ("x0 + 2000", "0"), ("x0 + 2000", "10000"), ("x0", "10000")]),
+    ring_rows("provincia", "region", "r_regionkey", REGION, 1,
+              [("4500", "4500"), ("5500", "4500"), ("5500", "5500"), ("4500", "5500")], "WHERE r_regionkey = 2"),
+])
+ORACLES["project_polygons"] = f"""WITH vertices AS ({_VERTICES}),
+metres AS ({metres_sql('vertices', 'admin_level, polygon_id, ring, vertex')})
+SELECT admin_level, polygon_id, ring, vertex, round(x, 3) AS x, round(y, 3) AS y FROM metres"""

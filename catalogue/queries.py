@@ -420,6 +420,24 @@ def wkt_rings(spark, sf):
     )
 
 
+def _degree_polygons(spark, sf) -> DataFrame:
+    """The polygons as if their units were 1/100000 degree from (-4, 40)."""
+    vertex = "concat_ws(' ', CAST(p.x / 100000D - 4D AS STRING), CAST(p.y / 100000D + 40D AS STRING))"
+    rings = f"transform({rings_from_wkt('wkt')}, ring -> concat('(', array_join(transform(ring, p -> {vertex}), ', '), ')'))"
+    return polygons(spark, sf).selectExpr(
+        "admin_level", "polygon_id", f"concat('POLYGON (', array_join({rings}, ', '), ')') AS wkt"
+    )
+
+
+@query
+def project_polygons(spark, sf):
+    projected = regions.project_polygons(_degree_polygons(spark, sf))
+    rings = projected.selectExpr("admin_level", "polygon_id", f"posexplode({rings_from_wkt('wkt')}) AS (ring, vertices)")
+    return rings.selectExpr("admin_level", "polygon_id", "ring", "posexplode(vertices) AS (vertex, p)").selectExpr(
+        "admin_level", "polygon_id", "ring", "vertex", "round(p.x, 3) AS x", "round(p.y, 3) AS y"
+    )
+
+
 # --- grid, colours and images -----------------------------------------------------------------
 
 def _coarse(spark, sf) -> DataFrame:

@@ -41,6 +41,11 @@ WINDOW_OLDEST = 385
 WINDOW_NEWEST = 5
 STATE_OLDEST = 387
 
+# Tags of the run summary.
+TAG_FAILED = "lady_beetle"
+TAG_FINE = "bell"
+NO_ERRORS = "no errors"
+
 # Map layers.
 BLOCK_FACTOR = 4
 ROUNDING_FACTOR = 1000

@@ -25,6 +25,18 @@ def wkt_from_rings(rings: str) -> str:
     )
 
 
+def wkt_with_rings(wkt: str, rings: str) -> str:
+    """``wkt`` with its rings replaced by as many others; what is between them is kept."""
+    ring_text = (
+        "concat('(', array_join(transform(ring, p -> "
+        "concat_ws(' ', CAST(p.x AS STRING), CAST(p.y AS STRING))), ', '), ')')"
+    )
+    return (
+        f"array_join(zip_with(split({wkt}, r'\\([^()]+\\)'), transform({rings}, ring -> {ring_text}), "
+        "(between, ring) -> concat(between, coalesce(ring, ''))), '')"
+    )
+
+
 def edges_of(rings: str) -> str:
     """Edges of all rings; every ring repeats its first vertex at the end."""
     return (

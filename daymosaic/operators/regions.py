@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import ADMIN_LEVELS, EXCLUDED_PROVINCES, INDICATORS
-from daymosaic.functions.geometry import edges_of, rings_from_wkt, touches
+from daymosaic.functions.geometry import edges_of, rings_from_wkt, touches, wkt_with_rings
 from daymosaic.functions.missing import mean_skip_missing, nan_to_null
+from daymosaic.functions.projection import to_metres
 from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, fits_broadcast, small_side
 
 
@@ -30,6 +31,20 @@ def admin_polygons_clean(polygons: DataFrame) -> DataFrame:
     )
 
 
+def project_polygons(polygons: DataFrame) -> DataFrame:
+    """Boundaries in degrees turned into metres of the zone; the shape of the text is kept."""
+    def vertex(p: Column) -> Column:
+        x, y = to_metres(p["x"], p["y"])
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    others = [f"`{c}`" for c in polygons.columns if c != "wkt"]
+    return (
+        polygons.selectExpr("*", f"{rings_from_wkt('wkt')} AS _rings")
+        .withColumn("_rings", F.transform("_rings", lambda ring: F.transform(ring, vertex)))
+        .selectExpr(*others, f"{wkt_with_rings('wkt', '_rings')} AS wkt")
+    )
+
+
 def polygon_cover(polygons: DataFrame, cell_sizes: dict[str, float]) -> DataFrame:
     """One row per polygon and bucket that may hold points of it.
 

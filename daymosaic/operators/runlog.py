@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daymosaic.fixed_values import NO_ERRORS, TAG_FAILED, TAG_FINE
 from daymosaic.functions.text import join_with_last
 
 
@@ -24,6 +25,6 @@ def run_summary(log: DataFrame, run: str = "run_date") -> DataFrame:
     )
     return counts.join(failed, run, "left").select(
         run, "skipped", "completed", "errored",
-        F.coalesce(join_with_last(F.col("_names")), F.lit("no errors")).alias("errors"),
-        F.when(F.col("errored") > 0, "lady_beetle").otherwise("bell").alias("tag"),
+        F.coalesce(join_with_last(F.col("_names")), F.lit(NO_ERRORS)).alias("errors"),
+        F.when(F.col("errored") > 0, TAG_FAILED).otherwise(TAG_FINE).alias("tag"),
     )

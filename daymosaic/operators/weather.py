@@ -23,6 +23,9 @@ ROWS_PER_LIST = 10_000
 #: provinces whose boxes are pushed into the scan one by one
 MAX_BOXES = 1_000
 
+#: blocks per side of the area when there are more
+BOX_BLOCKS = 64
+
 
 def with_cell(points: DataFrame, spec: GridSpec) -> DataFrame:
     """Add the cell of (x, y); NULL outside the grid."""
@@ -50,19 +53,38 @@ def weather_bbox_scan(
 ) -> DataFrame:
     """Weather of [first, last] inside a province box, as range predicates the reader can push.
 
-    The boxes are a few dozen rows, one per province; a table with more than
-    ``max_boxes`` of them is refused rather than read in part.
+    There are a few dozen boxes, one per province. With more than ``max_boxes``
+    the box around all of them is pushed, and the single ones are tested through
+    an equality join on coarse blocks.
     """
     days = weather.where(F.col("dates").between(F.lit(first), F.lit(last)))
     rows = boxes.limit(max_boxes + 1).collect()
-    if len(rows) > max_boxes:
-        raise ValueError(f"more than {max_boxes} provinces: pass their common box")
-    inside = F.lit(False)
-    for b in rows:
-        inside = inside | (
-            F.col("x").between(b["xmin"], b["xmax"]) & F.col("y").between(b["ymin"], b["ymax"])
-        )
-    return days.where(inside)
+    if len(rows) <= max_boxes:
+        inside = F.lit(False)
+        for b in rows:
+            inside = inside | _in_box(b)
+        return days.where(inside)
+
+    around = boxes.agg(
+        F.min("xmin").alias("xmin"), F.max("xmax").alias("xmax"), F.min("ymin").alias("ymin"), F.max("ymax").alias("ymax")
+    ).first()
+    size = max(around["xmax"] - around["xmin"], around["ymax"] - around["ymin"]) / BOX_BLOCKS
+    blocks = boxes.selectExpr(
+        "xmin", "xmax", "ymin", "ymax",
+        f"explode(sequence(floor(xmin / {size!r}D), floor(xmax / {size!r}D))) AS _gx",
+    ).selectExpr("*", f"explode(sequence(floor(ymin / {size!r}D), floor(ymax / {size!r}D))) AS _gy")
+    placed = days.where(_in_box(around)).withColumns({
+        "_bx": F.floor(F.col("x") / F.lit(size)), "_by": F.floor(F.col("y") / F.lit(size)),
+    })
+    in_one = (
+        (F.col("_bx") == F.col("_gx")) & (F.col("_by") == F.col("_gy"))
+        & F.col("x").between(F.col("xmin"), F.col("xmax")) & F.col("y").between(F.col("ymin"), F.col("ymax"))
+    )
+    return placed.join(small_side(blocks), in_one, "left_semi").drop("_bx", "_by")
+
+
+def _in_box(b) -> Column:
+    return F.col("x").between(b["xmin"], b["xmax"]) & F.col("y").between(b["ymin"], b["ymax"])
 
 
 def weather_semi(weather: DataFrame, points: DataFrame, spec: GridSpec) -> DataFrame:

@@ -114,6 +114,15 @@ def test_wkt_round_trip(spark):
     assert row["wkt"] == "POLYGON ((0.0 0.0, 10.0 0.0, 10.0 10.0, 0.0 10.0, 0.0 0.0), (2.0 2.0, 4.0 2.0, 4.0 4.0, 2.0 4.0, 2.0 2.0))"
 
 
+def test_projection_keeps_the_shape_of_the_text(spark):
+    text = "MULTIPOLYGON (((-3 0, -2 0, -2 1, -3 0), (-2.5 0.2, -2.4 0.2, -2.4 0.3, -2.5 0.2)), ((-1 0, 0 0, 0 1, -1 0)))"
+    df = spark.createDataFrame([("provincia", text)], "admin_level string, wkt string")
+    got = rg.project_polygons(df).first()["wkt"]
+    assert got.startswith("MULTIPOLYGON (((500000.0 0.0, ") and got.endswith(")))")
+    assert [c for c in got if c in "()"] == [c for c in text if c in "()"]
+    assert spark.createDataFrame([(got,)], "wkt string").selectExpr(f"size({rings_from_wkt('wkt')})").first()[0] == 3
+
+
 def observations(spark, rows):
     df = spark.createDataFrame(rows, "point_id long, date date, v double")
     return df.withColumns({c: F.col("v") for c in INDICATORS}).drop("v")

@@ -108,8 +108,12 @@ def test_bbox_scan_pushes_ranges_into_the_reader(spark, plan, tmp_path):
     assert [r["obs_id"] for r in got.collect()] == [1]
     pushed = plan(got)
     assert "GreaterThanOrEqual(x,-1000.0)" in pushed and "LessThanOrEqual(y,1010.0)" in pushed
-    with pytest.raises(ValueError):
-        w.weather_bbox_scan(source, boxes, D1, D1, max_boxes=0)
+    many = points(spark, [(i, i, i * 1000.0, -i * 500.0) for i in range(30)] * 2)
+    grid = weather(spark, [(x * 100 + y, x * 700.0, -y * 400.0, D1, 1.0) for x in range(50) for y in range(50)])
+    boxes = w.province_bbox(many, margin=800.0)
+    pushed = {r["obs_id"] for r in w.weather_bbox_scan(grid, boxes, D1, D1).collect()}
+    joined = [r["obs_id"] for r in w.weather_bbox_scan(grid, boxes, D1, D1, max_boxes=5).collect()]
+    assert 0 < len(pushed) < 2500 and sorted(joined) == sorted(pushed)
 
 
 def test_coverage(spark):
