@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as registry
+from catalogue.oracles import ORACLES
+from catalogue.queries import QUERIES
 from check import compare, oracle_connection
 
 DATA = "/root/testdata/sf0.001"
@@ -17,13 +19,13 @@ def con():
     return oracle_connection(DATA)
 
 
-@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, con, name):
     assert compare(spark, con, DATA, name) == ""
 
 
 def test_only_images_lack_sql():
-    assert set(registry.queries()) - set(registry.oracle_sql()) == {"image_table"}
+    assert set(QUERIES) - set(ORACLES) == {"image_table"}
 
 
 def test_entry_has_a_stable_schema(spark):
