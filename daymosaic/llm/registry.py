@@ -1,14 +1,17 @@
 """Queries of this subpackage and the SQL of those that SQL can express."""
 
-from daymosaic.llm import op2_mix, op8_shard, op9_decontaminate
+from daymosaic.llm import op2_mix, op4_chat, op8_shard, op9_decontaminate, op10_toxicity
 
 QUERIES = {
     "op2_mix": op2_mix.query,
+    "op4_chat": op4_chat.query,
     "op8_shard": op8_shard.query,
     "op9_decontaminate": op9_decontaminate.query,
+    "op10_toxicity": op10_toxicity.query,
 }
 
 ORACLES = {
+    "op4_chat": op4_chat.SQL,
     "op8_shard": op8_shard.SQL,
     "op9_decontaminate": op9_decontaminate.SQL,
 }
