@@ -1,13 +1,16 @@
 """Queries of this subpackage and the SQL of those that SQL can express."""
 
-from daymosaic.llm import op2_mix, op4_chat, op8_shard, op9_decontaminate, op10_toxicity
+import corpus_pipeline
+from daymosaic.llm import op2_mix, op4_chat, op7_minhash, op8_shard, op9_decontaminate, op10_toxicity
 
 QUERIES = {
     "op2_mix": op2_mix.query,
     "op4_chat": op4_chat.query,
+    "op7_minhash": op7_minhash.query,
     "op8_shard": op8_shard.query,
     "op9_decontaminate": op9_decontaminate.query,
     "op10_toxicity": op10_toxicity.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {

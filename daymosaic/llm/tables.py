@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from daymosaic.functions.sizing import shared_folder
+
 #: what separates words: blank, tab, line feed, vertical tab, form feed, carriage return
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 BLANK_CLASS = r"[\x20\x09-\x0D]"
@@ -36,3 +38,15 @@ def word_array(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once for each row."""
     return F.transform(F.array(value), body)[0]
+
+
+def save(df: DataFrame, purpose: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """Write ``df`` to the shared folder: (the table read back, ``rows`` and the given aggregates of it).
+
+    Lineage is cut there; a lost executor costs at most the step after it.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    seen = Observation(purpose)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in measures.items()])
+    counted.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), dict(seen.get)
