@@ -1,10 +1,11 @@
 """Queries of this subpackage and the SQL of those that SQL can express."""
 
 import corpus_pipeline
-from daymosaic.llm import op2_mix, op4_chat, op7_minhash, op8_shard, op9_decontaminate, op10_toxicity
+from daymosaic.llm import op2_mix, op3_lm, op4_chat, op7_minhash, op8_shard, op9_decontaminate, op10_toxicity
 
 QUERIES = {
     "op2_mix": op2_mix.query,
+    "op3_lm": op3_lm.query,
     "op4_chat": op4_chat.query,
     "op7_minhash": op7_minhash.query,
     "op8_shard": op8_shard.query,
