@@ -1,12 +1,14 @@
 """Queries of this subpackage and the SQL of those that SQL can express."""
 
 import corpus_pipeline
-from daymosaic.llm import op2_mix, op3_lm, op4_chat, op7_minhash, op8_shard, op9_decontaminate, op10_toxicity
+from daymosaic.llm import op2_mix, op3_lm, op4_chat, op5_quality, op6_licence, op7_minhash, op8_shard, op9_decontaminate, op10_toxicity
 
 QUERIES = {
     "op2_mix": op2_mix.query,
     "op3_lm": op3_lm.query,
     "op4_chat": op4_chat.query,
+    "op5_quality": op5_quality.query,
+    "op6_licence": op6_licence.query,
     "op7_minhash": op7_minhash.query,
     "op8_shard": op8_shard.query,
     "op9_decontaminate": op9_decontaminate.query,
@@ -16,6 +18,7 @@ QUERIES = {
 
 ORACLES = {
     "op4_chat": op4_chat.SQL,
+    "op5_quality": op5_quality.SQL,
     "op8_shard": op8_shard.SQL,
     "op9_decontaminate": op9_decontaminate.SQL,
 }
