@@ -1,9 +1,12 @@
 """Queries of this subpackage and the SQL of those that SQL can express."""
 
 import corpus_pipeline
-from daymosaic.llm import op2_mix, op3_lm, op4_chat, op5_quality, op6_licence, op7_minhash, op8_shard, op9_decontaminate, op10_toxicity
+from daymosaic.llm import (
+    op1_pii, op2_mix, op3_lm, op4_chat, op5_quality, op6_licence, op7_minhash, op8_shard, op9_decontaminate, op10_toxicity,
+)
 
 QUERIES = {
+    "op1_pii": op1_pii.query,
     "op2_mix": op2_mix.query,
     "op3_lm": op3_lm.query,
     "op4_chat": op4_chat.query,
