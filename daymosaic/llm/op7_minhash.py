@@ -15,9 +15,11 @@ independent hashes.
 3. Classes that share a bucket are linked to the bucket's leader when the exact
    similarity of their full sets reaches the threshold. This takes one pair a
    class, not all pairs of a bucket, and joins large groups of near copies.
+   The first leader is the class that meets most others, which stands in the middle of its group.
 4. Buckets that still hold more than one group get another leader, a few times.
-5. Whatever is then still apart is verified pair by pair across groups within
-   the bucket, so no bucket is cut and no candidate is dropped.
+5. Classes of buckets that are still apart are compared across groups, all of them: candidates are
+   pairs that share one of the rare elements that similar sets must share (prefix filter), so pairs
+   that cannot reach the threshold are not made, and no bucket is cut and no candidate dropped.
 
 Groups are kept as tables (node, root) and merged by joins; the driver sees
 counts only. Sets are made again for classes that share a bucket and are
@@ -222,10 +224,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
 def _linked(plain: DataFrame, classes: DataFrame, percent: int, shingle: int) -> DataFrame | None:
     """(node, root) over class representatives."""
     in_buckets = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    shared = in_buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1).select("key")
+    shared = in_buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1)
     members, seen = save(in_buckets.join(shared, "key"), "buckets")
     if not seen["rows"]:
         return None
+    # who meets most others stands in the middle of its group
+    met, _ = save(members.groupBy("rep").agg(F.sum("members").alias("met")), "met")
+    members, _ = save(members.drop("members").join(met, "rep"), "members")
     wanted = classes.select("rep", "p1", "p2").join(members.select("rep").distinct(), "rep")
     sets, _ = save(_sets(plain, wanted, shingle), "sets")
     groups, tried = None, None
@@ -251,7 +256,7 @@ def _linked(plain: DataFrame, classes: DataFrame, percent: int, shingle: int) ->
 
     for turn in range(LEADER_ROUNDS):
         by = labelled()
-        order = F.col("rep") if turn == 0 else F.xxhash64(F.lit(turn), "rep")
+        order = -F.col("met") if turn == 0 else F.xxhash64(F.lit(turn), "rep")
         offers = by.join(apart(by, order), "key").where(
             (F.col("label") != F.col("leader_label")) & _sized_alike("n", "leader_n", percent))
         pairs = offers.groupBy(F.col("rep").alias("a")).agg(F.min(F.struct("order", F.col("leader").alias("b"))).alias("x")).select(
@@ -263,16 +268,8 @@ def _linked(plain: DataFrame, classes: DataFrame, percent: int, shingle: int) ->
         groups = grown(save(_verified(pairs, sets, percent), "links")[0])
 
     by = labelled()
-    open_keys = apart(by, F.col("rep")).select("key", "leader_label")
-    left_over = by.join(open_keys, "key")
-    # all members of an open bucket against those outside its leader's group
-    ones = left_over.select("key", F.col("rep").alias("a"), F.col("n").alias("an"), F.col("label").alias("al"))
-    others = left_over.where(F.col("label") != F.col("leader_label")).select(
-        "key", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("label").alias("bl"),
-        F.col("leader_label").alias("ll"))
-    pairs = ones.join(others, "key").where(
-        (F.col("al") != F.col("bl")) & ((F.col("a") < F.col("b")) | (F.col("al") == F.col("ll"))) & _sized_alike("an", "bn", percent)
-    ).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    left_over = by.join(apart(by, F.col("rep")).select("key"), "key").select(F.col("rep").alias("id"), "label").distinct()
+    pairs = _likely(sets.join(left_over, "id"), percent)
     done = tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs, seen = save(pairs.join(done, ["a", "b"], "left_anti"), "rest")
     if not seen["rows"]:
@@ -280,6 +277,33 @@ def _linked(plain: DataFrame, classes: DataFrame, percent: int, shingle: int) ->
     return grown(save(_verified(pairs, sets, percent), "links")[0])
 
 
+def _likely(sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b), a > b, of sets (id, label, n, shingles) with different labels that can be similar enough.
+
+    Two sets of n and m elements that share at least s of them have an element in common
+    among the first n - s + 1 of the one and the first m - s + 1 of the other, in
+    any order of all elements. In the order from rare to frequent, what near copies do not share comes first.
+    """
+    own = sets.withColumn("set", F.xxhash64("shingles"))
+    each, _ = save(own.select("id", "set", "label", "n", F.explode("shingles").alias("e")), "elements")
+    often = each.groupBy("e").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") > 1)
+    # elements of one set alone come first of all, and match nothing
+    inside = F.sort_array(F.collect_list(F.struct("times", "e")))
+    ranked = each.join(often, "e").groupBy("id", "set", "label", "n").agg(inside.alias("x")).withColumn(
+        "alone", F.col("n") - F.size("x"))
+    firsts = F.floor(F.col("n") * (100 - percent) / 100) + 1 - F.col("alone")
+    rows, _ = save(ranked.where(firsts > 0).select(
+        "id", "label", "n", "alone", F.posexplode(F.slice("x", F.lit(1), firsts.cast("int"))).alias("at", "x")
+    ).select("id", "label", "n", (F.col("alone") + F.col("at") + 1).alias("place"), "x.e"), "prefixes")
+    left = rows.select("e", *[F.col(c).alias(f"a_{c}") for c in ("id", "label", "n", "place")])
+    right = rows.select("e", *[F.col(c).alias(f"b_{c}") for c in ("id", "label", "n", "place")])
+    least = F.ceil((F.col("a_n") + F.col("b_n")) * percent / (100 + percent))
+    return left.join(right, "e").where(
+        (F.col("a_id") > F.col("b_id")) & (F.col("a_label") != F.col("b_label"))
+        & (F.col("a_n") - F.col("a_place") + 1 >= least) & (F.col("b_n") - F.col("b_place") + 1 >= least)
+    ).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+
+
 def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80,
                             shingle: int = SHINGLE) -> DataFrame:
     """One row of each group, the columns of ``docs``; rows without an id all stay."""
