@@ -42,8 +42,8 @@ ORDER = 2
 SMOOTHING = 0.1
 #: weight of the shorter context, in tokens
 MU = 400.0
-BLOCK_BYTES = 12_000_000
-PART_KEYS = 2_000_000
+BLOCK_BYTES = 5_000_000
+PART_KEYS = 700_000
 #: shortest mean stretch of bytes a token takes; only the number of parts depends on it
 TOKEN_BYTES = 6
 
@@ -95,13 +95,42 @@ def block_counts(column: pa.Array, train: np.ndarray, order: int) -> tuple[np.nd
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """Numbers byte by byte of the same weight: sorted keys then compress."""
-    return np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+    """Numbers byte by byte of the same weight, compressed: of sorted keys the leading bytes vanish."""
+    plain = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+    return len(plain).to_bytes(8, "little") + pa.compress(plain, "zstd", asbytes=True)
 
 
 def unpacked(data: bytes, kind: str) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.frombuffer(data, np.uint8).reshape(width, -1).T.copy().view(kind).ravel()
+    plain = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+    return np.frombuffer(plain, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
+def parcels(docs: DataFrame) -> DataFrame:
+    """(block, parcel): the rows of ``docs`` (with a column block), those of a block packed and compressed together.
+
+    Texts move twice, once to be counted and once to be scored; parcels take half the room of rows.
+    """
+    def run(batches):
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in batches:
+            blocks = batch.column("block").to_numpy()
+            order = np.argsort(blocks, kind="stable")
+            cuts = np.flatnonzero(np.append(True, blocks[order][1:] != blocks[order][:-1])) if len(order) else []
+            rows = batch.drop_columns(["block"])
+            names, parts = [], []
+            for a, b in zip(cuts, [*cuts[1:], len(order)]):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
+                    out.write_batch(rows.take(pa.array(order[a:b])))
+                names.append(int(blocks[order[a]]))
+                parts.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(parts, pa.binary())], names=["block", "parcel"])
+
+    return docs.mapInArrow(run, "block bigint, parcel binary")
+
+
+def opened(parcels_: pa.ChunkedArray) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(p.as_buffer()).read_all() for p in parcels_]).combine_chunks()
 
 
 def _part_edges(parts: int) -> np.ndarray:
@@ -213,9 +242,11 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", trains=None
     volume = plain.agg(F.sum(F.octet_length("text").cast("bigint") + 1)).first()[0] or 1
     blocks, parts = -(-volume // BLOCK_BYTES), max(1, volume * order // TOKEN_BYTES // PART_KEYS)
     dealt = plain.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
+    counting, scoring = parcels(dealt.select("block", "text", "train")), parcels(dealt)
 
     def count(batch: pa.Table) -> pa.Table:
-        keys, counts = block_counts(batch.column("text").combine_chunks(), batch.column("train").to_numpy(), order)
+        rows_ = opened(batch.column("parcel"))
+        keys, counts = block_counts(rows_.column("text").combine_chunks(), rows_.column("train").to_numpy(), order)
         cuts = np.concatenate([[0], np.searchsorted(keys, _part_edges(parts)), [len(keys)]])
         rows = [(p, packed(keys[a:b]), packed(counts[a:b].astype(np.uint32))) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
         block = batch.column("block")[0].as_py()
@@ -242,7 +273,7 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", trains=None
         kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
         return pa.table({n: pa.array(c, k) for n, c, k in zip(("block", "keys", "totals", "tokens", "words"), columns, kinds)})
 
-    runs = dealt.select("block", "text", "train").groupBy("block").applyInArrow(
+    runs = counting.groupBy("block").applyInArrow(
         count, "part bigint, block bigint, keys binary, counts binary")
     answers, seen = save(
         runs.groupBy("part").applyInArrow(answer, "block bigint, keys binary, totals binary, tokens bigint, words bigint"),
@@ -250,15 +281,16 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", trains=None
     total, distinct = seen["tokens"] or 0, seen["words"] or 0
     kind = plain.schema["id"].dataType.simpleString()
 
-    def traverse(batch: pa.Table, answered: pa.Table) -> pa.Table:
+    def traverse(block: pa.Table, answered: pa.Table) -> pa.Table:
+        batch = opened(block.column("parcel"))
         column, train_ = batch.column("text").combine_chunks(), batch.column("train").to_numpy()
         keys, counts = block_counts(column, train_, order)
         for k, t in zip(answered.column("keys"), answered.column("totals")):
             counts[np.searchsorted(keys, unpacked(k.as_py(), "<u8"))] = unpacked(t.as_py(), "<i8")
         model = Automaton(keys, counts, total, distinct, order, mu)
         n, known, base, score = [], [], [], []
-        for a in range(0, len(column), 2048):
-            tokens, first = padded(column.slice(a, 2048))
+        for a in range(0, len(column), 1024):
+            tokens, first = padded(column.slice(a, 1024))
             at = model.entries(tokens, first)
             each = at[0] >= 0
             known.append(np.add.reduceat(np.where(each, model.seen[at[0]], False).astype(np.int64), first[:-1]))
@@ -270,7 +302,7 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", trains=None
             "n_known": np.concatenate(known), "train_tokens": np.full(len(column), total, np.int64),
             "base_score": np.concatenate(base), "score": np.concatenate(score)})
 
-    return dealt.groupBy("block").cogroup(answers.where("block >= 0").select("block", "keys", "totals").groupBy("block")).applyInArrow(
+    return scoring.groupBy("block").cogroup(answers.where("block >= 0").select("block", "keys", "totals").groupBy("block")).applyInArrow(
         traverse, f"id {kind}, trained boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
 
 
