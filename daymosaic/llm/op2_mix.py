@@ -5,13 +5,13 @@ of the budget by weight, at most ``MAX_REPEATS`` times its size; what is cut
 off goes to the other sources by weight. Whole passes over a source are taken
 first. For the rest, every length gives the same fraction of its documents,
 rounded down; a bounded-knapsack dynamic programme over the remaining counts
-by length fits what is then left of the budget; and of each length as many
-documents as the plan says are selected, in the order of a seeded hash.
+by length fits what is then left of the budget (all of it, when that is a few long
+documents); and of each length as many documents as the plan says are selected, in the order of a seeded hash.
 
 A plan needs one row for each (source, length) and reads nothing else, so it
 is made by one task a source from counts whose number depends on the
 longest document, not on the number of documents. The programme's table is as
-long as ``2 * longest document`` words at most.
+long as ``4 * longest document`` words at most.
 
 Selecting needs no large group in one task either: documents of one source and
 length are ranked in buckets of their hash, 4096 a group, and a bucket's first
@@ -106,14 +106,18 @@ def plan_source(lengths: np.ndarray, counts: np.ndarray, target: float, seed: in
     passes, left = divmod(wanted, total)
     if not left:
         return passes, extra
+    order = np.random.default_rng(seed).permutation(len(lengths))
+    order = order[lengths[order] > 0]
+    window = int(lengths.max())
+    if left <= 4 * window:  # a few long documents decide: all counts go into the programme
+        extra[order] = fit(lengths[order], counts[order], left)
+        return passes, extra
     # as exact integers: counts and budgets may be large
     extra = np.array([int(c) * left // total for c in counts], np.int64)
     extra[lengths == 0] = 0
     left -= int((lengths * extra).sum())
-    order = np.random.default_rng(seed).permutation(len(lengths))
-    window = int(lengths.max())
     for i in order:  # one more of some lengths, until the table of sums is short
-        if left > window and lengths[i] and extra[i] < counts[i] and lengths[i] <= left - window:
+        if extra[i] < counts[i] and lengths[i] <= left - window:
             extra[i] += 1
             left -= int(lengths[i])
     while left > 2 * window:  # lengths with several spare copies
@@ -124,7 +128,6 @@ def plan_source(lengths: np.ndarray, counts: np.ndarray, target: float, seed: in
         more = min(int(counts[i] - extra[i]), max(1, (left - window) // int(lengths[i])))
         extra[i] += more
         left -= more * int(lengths[i])
-    order = order[lengths[order] > 0]
     extra[order] += fit(lengths[order], (counts - extra)[order], left)
     return passes, extra
 

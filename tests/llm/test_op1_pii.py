@@ -1,0 +1,68 @@
+import re
+
+from daymosaic.llm import op1_pii as pii
+
+KEY = "test"
+
+
+def mask(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    return {r["doc_id"]: r for r in pii.masked(df, key=KEY).collect()}
+
+
+def luhn(number):
+    digits = [int(c) for c in number if c.isdigit()][::-1]
+    return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
+
+
+def test_formats_coreference_and_distinctness(spark):
+    out = mask(spark, [
+        "write to ann.lee@mail.org or ANN.LEE@MAIL.ORG, not to bo@mail.org",
+        "cards 4111 1111 1111 1111 and 4111111111111111 and 4111111111111112",
+        "call +49 170 1234567 or +49-170-1234567, +1 (017) 555-7713", "at 192.168.3.4, 8.8.8.8.", "ssn 123-45-6789",
+        'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"', "ann.lee@mail.org again"])
+    mails = re.findall(r"\S+@[\w.]+\w", out[0]["text"])
+    assert mails[0].upper() == mails[1] and len(set(m.lower() for m in mails)) == 2 and mails[0] in out[6]["text"]
+    assert all(re.fullmatch(r"[^@]+@example\.(com|net|org)", m.lower()) for m in mails)
+    one, two, three = re.fullmatch(r"cards (.{19}) and (\d{16}) and (\d{16})", out[1]["text"]).groups()
+    assert one.replace(" ", "") == two != three and one[0] == "4" and luhn(one) and not luhn(three)
+    a, b, c = re.fullmatch(r"call (\+49 \d{3} \d{7}) or (\+49-\d{3}-\d{7}), (\+1 \(\d{3}\) \d{3}-\d{4})", out[2]["text"]).groups()
+    assert re.sub(r"\D", "", a) == re.sub(r"\D", "", b) and a != "+49 170 1234567"
+    assert re.fullmatch(r"at 192\.168\.\d+\.\d+, \d+\.\d+\.\d+\.\d+\.", out[3]["text"]) and "8.8.8.8" not in out[3]["text"]
+    assert re.fullmatch(r"ssn \d{3}-\d{2}-\d{4}", out[4]["text"]) and "6789" != out[4]["text"][-4:]
+    assert re.fullmatch(r'token = "[0-9a-f]{40}"', out[5]["text"]) and "04dbebab" not in out[5]["text"]
+    assert out[0]["n_entities"] == 3 and out[2]["kinds"] == ["phone"]
+
+
+def test_names_keep_gender_script_and_identity(spark):
+    out = mask(spark, ["Mr. John Smith met Mrs. Smith and Dr. Anna Braun", "госпожа Ольга Петрова", "John Smith and Frau Braun"])
+    first = re.fullmatch(r"Mr\. (\w+) (\w+) met Mrs\. (\w+) and Dr\. (\w+) (\w+)", out[0]["text"]).groups()
+    assert first[1] == first[2] and not {"John", "Smith", "Anna", "Braun"} & set(first)
+    assert first[0].endswith("n") and first[3].endswith("na")
+    assert re.fullmatch(r"госпожа [А-Яа-я]+на [А-Яа-я]+лер", out[1]["text"])
+    assert out[2]["text"] == f"{first[0]} {first[1]} and Frau {first[4]}"
+
+
+def test_collisions_are_drawn_again(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    real = pii.drawn
+    # the first attempt gives everything the same surrogate, and one that is an entity
+    monkeypatch.setattr(pii, "drawn", lambda kind, canon, attempt, key: (
+        F.lit("1.2.3.4") if attempt == 0 else F.lit("5.6.7.8") if attempt == 1 else real(kind, canon, attempt, key)))
+    entities = spark.createDataFrame([("ipv4", f"1.2.3.{i}") for i in range(4, 40)], "kind string, canon string")
+    rows = pii.surrogates(entities, KEY).collect()
+    made = [r["surrogate"] for r in rows]
+    assert len(made) == len(set(made)) == 36 and not set(made) & {r["canon"] for r in rows} and "5.6.7.8" in made
+
+
+def test_clean_and_awkward_texts_stay(spark, awkward):
+    out = pii.masked(awkward.withColumnRenamed("n_chars", "kinds"))
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_entities", "kinds"]
+    same = lambda rows: sorted((str(r["doc_id"]), str(r["text"])) for r in rows)
+    assert same(out.collect()) == same(awkward.collect())
+    assert pii.masked(awkward.limit(0)).count() == 0
+
+
+def test_main_path_has_no_python(spark, data, plan):
+    text = plan(pii.query(spark, data))
+    assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
