@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymosaic.llm.tables import BLANKS, let, save, table, word_array
+from daymosaic.llm.tables import BLANK_CLASS, BLANKS, let, save, table, word_array
 
 SAMPLE_ROWS = 2_000
 SYMBOLS = "[#*$%&|<>]"
@@ -56,11 +56,12 @@ RULES = (
 )
 
 
-def _repeated(words: Column, n: Column) -> Column:
-    """Words inside runs of three that occur at least twice; ``words`` and ``n`` are columns."""
-    last = n - F.lit(3)
-    hashes = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2]))
-    runs = F.sort_array(F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
+def _repeated(words: Column) -> Column:
+    """Words inside runs of three that occur at least twice; ``words`` must be a column or bound by ``let``."""
+    n = F.size(words)
+    places = F.sequence(F.lit(0), n - F.lit(3))
+    hashes = F.transform(places, lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2]))
+    runs = F.sort_array(F.transform(places, lambda i: F.struct(
         F.concat_ws(" ", words[i], words[i + 1], words[i + 2]).alias("run"), i.alias("at"))))
     repeated = let(runs, lambda s: F.sort_array(F.transform(F.filter(
         F.transform(s, lambda x, k: F.struct(
@@ -75,22 +76,21 @@ def _repeated(words: Column, n: Column) -> Column:
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``text`` null as empty and the measures as columns."""
+    """``docs`` with ``text`` null as empty and the measures as columns.
+
+    Every measure binds its own words or lines, so the optimizer may move or repeat
+    it, as it does below a filter, without making them for each word again.
+    """
     t = F.col("text")
-    lines = let(F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != ""),
-                lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("distinct")))
-    # words and lines are columns of their own, so that each is made once
-    split = docs.withColumn("text", F.coalesce(F.col(text), F.lit(""))).withColumns(
-        {"__words": word_array(t), "__lines": lines})
-    counted = split.withColumn("__n", F.size("__words"))
-    return counted.withColumns({
-        "n_words": F.col("__n").cast("bigint"),
-        "word_chars": F.length(F.array_join("__words", "")).cast("bigint"),
+    lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
+    return docs.withColumn("text", F.coalesce(F.col(text), F.lit(""))).withColumns({
+        "n_words": F.size(word_array(t)).cast("bigint"),
+        "word_chars": F.length(F.regexp_replace(t, f"{BLANK_CLASS}+", "")).cast("bigint"),
         "n_symbols": (F.length(t) - F.length(F.regexp_replace(t, SYMBOLS, ""))).cast("bigint"),
-        "n_lines": F.col("__lines.n").cast("bigint"),
-        "n_dup_lines": (F.col("__lines.n") - F.col("__lines.distinct")).cast("bigint"),
-        "n_repeat_words": _repeated(F.col("__words"), F.col("__n")),
-    }).drop("__words", "__lines", "__n")
+        "n_lines": F.size(lines).cast("bigint"),
+        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
+        "n_repeat_words": let(word_array(t), _repeated),
+    })
 
 
 def rejected(rule: Rule) -> Column:

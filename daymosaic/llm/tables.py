@@ -30,7 +30,7 @@ def trimmed(text: Column) -> Column:
 def word_array(text: Column) -> Column:
     """The words of a text, in order; no words for null, empty and blank texts.
 
-    One projection only: bind it to a column before it is used twice.
+    Bind it with ``let`` where a lambda looks into it.
     """
     return F.filter(F.split(trimmed(text), f"{BLANK_CLASS}+"), lambda w: w != "")
 

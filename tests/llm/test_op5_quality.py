@@ -29,7 +29,7 @@ def test_measures_equal_brute_force(spark, awkward, documents):
 @pytest.fixture
 def few_rules():
     return (quality.Rule("never", "n_words < 0"), quality.Rule("short", "n_words < 3"),
-            quality.Rule("costly", "length(regexp_replace(text, '([a-z]+ )*', '')) < 0"), quality.Rule("unknown", "null"))
+            quality.Rule("costly", "length(regexp_replace(text, '[aeiou]+', '')) < 0"), quality.Rule("unknown", "null"))
 
 
 def test_order_puts_rejection_per_cost_first(spark, awkward, few_rules):
@@ -37,12 +37,12 @@ def test_order_puts_rejection_per_cost_first(spark, awkward, few_rules):
     assert order[0].name == "short" and set(order) == set(few_rules)
 
 
-def test_verdict_does_not_depend_on_the_order(spark, awkward):
+def test_verdict_does_not_depend_on_the_order(spark, awkward, documents):
     rules = quality.BASE_RULES + quality.RULES
-    measured = quality.measured(awkward)
+    measured = quality.measured(awkward.unionByName(documents([(30, " ".join(f"good{i}" for i in range(80)), None, None, 0)])))
     kept = [sorted(str(r["doc_id"]) for r in measured.where(quality.first_rejection(list(o)).isNull()).collect())
             for o in (rules, rules[::-1])]
-    assert kept[0] == kept[1] == ["8"]
+    assert kept[0] == kept[1] == ["30"]
 
 
 def test_later_rules_are_not_evaluated(spark, awkward):
