@@ -63,8 +63,8 @@ def _byte_hex(c: str) -> str:
 
 
 def ramp_position(value: str, low: str, high: str, var: str) -> str:
-    """Place in [0, 1] of the ramp; reversed variables run the other way."""
-    share = f"CASE WHEN {high} = {low} THEN 0.5D ELSE ({value} - {low}) / nullif({high} - {low}, 0D) END"
+    """Place in [0, 1] of the ramp; reversed variables run the other way. A missing value has none, in a flat layer too."""
+    share = f"CASE WHEN {value} IS NULL OR isnan({value}) THEN NULL WHEN {high} = {low} THEN 0.5D ELSE ({value} - {low}) / nullif({high} - {low}, 0D) END"
     reversed_vars = ", ".join(f"'{v}'" for v in REVERSED_RAMPS)
     return f"CASE WHEN {var} IN ({reversed_vars}) THEN 1D - ({share}) ELSE {share} END"
 
