@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import struct
+import zlib
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import INDICATORS, PALETTE_LABEL, ROUNDING_FACTOR
@@ -10,8 +15,12 @@ from daymosaic.functions.text import compact_date
 from daymosaic.operators.raster import coloured, scaled_layers, unpivot_vars, var_ranges
 from daymosaic.schemas import GridSpec
 
-#: pixels one image may have; an image is put together in one task
-MAX_PIXELS = 25_000_000
+#: lines of an image encoded at a time
+STRIP_ROWS = 256
+STRIP = "chunk binary, a long, b long, size long"
+WHITE = 0xFFFFFF
+#: modulus of the Adler-32 sum
+ADLER_BASE = 65521
 
 
 def image_legend(layers: DataFrame, target: GridSpec, variables=INDICATORS) -> DataFrame:
@@ -31,25 +40,28 @@ def _describe(ranges: DataFrame, target: GridSpec, *more) -> DataFrame:
     )
 
 
-def image_table(layers: DataFrame, target: GridSpec, variables=INDICATORS) -> DataFrame:
+def image_table(layers: DataFrame, target: GridSpec, variables=INDICATORS, strip_rows: int = STRIP_ROWS) -> DataFrame:
     """Image rows of layers on ``target`` (date, row, col, variables).
 
-    A group is one image, so its size is fixed by the grid, not by the data; a
-    grid beyond ``MAX_PIXELS`` is refused.
+    Python sees one strip of ``strip_rows`` lines at a time, whatever the height of
+    the image; strips are put together in the JVM. A strip without any pixel in
+    ``layers`` is white.
     """
-    if target.ncell > MAX_PIXELS:
-        raise ValueError(f"an image of {target.ncell} pixels is too large for one task")
     pixels = coloured(unpivot_vars(scaled_layers(layers, variables), ["date", "row", "col"], variables))
     known = F.length("colour") == 7
-    images = pixels.select(
-        "date", "var", "min_value", "max_value",
-        (F.col("row") * target.ncol + F.col("col")).alias("at"),
-        F.when(known, F.conv(F.substring("colour", 2, 6), 16, 10).cast("int")).otherwise(0xFFFFFF).alias("rgb"),
-    ).groupBy("date", "var").applyInPandas(
-        _encoder(target.ncol, target.nrow),
-        "date date, var string, min_value double, max_value double, png binary",
+    row = F.col("row").cast("long")
+    strips = pixels.select(
+        "date", "var", "min_value", "max_value", F.floor(row / strip_rows).alias("strip"),
+        ((row % strip_rows) * target.ncol + F.col("col")).alias("at"),
+        F.when(known, F.conv(F.substring("colour", 2, 6), 16, 10).cast("int")).otherwise(WHITE).alias("rgb"),
+    ).groupBy("date", "var", "min_value", "max_value", "strip").applyInPandas(
+        _encoder(target.ncol, target.nrow, strip_rows),
+        f"date date, var string, min_value double, max_value double, strip long, {STRIP}",
+    )
+    images = strips.groupBy("date", "var", "min_value", "max_value").agg(
+        F.map_from_entries(F.collect_list(F.struct("strip", F.struct("chunk", "a", "b", "size")))).alias("strips")
     )
-    text = F.concat(F.lit("data:image/png;base64,"), F.base64("png"))
+    text = F.concat(F.lit("data:image/png;base64,"), F.base64(_png(target.ncol, target.nrow, strip_rows)))
     described = _describe(images, target, text.alias("base64_string"))
     return described.select(
         "date", "var", "palette_selected", "base64_string",
@@ -57,29 +69,64 @@ def image_table(layers: DataFrame, target: GridSpec, variables=INDICATORS) -> Da
     )
 
 
-def _encoder(ncol: int, nrow: int):
-    def encode(group):
-        import struct
-        import zlib
+def _chunk(kind: bytes, body: bytes) -> bytes:
+    return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
 
-        import numpy as np
 
-        def chunk(kind: bytes, body: bytes) -> bytes:
-            return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+def _strip(ncol: int, rows: int, first: bool, at=(), rgb=()) -> tuple[bytes, int, int, int]:
+    """IDAT chunk of some lines, the two halves of their Adler-32 sum, and their length.
 
-        # pixels without a value are white, and white is declared transparent
-        flat = np.full(ncol * nrow, 0xFFFFFF, dtype=">u4")
-        flat[group["at"].to_numpy()] = group["rgb"].to_numpy()
-        lines = np.zeros((nrow, 1 + 3 * ncol), dtype=np.uint8)
-        lines[:, 1:] = flat.view(np.uint8).reshape(nrow, ncol, 4)[:, :, 1:].reshape(nrow, 3 * ncol)
-        png = b"".join([
-            b"\x89PNG\r\n\x1a\n",
-            chunk(b"IHDR", struct.pack(">IIBBBBB", ncol, nrow, 8, 2, 0, 0, 0)),
-            chunk(b"tRNS", b"\x00\xff" * 3),
-            chunk(b"IDAT", zlib.compress(lines.tobytes(), 6)),
-            chunk(b"IEND", b""),
-        ])
-        first = group.iloc[:1][["date", "var", "min_value", "max_value"]]
-        return first.assign(png=[png])
+    The compressed bytes end at a byte, so those of the next strip may follow.
+    Pixels without a value are white, and white is declared transparent.
+    """
+    flat = np.full(ncol * rows, WHITE, dtype=">u4")
+    flat[np.asarray(at, dtype=np.int64)] = rgb
+    lines = np.zeros((rows, 1 + 3 * ncol), dtype=np.uint8)
+    lines[:, 1:] = flat.view(np.uint8).reshape(rows, ncol, 4)[:, :, 1:].reshape(rows, 3 * ncol)
+    raw = lines.tobytes()
+    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = (b"\x78\x9c" if first else b"") + packer.compress(raw) + packer.flush(zlib.Z_FULL_FLUSH)
+    total = zlib.adler32(raw)
+    return _chunk(b"IDAT", body), total & 0xFFFF, total >> 16, len(raw)
+
+
+def _encoder(ncol: int, nrow: int, strip_rows: int):
+    def encode(key, group):
+        strip = int(key[-1])
+        done = _strip(ncol, min(strip_rows, nrow - strip * strip_rows), strip == 0, group["at"].to_numpy(), group["rgb"].to_numpy())
+        return pd.DataFrame([(*key, *done)], columns=["date", "var", "min_value", "max_value", "strip", "chunk", "a", "b", "size"])
 
     return encode
+
+
+def _png(ncol: int, nrow: int, strip_rows: int) -> Column:
+    """Bytes of an image from its map ``strips``."""
+    n = -(-nrow // strip_rows)
+
+    def white(strip: int) -> Column:
+        chunk, *sums = _strip(ncol, min(strip_rows, nrow - strip * strip_rows), strip == 0)
+        return F.struct(F.lit(chunk).alias("chunk"), *[F.lit(v).cast("long").alias(c) for v, c in zip(sums, ("a", "b", "size"))])
+
+    def strip_or_white(i: Column) -> Column:
+        blank = F.when(i == 0, white(0)).when(i == n - 1, white(n - 1)).otherwise(white(min(1, n - 1)))
+        return F.coalesce(F.col("strips")[i], blank)
+
+    def add(total: Column, strip: Column) -> Column:
+        a = (total["a"] + strip["a"] - 1 + ADLER_BASE) % ADLER_BASE
+        b = (total["b"] + strip["b"] + strip["size"] % ADLER_BASE * (total["a"] - 1 + ADLER_BASE)) % ADLER_BASE
+        return F.struct(a.alias("a"), b.alias("b"))
+
+    def four_bytes(number: Column) -> Column:
+        return F.lpad(F.hex(number), 8, "0")
+
+    strips = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")), strip_or_white)
+    start = F.struct(F.lit(1).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
+    adler = F.aggregate(strips, start, add, lambda t: t["b"] * 65536 + t["a"])
+    # an empty last block and the sum over all lines end the compressed stream
+    last = F.concat(F.lit((b"IDAT" + b"\x03\x00").hex()), four_bytes(adler))
+    head = b"\x89PNG\r\n\x1a\n" + _chunk(b"IHDR", struct.pack(">IIBBBBB", ncol, nrow, 8, 2, 0, 0, 0)) + _chunk(b"tRNS", b"\x00\xff" * 3)
+    return F.unhex(F.concat(
+        F.lit(head.hex()), F.array_join(F.transform(strips, lambda s: F.hex(s["chunk"])), ""),
+        F.lit("00000006"), last, four_bytes(F.crc32(F.unhex(last))),
+        F.lit(_chunk(b"IEND", b"").hex()),
+    ))

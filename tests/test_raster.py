@@ -86,6 +86,12 @@ def test_psi_ramp_hits_the_anchors_at_its_breaks(spark):
     assert ramp(spark, "Psi", list(breaks), 0.0, 1.0) == list(RAMP_COLOURS)
 
 
+def test_missing_values_of_a_flat_layer_stay_missing(spark):
+    df = spark.createDataFrame([(D1, "PET", 2.0), (D1, "PET", None), (D1, "PET", float("nan"))], "date date, var string, value double")
+    colours = [r["colour"] for r in ra.coloured(df).collect()]
+    assert sorted(colours) == ["#F2EFF2", "#FFFFFF00", "#FFFFFF00"]
+
+
 def test_missing_and_flat_layers(spark):
     assert ramp(spark, "PET", [None, NAN]) == ["#FFFFFF00"] * 2
     assert ramp(spark, "PET", [4.0], 4.0, 4.0) == [RAMP_COLOURS[4]]
@@ -162,7 +168,7 @@ def decode(uri):
         (n,), kind = struct.unpack(">I", data[at:at + 4]), data[at + 4:at + 8]
         body = data[at + 8:at + 8 + n]
         assert struct.unpack(">I", data[at + 8 + n:at + 12 + n])[0] == zlib.crc32(kind + body)
-        chunks[kind] = body
+        chunks[kind] = chunks.get(kind, b"") + body
         at += 12 + n
     width, height, depth, kind = struct.unpack(">IIBB", chunks[b"IHDR"][:10])
     assert (depth, kind) == (8, 2) and chunks[b"tRNS"] == b"\x00\xff" * 3
@@ -189,10 +195,17 @@ def test_images_hold_the_colours_of_their_layer(spark):
     assert legend == {k: (v["min_value"], v["max_value"]) for k, v in rows.items()}
 
 
-def test_oversized_images_are_refused(spark):
-    df = wide(spark, [(D1, 0, 0, 1.0)], "date date, row long, col long")
-    with pytest.raises(ValueError, match="too large"):
-        image_table(df, GridSpec(0.0, 10000.0, 0.0, 10000.0, 1.0))
+@pytest.mark.parametrize("nrow", [1, 2, 3, 4, 7, 9])
+def test_an_image_of_strips_is_the_image_of_its_pixels(spark, nrow):
+    target = GridSpec(0.0, 4.0, 0.0, float(nrow), 1.0)
+    values = {(r, c): float(r * 4 + c) for r in range(nrow) for c in range(4) if r < 3 or r > 5}   # the second strip may be empty
+    df = wide(spark, [(D1, r, c, v) for (r, c), v in values.items()], "date date, row long, col long")
+    one = next(r for r in image_table(df, target, strip_rows=3).collect() if r["var"] == "Theta")
+    pixels = decode(one["base64_string"])
+    shades = {(r["row"], r["col"]): r["colour"] for r in ra.coloured(ra.unpivot_vars(
+        ra.scaled_layers(df, INDICATORS), ["date", "row", "col"], INDICATORS)).where("var = 'Theta'").collect()}
+    want = [[tuple(bytes.fromhex(shades[r, c][1:7])) if (r, c) in shades else (255,) * 3 for c in range(4)] for r in range(nrow)]
+    assert pixels == want
 
 
 def test_images_from_observations(spark):
