@@ -8,7 +8,8 @@ the input views are shared with the Spark side.
 from __future__ import annotations
 
 from catalogue.queries import (
-    BUCKET_CAPACITY, BUCKET_START, FEW_DATES, MANY_DATES, RUN_DATE, TARGET_COLS, TARGET_ROWS,
+    BUCKET_CAPACITY, BUCKET_START, FEW_DATES, MANY_DATES, RUN_DATE, SIMULATED, SIMULATION_RUN, STATE_SHIFT, TARGET_COLS,
+    TARGET_ROWS,
 )
 from catalogue.views import GRID, NAN, UTM_GRID, sql, with_views
 from daymosaic.fixed_values import (
@@ -27,10 +28,6 @@ def each(template: str, names=INDICATORS) -> str:
     return ", ".join(template.format(v=v) for v in names)
 
 
-def monthly(source: str, name: str = "monthly") -> str:
-    return f"{name} AS (SELECT * EXCLUDE (date), CAST(date_trunc('month', date) AS DATE) AS date FROM {source})"
-
-
 # --- cleaning ---------------------------------------------------------------------------------
 
 BAD = "(Psi IS NULL OR isnan(Psi) OR Psi = -40 OR coalesce(isnan(DDS), false) OR coalesce(isnan(LFMC), false))"
@@ -162,15 +159,15 @@ FROM counts c LEFT JOIN texts t ON t.run_date = c.run_date"""
 
 ORACLES["scan_day_partition"] = f"""WITH {with_views('points', 'points_obs')}
 SELECT x, y, {VARS} FROM points_obs JOIN points USING (point_id)
-WHERE date BETWEEN DATE '2001-07-01' AND DATE '2001-07-31'"""
-ORACLES["write_partitioned_day"] = f"""WITH {with_views('points_obs')}, {monthly('points_obs')}
-SELECT obs_id, date, CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month, 1 AS day, {VARS}
-FROM monthly"""
-ORACLES["point_layer_export"] = f"""WITH {CLEAN}, {monthly('clean')}, {with_views('points')}
+WHERE date = DATE '2001-07-26'"""
+ORACLES["write_partitioned_day"] = f"""WITH {with_views('points_obs')}
+SELECT obs_id, date, CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month, CAST(day(date) AS INT) AS day, {VARS}
+FROM points_obs"""
+ORACLES["point_layer_export"] = f"""WITH {CLEAN}, {with_views('points')}
 SELECT m.*, x, y, 'POINT (' || CAST(x AS VARCHAR) || ' ' || CAST(y AS VARCHAR) || ')' AS wkt
-FROM monthly m JOIN points USING (point_id)"""
+FROM clean m JOIN points USING (point_id)"""
 ORACLES["state_checkpoint"] = """SELECT c_nationkey AS province, o_custkey AS point_id,
-  CAST(date_trunc('year', o_orderdate) AS DATE) AS date, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS state
+  CAST(o_orderdate AS DATE) AS date, max(o_orderkey) AS state
 FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL"""
 ORACLES["regex_projection"] = f"WITH {with_views('points_obs')} SELECT {VARS} FROM points_obs"
 ORACLES["union_by_name"] = f"""WITH {with_views('points_obs', 'water')}
@@ -251,6 +248,25 @@ SELECT r.point_id, r.date, coalesce(CAST(k.state_date AS VARCHAR), 'initial') AS
 FROM requests r LEFT JOIN ranked k ON k.point_id = r.point_id AND k.date = r.date AND k.rn = 1"""
 
 
+def simulation() -> str:
+    days = ", ".join(f"(DATE '{d}')" for d in SIMULATED)
+    soil = lambda s, k: f"(({s} + {k}) % 64) / 64.0::DOUBLE"
+    state = "coalesce(k.state, -r.point_id)"
+    return f"""WITH {FILLED}, {with_views('history')}, asked AS (SELECT * FROM (VALUES {days}) AS t(date)),
+requests AS (SELECT point_id, province, cell, date FROM placed CROSS JOIN asked),
+stored AS (SELECT point_id, state_date + {STATE_SHIFT} AS state_date, state FROM history),
+ranked AS (SELECT r.point_id, r.date, CAST(h.state_date AS DATE) AS state_date, h.state,
+    row_number() OVER (PARTITION BY r.point_id, r.date ORDER BY h.state_date DESC, h.state DESC) AS rn
+  FROM requests r JOIN stored h ON h.point_id = r.point_id
+   AND h.state_date <= r.date - 1 AND h.state_date >= least(r.date - 1, DATE '{SIMULATION_RUN}' - 387))
+SELECT r.point_id, r.province, r.date, coalesce(CAST(k.state_date AS VARCHAR), 'initial') AS stored, {state} AS swc,
+  CAST(2 AS BIGINT) AS layers, {soil(state, 0)} AS first_w, {soil(state, 1)} AS second_w,
+  f.n_rows, f.n_known, {each('f.sum_{v}', WEATHER_VARS)}
+FROM requests r JOIN filled f ON f.cell IS NOT DISTINCT FROM r.cell AND f.dates = r.date
+LEFT JOIN ranked k ON k.point_id = r.point_id AND k.date = r.date AND k.rn = 1"""
+
+
+ORACLES["simulation_input"] = simulation()
 ORACLES["state_asof"] = asof(FEW_DATES)
 ORACLES["state_asof_window"] = asof(MANY_DATES)
 
@@ -319,9 +335,9 @@ GROUP BY admin_level, polygon_id, date"""
 
 
 ORACLES["poly_daily_means"] = f"WITH {CLEAN}, {LOCATED} {regional('clean')}"
-ORACLES["timeseries_publish"] = f"WITH {CLEAN}, {monthly('clean')}, {LOCATED} {regional('monthly')}"
-ORACLES["daily_means_filter"] = f"""WITH {with_views('points_obs')}, {monthly('points_obs')}, {LOCATED}
-SELECT admin_level, polygon_id, date, {MEANS} FROM monthly JOIN located USING (point_id)
+ORACLES["timeseries_publish"] = f"WITH {CLEAN}, {LOCATED} {regional('clean')}"
+ORACLES["daily_means_filter"] = f"""WITH {with_views('points_obs')}, {LOCATED}
+SELECT admin_level, polygon_id, date, {MEANS} FROM points_obs JOIN located USING (point_id)
 JOIN regions USING (admin_level, polygon_id) GROUP BY admin_level, polygon_id, date"""
 ORACLES["wkt_rings"] = f"""WITH {REGIONS},
 outer_rings AS (
@@ -338,8 +354,8 @@ FROM outer_rings JOIN all_polygons USING (admin_level, polygon_id)"""
 
 def layers(grid, shift_x: float = 0.0, shift_y: float = 0.0) -> str:
     at = cell(grid, f"(x + {shift_x}::DOUBLE)", f"(y + {shift_y}::DOUBLE)")["cell"]
-    return f"""{CLEAN}, {monthly('clean')}, {with_views('points')},
-on_cells AS (SELECT m.*, {at} AS cell FROM monthly m JOIN points USING (point_id)),
+    return f"""{CLEAN}, {with_views('points')},
+on_cells AS (SELECT m.*, {at} AS cell FROM clean m JOIN points USING (point_id)),
 scattered AS (SELECT date, cell, {VARS} FROM
   (SELECT *, row_number() OVER (PARTITION BY date, cell ORDER BY obs_id DESC) AS rn FROM on_cells
    WHERE cell IS NOT NULL) WHERE rn = 1),

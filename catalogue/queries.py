@@ -18,8 +18,7 @@ from daymosaic.functions.text import (
     compact_date, date_in_name, last_part, partition_digits, state_path,
 )
 from daymosaic.operators import calendar, flatten, imaging, quality, raster, regions, runlog, state, weather
-from daymosaic.plans import maps, regional
-from daymosaic.plans.forcing import day_forcing
+from daymosaic.plans import forcing, maps, regional
 from daymosaic.sources import readers, writers
 
 RUN_DATE = dt.date(2001, 8, 6)
@@ -41,10 +40,6 @@ def _whole(c: str, missing: int = -1) -> Column:
     return F.coalesce(F.col(c), F.lit(missing).cast("bigint")).alias(c)
 
 
-def _monthly(df: DataFrame) -> DataFrame:
-    return df.withColumn("date", F.trunc("date", "month"))
-
-
 def _clean_obs(spark, sf) -> DataFrame:
     return quality.qc_clean(view(spark, sf, "points_obs"))
 
@@ -53,6 +48,10 @@ def _days() -> Column:
     return F.sequence(*[F.lit(d) for d in WEATHER_DAYS])
 
 
+def _day_list() -> list[dt.date]:
+    return [WEATHER_DAYS[0] + dt.timedelta(i) for i in range((WEATHER_DAYS[1] - WEATHER_DAYS[0]).days + 1)]
+
+
 def _runs(spark, sf) -> DataFrame:
     """The run five days after the last observation."""
     return view(spark, sf, "points_obs").agg(F.date_add(F.max("date"), 5).alias("run_date"))
@@ -64,11 +63,11 @@ def _window(spark, sf) -> DataFrame:
 
 # --- sources and sinks ------------------------------------------------------------------------
 
-def _write_months(spark, sf) -> str:
-    """Indicator dataset in a new folder, one day folder per month."""
+def _write_days(spark, sf) -> str:
+    """Indicator dataset in a new folder, one folder a day."""
     root = shared_folder(spark, "indicators")
     points = view(spark, sf, "points").select("point_id", "x", "y")
-    rows = _monthly(view(spark, sf, "points_obs")).join(points, "point_id")
+    rows = view(spark, sf, "points_obs").join(points, "point_id")
     rows = rows.withColumn("geometry", F.struct("x", "y")).drop("x", "y")
     writers.write_partitioned_day(rows, root, sort=["geometry.x", "geometry.y"])
     return root
@@ -76,13 +75,13 @@ def _write_months(spark, sf) -> str:
 
 @query
 def scan_day_partition(spark: SparkSession, sf: str) -> DataFrame:
-    day = readers.scan_day_partition(spark, _write_months(spark, sf), dt.date(2001, 7, 1))
+    day = readers.scan_day_partition(spark, _write_days(spark, sf), dt.date(2001, 7, 26))
     return day.select("geometry.x", "geometry.y", *INDICATORS)
 
 
 @query
 def write_partitioned_day(spark, sf):
-    data = readers.read_indicators(spark, _write_months(spark, sf))
+    data = readers.read_indicators(spark, _write_days(spark, sf))
     return data.select("obs_id", "date", "year", "month", "day", *INDICATORS)
 
 
@@ -100,7 +99,7 @@ def partition_path(spark, sf):
 def point_layer_export(spark, sf):
     root = shared_folder(spark, "points")
     points = view(spark, sf, "points").select("point_id", "x", "y")
-    rows = _monthly(_clean_obs(spark, sf)).join(points, "point_id").withColumn("internalWater", F.lit(1.0))
+    rows = _clean_obs(spark, sf).join(points, "point_id").withColumn("internalWater", F.lit(1.0))
     writers.write_point_layer(writers.point_layer(rows, F.col("x"), F.col("y")), root)
     return spark.read.parquet(root).drop("year", "month", "day")
 
@@ -109,7 +108,7 @@ def point_layer_export(spark, sf):
 def timeseries_publish(spark, sf):
     root = shared_folder(spark, "timeseries")
     means = regional.regional_series(
-        _monthly(view(spark, sf, "points_obs")), view(spark, sf, "points"), polygons(spark, sf), CELL_SIZES
+        view(spark, sf, "points_obs"), view(spark, sf, "points"), polygons(spark, sf), CELL_SIZES
     )
     writers.timeseries_publish(means, root)
     return spark.read.parquet(root)
@@ -118,12 +117,9 @@ def timeseries_publish(spark, sf):
 @query
 def state_checkpoint(spark, sf):
     root = shared_folder(spark, "state")
-    history = view(spark, sf, "history")
-    yearly = history.withColumn("date", F.trunc("state_date", "year")).groupBy("point_id", "date").agg(
-        F.max_by("state", F.struct("state_date", "state")).alias("state")
-    )
+    daily = state.latest_per_day(view(spark, sf, "history"), ["point_id"], "state").withColumnRenamed("state_date", "date")
     provinces = view(spark, sf, "points").select("point_id", "province")
-    writers.state_checkpoint(yearly.join(provinces, "point_id"), root)
+    writers.state_checkpoint(daily.join(provinces, "point_id"), root)
     return spark.read.parquet(root).select("province", "point_id", "date", "state")
 
 
@@ -317,8 +313,8 @@ def weather_gap_fill(spark, sf):
 
 @query
 def weather_to_points(spark, sf):
-    forcing = day_forcing(view(spark, sf, "points"), view(spark, sf, "weather"), GRID, _days(), "obs_id")
-    return _list_summary(forcing, "point_id", "province", "dates")
+    found = forcing.day_forcing(view(spark, sf, "points"), view(spark, sf, "weather"), GRID, _day_list(), "obs_id")
+    return _list_summary(found, "point_id", "province", "dates")
 
 
 @query
@@ -357,16 +353,42 @@ MANY_DATES = [dt.date(2000, 7, 10)] + [dt.date(2000 + (m + 7) // 12, (m + 7) % 1
 def state_asof_window(spark, sf):
     found = state.state_asof_window(
         _requests(spark, sf, MANY_DATES), view(spark, sf, "history"), ["point_id"], RUN_DATE,
-        F.lit(-1).cast("bigint"), order="state",
+        F.lit(-1).cast("bigint"), order="state", dates=MANY_DATES,
     )
     return _state_row(found)
 
 
+#: days asked for; the weather holds many others
+SIMULATED = [dt.date(2024, 1, 5), dt.date(2024, 1, 12), dt.date(2024, 1, 13)]
+SIMULATION_RUN = dt.date(2024, 1, 20)
+#: puts the stored states before and between the simulated days
+STATE_SHIFT = 8200
+
+
+@query
+def simulation_input(spark, sf):
+    def with_soil(number: Column) -> Column:
+        soil = F.array(*[F.struct(((number + k) % 64 / 64.0).alias("W")) for k in range(2)])
+        return F.struct(number.alias("swc"), soil.alias("soil"))
+
+    points = view(spark, sf, "points")
+    initial = points.withColumn("state", with_soil(-F.col("point_id")))
+    history = view(spark, sf, "history").join(points.select("point_id", "province"), "point_id").select(
+        "province", "point_id", F.date_add("state_date", STATE_SHIFT).alias("state_date"),
+        with_soil(F.col("state")).alias("state"), F.col("state").alias("rank"))
+    found = forcing.simulation_input(
+        initial, view(spark, sf, "weather"), history, GRID, SIMULATED, SIMULATION_RUN, "obs_id", order="rank")
+    return _list_summary(found.withColumns({
+        "stored": F.coalesce(F.col("state_date").cast("string"), F.lit("initial")), "swc": F.col("state.swc"),
+        "layers": F.size("soil").cast("bigint"), "first_w": F.col("soil")[0]["W"], "second_w": F.col("soil")[1]["W"],
+    }), "point_id", "province", "date", "stored", "swc", "layers", "first_w", "second_w")
+
+
 @query
 def state_fold(spark, sf):
-    forcing = view(spark, sf, "points_obs").select("point_id", "date", "Precipitation", "AET", "PET")
+    daily = view(spark, sf, "points_obs").select("point_id", "date", "Precipitation", "AET", "PET")
     return state.state_fold(
-        forcing, ["point_id"], F.col("Precipitation") / 8, F.col("AET") + F.col("PET") * 2,
+        daily, ["point_id"], F.col("Precipitation") / 8, F.col("AET") + F.col("PET") * 2,
         BUCKET_CAPACITY, BUCKET_START,
     )
 
@@ -404,7 +426,7 @@ def daily_means_filter(spark, sf):
     located = regions.locate_points(
         view(spark, sf, "points"), regions.admin_polygons_clean(polygons(spark, sf)), CELL_SIZES
     )
-    joined = _monthly(view(spark, sf, "points_obs")).join(located, "point_id")
+    joined = view(spark, sf, "points_obs").join(located, "point_id")
     return regions.daily_means_filter(joined, ["admin_level", "polygon_id", "date"])
 
 
@@ -441,7 +463,7 @@ def project_polygons(spark, sf):
 # --- grid, colours and images -----------------------------------------------------------------
 
 def _coarse(spark, sf) -> DataFrame:
-    return maps.coarse_layers(_monthly(_clean_obs(spark, sf)), view(spark, sf, "points"), GRID, "obs_id")
+    return maps.coarse_layers(_clean_obs(spark, sf), view(spark, sf, "points"), GRID, "obs_id")
 
 
 def _pixels(spark, sf) -> DataFrame:
@@ -451,7 +473,7 @@ def _pixels(spark, sf) -> DataFrame:
 
 @query
 def grid_scatter(spark, sf):
-    return maps.point_layers(_monthly(_clean_obs(spark, sf)), view(spark, sf, "points"), GRID, "obs_id")
+    return maps.point_layers(_clean_obs(spark, sf), view(spark, sf, "points"), GRID, "obs_id")
 
 
 @query
@@ -526,7 +548,7 @@ def cell_lonlat(spark, sf):
 def _utm_layers(spark, sf):
     source = UTM_GRID.coarse(BLOCK_FACTOR)
     target = raster.lonlat_grid(source, TARGET_COLS, TARGET_ROWS)
-    blocks = maps.coarse_layers(_monthly(_clean_obs(spark, sf)), _utm_points(spark, sf), UTM_GRID, "obs_id")
+    blocks = maps.coarse_layers(_clean_obs(spark, sf), _utm_points(spark, sf), UTM_GRID, "obs_id")
     return raster.grid_resample_bilinear(blocks, source, target), target
 
 

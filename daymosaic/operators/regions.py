@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import ADMIN_LEVELS, EXCLUDED_PROVINCES, INDICATORS
 from daymosaic.functions.geometry import edges_of, rings_from_wkt, touches, wkt_with_rings
-from daymosaic.functions.missing import mean_skip_missing, nan_to_null
+from daymosaic.functions.missing import nan_to_null
 from daymosaic.functions.projection import to_metres
 from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, fits_broadcast, small_side
 
@@ -95,10 +95,12 @@ def locate_points(
     Polygons are independent: a point on a shared border is in both. The join is
     an equality on buckets, broadcast while the cover is measured to be small; the
     exact test runs on the candidates. Points are located once, not once per day.
+    A point with a missing or infinite coordinate (NaN sorts above all) is nowhere.
     """
     cover = small_side(polygon_cover(polygons, cell_sizes), max_bytes)
     levels = ", ".join(f"named_struct('admin_level', '{level}', 'size', {float(s)}D)" for level, s in cell_sizes.items())
-    placed = points.selectExpr("point_id", "x", "y", f"inline(array({levels}))").selectExpr(
+    finite = " AND ".join(f"{c} BETWEEN -1.7976931348623157E308D AND 1.7976931348623157E308D" for c in ("x", "y"))
+    placed = points.where(finite).selectExpr("point_id", "x", "y", f"inline(array({levels}))").selectExpr(
         "point_id", "x", "y", "admin_level", "floor(x / size) AS gx", "floor(y / size) AS gy"
     )
     candidates = placed.join(cover, ["admin_level", "gx", "gy"])
@@ -120,25 +122,15 @@ def poly_daily_means(
     polygons, so a point with very many rows arrives as one row a day.
     """
     keys = ["admin_level", "polygon_id", "date"]
+    sums = [F.sum(nan_to_null(F.col(v))).alias(v) for v in INDICATORS]
+    counts = [F.count(nan_to_null(F.col(v))).alias(f"_n_{v}") for v in INDICATORS]
     if fits_broadcast(located, max_bytes, located_rows, max(map(len, ADMIN_LEVELS))):
-        means = (
-            observations.select("point_id", "date", *INDICATORS)
-            .join(F.broadcast(located), "point_id")
-            .groupBy(*keys)
-            .agg(*[mean_skip_missing(F.col(v)).alias(v) for v in INDICATORS])
-        )
+        totals = observations.select("point_id", "date", *INDICATORS).join(F.broadcast(located), "point_id").groupBy(*keys).agg(*sums, *counts)
     else:
-        daily = observations.groupBy("point_id", "date").agg(
-            *[F.sum(nan_to_null(F.col(v))).alias(v) for v in INDICATORS],
-            *[F.count(nan_to_null(F.col(v))).alias(f"_n_{v}") for v in INDICATORS],
-        )
-        means = (
-            daily.join(located.hint("merge"), "point_id")
-            .groupBy(*keys)
-            .agg(*[
-                F.try_divide(F.sum(v), F.sum(f"_n_{v}").cast("double")).alias(v) for v in INDICATORS
-            ])
-        )
+        daily = observations.groupBy("point_id", "date").agg(*sums, *counts)
+        totals = daily.join(located.hint("merge"), "point_id").groupBy(*keys).agg(
+            *[F.sum(v).alias(v) for v in INDICATORS], *[F.sum(f"_n_{v}").alias(f"_n_{v}") for v in INDICATORS])
+    means = totals.select(*keys, *[F.try_divide(v, F.col(f"_n_{v}").cast("double")).alias(v) for v in INDICATORS])
     attributes = polygons.select("admin_level", "polygon_id", "name", "province_code", "wkt")
     return means.join(attributes, ["admin_level", "polygon_id"]).select(
         "date", *INDICATORS, "name", "province_code", F.col("wkt").alias("geom"),

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daymosaic.fixed_values import STATE_OLDEST, WINDOW_OLDEST
+from daymosaic.fixed_values import STATE_OLDEST
 
 
 def oldest_state(date: Column, run_date: dt.date) -> Column:
@@ -20,93 +20,93 @@ def oldest_state(date: Column, run_date: dt.date) -> Column:
 
 
 def latest_per_day(history: DataFrame, keys, order: str | None = None) -> DataFrame:
-    """One state per key and day; of several, the one with the highest ``order``.
+    """One state per key and day; of several, the one with the highest ``order``, else the highest hash.
 
     Aggregated before the shuffle: a key reaches its task with at most one row a
     day, however many rows it has.
     """
-    if order is None:
-        return history.select(*keys, "state_date", "state")
-    return history.groupBy(*keys, "state_date").agg(F.max_by("state", order).alias("state"))
+    rank = F.xxhash64("state") if order is None else F.col(order)
+    return history.groupBy(*keys, "state_date").agg(F.max_by("state", rank).alias("state"))
 
 
 def state_asof(
     requests: DataFrame, history: DataFrame, keys, dates: list[dt.date], run_date: dt.date,
     initial: Column, order: str | None = None,
 ) -> DataFrame:
-    """State for each request; for a run over a few given ``dates``.
+    """State for each request; every state is compared with the few ``dates`` of the run.
 
-    Every state is offered to the days it can serve and only the best one per
-    key and day is kept, which happens before the shuffle. ``requests`` has the
-    keys and ``date``, one row each; their dates are among ``dates``.
+    The best day is found on dates alone, by hash aggregation before the shuffle;
+    the state of that day is then fetched by equality. ``requests`` has the
+    keys and ``date``, one row each; their dates are among ``dates``. Its other
+    columns stay, and ``initial`` may use them.
     """
-    if len(dates) > WINDOW_OLDEST:
-        raise ValueError("too many days for this form: use state_asof_window")
+    keys = list(keys)
     serves = F.filter(
         F.array(*[F.lit(d) for d in sorted(dates)]),
         lambda d: (F.col("state_date") < d) & (F.col("state_date") >= oldest_state(d, run_date)),
     )
-    rank = F.col("state_date") if order is None else F.struct("state_date", order)
+    first = min(min(dates) - dt.timedelta(1), run_date - dt.timedelta(STATE_OLDEST))
+    usable = history.where(F.col("state_date").between(F.lit(first), F.lit(max(dates) - dt.timedelta(1))))
     best = (
-        history.where(F.col("state_date") < F.lit(max(dates)))
-        .withColumn("date", F.explode(serves))
-        .groupBy(*keys, "date")
-        .agg(F.max("state_date").alias("state_date"), F.max_by("state", rank).alias("state"))
+        usable.select(*keys, "state_date").withColumn("date", F.explode(serves))
+        .groupBy(*keys, "date").agg(F.max("state_date").alias("state_date"))
     )
-    return requests.join(best, [*keys, "date"], "left").select(
+    found = best.join(latest_per_day(usable, keys, order), [*keys, "state_date"])
+    return requests.join(found, [*keys, "date"], "left").select(
         *requests.columns, "state_date", F.coalesce("state", initial).alias("state")
     )
 
 
 def state_asof_window(
     requests: DataFrame, history: DataFrame, keys, run_date: dt.date,
-    initial: Column, order: str | None = None,
+    initial: Column, order: str | None = None, dates: list[dt.date] | None = None,
 ) -> DataFrame:
     """The same for any number of days, without comparing every day with every state.
 
     Days inside the look-back are served by carrying the last state along each
     key's days; a key contributes at most one row a day of the look-back. An
     older day can only be served by the very day before it: an equality join.
+    The contract is that of ``state_asof``; ``dates``, the requested days where
+    they are known, leave out states that can serve none of them.
     """
     keys = list(keys)
-    daily = latest_per_day(history, keys, order)
     limit = run_date - dt.timedelta(STATE_OLDEST)
-    is_recent = F.col("date") > F.lit(limit + dt.timedelta(1))
-
-    recent = requests.where(is_recent).select(
-        *keys, F.col("date").alias("_day"), F.lit(0).alias("_kind"),
-        F.lit(None).cast(_carried_type(daily)).alias("_carried"),
-    )
-    states = daily.where(F.col("state_date") >= F.lit(limit)).select(
+    edge = limit + dt.timedelta(1)
+    is_recent = F.col("date") > F.lit(edge)
+    near = history.where(F.col("state_date") >= F.lit(limit))
+    far = history.where(F.col("state_date") <= F.lit(limit))
+    if dates is not None:
+        near = near.where(F.col("state_date") < F.lit(max(dates)))
+        far = far.where(F.col("state_date").isin([d - dt.timedelta(1) for d in dates if d <= edge]))
+
+    whole = F.struct(*requests.columns)
+    states = latest_per_day(near, keys, order).select(
         *keys, F.col("state_date").alias("_day"), F.lit(1).alias("_kind"),
         F.struct("state_date", "state").alias("_carried"),
     )
+    recent = requests.where(is_recent).select(
+        *keys, F.col("date").alias("_day"), F.lit(0).alias("_kind"),
+        F.lit(None).cast(states.schema["_carried"].dataType).alias("_carried"), whole.alias("_request"),
+    )
     so_far = (
         Window.partitionBy(*keys).orderBy("_day", "_kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    carried = (
-        recent.unionByName(states)
+    served = (
+        recent.unionByName(states, allowMissingColumns=True)
         .withColumn("_last", F.last("_carried", ignorenulls=True).over(so_far))
         .where(F.col("_kind") == 0)
-        .select(*keys, F.col("_day").alias("date"), "_last.state_date", "_last.state")
+        .select("_request.*", "_last.state_date", "_last.state")
     )
-    older = (
-        requests.where(~is_recent).select(*keys, "date", F.date_sub("date", 1).alias("_before"))
-        .join(
-            daily.where(F.col("state_date") <= F.lit(limit)).withColumn("_before", F.col("state_date")),
-            [*keys, "_before"], "left",
+    if dates is None or min(dates) <= edge:
+        before = latest_per_day(far, keys, order).withColumn("_before", F.col("state_date"))
+        older = (
+            requests.where(~is_recent).withColumn("_before", F.date_sub("date", 1))
+            .join(before, [*keys, "_before"], "left")
+            .select(*requests.columns, "state_date", "state")
         )
-        .select(*keys, "date", "state_date", "state")
-    )
-    return carried.unionByName(older).select(
-        *keys, "date", "state_date", F.coalesce("state", initial).alias("state")
-    )
-
-
-def _carried_type(daily: DataFrame) -> str:
-    fields = {f.name: f.dataType.simpleString() for f in daily.schema.fields}
-    return f"struct<state_date:{fields['state_date']},state:{fields['state']}>"
+        served = served.unionByName(older)
+    return served.select(*requests.columns, "state_date", F.coalesce("state", initial).alias("state"))
 
 
 def state_fold(

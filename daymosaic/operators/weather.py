@@ -14,15 +14,9 @@ from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import HULL_MARGIN, WEATHER_UNUSED, WEATHER_VARS
 from daymosaic.functions.grid import cell_number
-from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, materialise, small_side
+from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, small_side
 from daymosaic.schemas import GridSpec
 
-#: longest list one row may hold; a larger group is split over several rows
-ROWS_PER_LIST = 10_000
-
-#: provinces whose boxes are pushed into the scan one by one
-MAX_BOXES = 1_000
-
 #: blocks per side of the area when there are more
 BOX_BLOCKS = 64
 
@@ -48,26 +42,18 @@ def province_bbox(points: DataFrame, margin: float = HULL_MARGIN) -> DataFrame:
     )
 
 
-def weather_bbox_scan(
-    weather: DataFrame, boxes: DataFrame, first: dt.date, last: dt.date, max_boxes: int = MAX_BOXES
-) -> DataFrame:
-    """Weather of [first, last] inside a province box, as range predicates the reader can push.
+def weather_bbox_scan(weather: DataFrame, boxes: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Weather of [first, last] inside a province box.
 
-    There are a few dozen boxes, one per province. With more than ``max_boxes``
-    the box around all of them is pushed, and the single ones are tested through
-    an equality join on coarse blocks.
+    The days and the box around all provinces are range predicates the reader can
+    push; the single boxes are tested through an equality join on coarse blocks.
     """
     days = weather.where(F.col("dates").between(F.lit(first), F.lit(last)))
-    rows = boxes.limit(max_boxes + 1).collect()
-    if len(rows) <= max_boxes:
-        inside = F.lit(False)
-        for b in rows:
-            inside = inside | _in_box(b)
-        return days.where(inside)
-
     around = boxes.agg(
         F.min("xmin").alias("xmin"), F.max("xmax").alias("xmax"), F.min("ymin").alias("ymin"), F.max("ymax").alias("ymax")
     ).first()
+    if around["xmin"] is None:
+        return days.where(F.lit(False))
     size = max(around["xmax"] - around["xmin"], around["ymax"] - around["ymin"]) / BOX_BLOCKS
     blocks = boxes.selectExpr(
         "xmin", "xmax", "ymin", "ymax",
@@ -108,45 +94,27 @@ def cells_without_weather(points: DataFrame, weather: DataFrame, dates: Column)
     return wanted_lists(points, dates).join(seen, ["cell", "dates"], "left_anti")
 
 
-def weather_nest(
-    weather: DataFrame, row_id: str, rows_per_list: int = ROWS_PER_LIST, wanted: DataFrame | None = None
-) -> DataFrame:
-    """Weather rows of a cell and day as one sorted list.
+def weather_nest(weather: DataFrame, row_id: str, parts: int = 1, wanted: DataFrame | None = None) -> DataFrame:
+    """Weather rows of a cell and day as sorted lists, numbered by ``part`` from 0 to ``parts - 1``.
 
     ``wanted`` (cell, dates) asks for a list even where there is no weather: one
     record that is all NULL but for the date. It joins in before the grouping, so
     weather is read and shuffled once.
 
-    A group of more than ``rows_per_list`` rows is spread over several lists,
-    numbered by ``part``, so no list and no task holds an unbounded group. The
-    part comes from the row's own identifier, which makes a retried task assign
-    the same rows again.
+    The number of lists is the caller's and the same for every cell and day,
+    whatever their size; one list is the rule. A row's part comes from its own
+    identifier, which makes a retried task assign the same rows again.
     """
     keys = ["cell", "dates"]
-    # large groups are counted once, from the key columns, and kept as a small table
-    large, n_large = materialise(
-        weather.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > rows_per_list)
-        .select(*keys, F.ceil(F.col("_n") / rows_per_list).alias("_parts")),
-        "large-groups",
-    )
-    large = small_side(large, at_most_rows=n_large)
-    part = F.when(
-        F.col("_parts").isNotNull(), F.pmod(F.xxhash64(row_id), F.coalesce("_parts", F.lit(1)))
-    ).otherwise(F.lit(0).cast("bigint"))
     record = F.struct("dates", *WEATHER_VARS)
-    rows = weather.join(large, keys, "left").select(*keys, part.alias("part"), record.alias("_record"))
+    rows = weather.select(*keys, F.pmod(F.xxhash64(row_id), F.lit(parts).cast("bigint")).alias("part"), record.alias("_record"))
     if wanted is not None:
-        absent = wanted.join(large, keys, "left_anti")
-        rows = rows.unionByName(absent.select(
-            *keys, F.lit(0).cast("bigint").alias("part"),
+        rows = rows.unionByName(wanted.select(
+            *keys, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))).alias("part"),
             F.lit(None).cast(rows.schema["_record"].dataType).alias("_record"),
         ))
     # collect_list leaves NULL out, so a list is empty where only the request is
-    lists = (
-        rows.repartition(*keys, "part").groupBy(*keys, "part")
-        .agg(F.sort_array(F.collect_list("_record")).alias("meteo"))
-    )
+    lists = rows.groupBy(*keys, "part").agg(F.sort_array(F.collect_list("_record")).alias("meteo"))
     if wanted is None:
         return lists
     filler = F.struct("dates", *[F.lit(None).cast("double").alias(v) for v in WEATHER_VARS])
@@ -155,11 +123,9 @@ def weather_nest(
     )
 
 
-def weather_gap_fill(
-    points: DataFrame, weather: DataFrame, dates: Column, row_id: str, rows_per_list: int = ROWS_PER_LIST
-) -> DataFrame:
-    """Weather lists for every cell that holds a point and every day of ``dates`` (an array)."""
-    return weather_nest(weather, row_id, rows_per_list, wanted_lists(points, dates))
+def weather_gap_fill(points: DataFrame, weather: DataFrame, dates: Column, row_id: str) -> DataFrame:
+    """One weather list for every cell that holds a point and every day of ``dates`` (an array)."""
+    return weather_nest(weather, row_id, 1, wanted_lists(points, dates)).drop("part")
 
 
 def weather_to_points(

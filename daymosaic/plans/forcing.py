@@ -4,38 +4,42 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymosaic.operators.state import state_asof, state_asof_window
+from daymosaic.operators.state import state_asof_window
 from daymosaic.operators.weather import (
-    weather_gap_fill, weather_on_grid, weather_semi, weather_to_points, with_cell,
+    province_bbox, weather_bbox_scan, weather_gap_fill, weather_on_grid, weather_semi, weather_to_points, with_cell,
 )
 from daymosaic.schemas import GridSpec
 
-#: up to this many days a run compares states with days directly
-FEW_DAYS = 8
 
+def day_forcing(points: DataFrame, weather: DataFrame, spec: GridSpec, dates: list[dt.date], row_id: str) -> DataFrame:
+    """One row for each point and each of ``dates``, with the weather of the point's cell, gaps filled.
 
-def day_forcing(
-    points: DataFrame, weather: DataFrame, spec: GridSpec, dates: Column, row_id: str
-) -> DataFrame:
-    """(point, day) rows with the weather of the point's cell, gaps filled."""
+    Weather is cut to the days and the province boxes in the reader, and to cells
+    with a point before it moves. Other days do not come through.
+    """
+    days = sorted(set(dates))
     placed = with_cell(points, spec)
-    reduced = weather_semi(weather_on_grid(weather, spec), placed, spec)
-    return weather_to_points(placed, weather_gap_fill(placed, reduced, dates, row_id), filled=True)
+    near = weather_bbox_scan(weather, province_bbox(points), days[0], days[-1]).where(F.col("dates").isin(days))
+    reduced = weather_semi(weather_on_grid(near, spec), placed, spec)
+    wanted = F.array(*[F.lit(d) for d in days])
+    return weather_to_points(placed, weather_gap_fill(placed, reduced, wanted, row_id), filled=True)
 
 
 def simulation_input(
     points: DataFrame, weather: DataFrame, history: DataFrame, spec: GridSpec,
-    dates: list[dt.date], run_date: dt.date, initial: Column, row_id: str,
+    dates: list[dt.date], run_date: dt.date, row_id: str, order: str | None = None,
 ) -> DataFrame:
-    """``day_forcing`` of ``dates`` with the state each point has at the start of the day."""
-    forcing = day_forcing(points, weather, spec, F.array(*[F.lit(d) for d in dates]), row_id)
+    """``day_forcing`` with the state each point has at the start of the day, and that state's soil.
+
+    ``points`` brings each point's initial ``state``, a struct with the field
+    ``soil``; it is used where ``history`` has none. All its other columns stay.
+    """
     keys = ["province", "point_id"]
-    requests = points.select(*keys, F.explode(F.array(*[F.lit(d) for d in dates])).alias("date"))
-    if len(dates) <= FEW_DAYS:
-        states = state_asof(requests, history, keys, dates, run_date, initial)
-    else:
-        states = state_asof_window(requests, history, keys, run_date, initial)
-    return forcing.withColumnRenamed("dates", "date").join(states, [*keys, "date"], "left")
+    forcing = day_forcing(points.drop("state"), weather, spec, dates, row_id).withColumnRenamed("dates", "date")
+    days = F.array(*[F.lit(d) for d in sorted(set(dates))])
+    requests = points.select(*keys, F.col("state").alias("_initial"), F.explode(days).alias("date"))
+    states = state_asof_window(requests, history, keys, run_date, F.col("_initial"), order, dates).drop("_initial")
+    return forcing.join(states, [*keys, "date"]).withColumn("soil", F.col("state.soil"))

@@ -62,10 +62,10 @@ def write_image_table(images: DataFrame, root: str, rows_per_file: int = ROWS_PE
 
 
 def timeseries_publish(means: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Regional means, one folder per level, days in order inside the files."""
-    _replace_partitions(means, root, ["admin_level"], ["date", "polygon_id"], rows_per_file, None)
+    """Regional means, one folder per level and day: publishing a day leaves all other days alone."""
+    _replace_partitions(means, root, ["admin_level", "date"], ["polygon_id"], rows_per_file, None)
 
 
 def state_checkpoint(states: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """State of each point after a day, as ``province=/date=``."""
-    _replace_partitions(states, root, ["province", "date"], ["point_id"], rows_per_file, None)
+    """State of each point after a day, one folder per date; provinces lie in order inside the files."""
+    _replace_partitions(states, root, ["date"], ["province", "point_id"], rows_per_file, None)

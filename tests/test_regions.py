@@ -39,6 +39,14 @@ def locate(spark, points, polygons, max_bytes=10**9):
     return set(rows)
 
 
+@pytest.mark.parametrize("max_bytes", [10**9, 0])
+def test_missing_and_infinite_coordinates_are_nowhere(spark, max_bytes):
+    nan, inf = float("nan"), float("inf")
+    shapes = rows_of("comarca", polygon(box(-50, -50, 50, 50), box(-2, -2, 2, 2)))
+    points = [(1, nan, 5.0), (2, nan, nan), (3, None, 5.0), (4, 5.0, inf), (5, -inf, nan), (6, 5.0, 5.0), (7, 0.0, 0.0)]
+    assert locate(spark, points, shapes, max_bytes) == {(6, "comarca", 0)}
+
+
 def test_borders_count_in_every_polygon_they_touch(spark):
     shapes = rows_of("comarca", polygon(box(0, 0, 50, 50)), polygon(box(50, 0, 100, 50)), polygon(box(0, 50, 50, 100)))
     points = [(1, 25.0, 25.0), (2, 50.0, 25.0), (3, 50.0, 50.0), (4, 0.0, 0.0), (5, 100.0, 50.0), (6, 100.5, 10.0),
@@ -168,5 +176,5 @@ def test_plan_is_an_equality_join_with_partial_means(spark, plan):
     polygons = spark.createDataFrame(rows_of("municipio", polygon(box(0, 0, 10, 10))), COLUMNS)
     pts = spark.createDataFrame([(1, 5.0, 5.0)], "point_id long, x double, y double")
     text = plan(regional_series(observations(spark, [(1, DAY, 1.0)]), pts, polygons, SIZES))
-    assert "BroadcastHashJoin" in text and "partial_avg" in text
+    assert "BroadcastHashJoin" in text and "partial_sum" in text
     assert "NestedLoop" not in text and "CartesianProduct" not in text

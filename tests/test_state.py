@@ -70,10 +70,28 @@ def test_many_rows_of_one_key_are_combined_before_the_shuffle(spark, plan, data)
     assert "partial_max_by" in plan(st.state_asof(r, h, ["k"], days, RUN, initial(), order="state"))
 
 
-def test_few_day_form_refuses_long_lists(spark, data):
-    _, _, _, h, r = data
-    with pytest.raises(ValueError):
-        st.state_asof(r, h, ["k"], [RUN - dt.timedelta(i) for i in range(400)], RUN, initial())
+def test_both_forms_keep_request_columns_and_agree_on_ties(spark):
+    days = [RUN - dt.timedelta(i) for i in (3, 200, 395)]
+    history = spark.createDataFrame(
+        [(k, d - dt.timedelta(1), k * 10 + j) for k in (1, 2) for d in days for j in range(4)], "k long, state_date date, state long")
+    requests = spark.createDataFrame([(k, d, -k) for k in (1, 2, 3) for d in days], "k long, date date, init long")
+    few = st.state_asof(requests, history, ["k"], days, RUN, F.col("init"))
+    many = st.state_asof_window(requests, history, ["k"], RUN, F.col("init"), dates=days)
+    loose = st.state_asof_window(requests, history, ["k"], RUN, F.col("init"))
+    key = lambda df: sorted(map(str, df.collect()))
+    assert few.columns == many.columns == ["k", "date", "init", "state_date", "state"]
+    assert key(few) == key(many) == key(loose) and few.where("state = init").count() == 3
+
+
+def test_history_is_pruned(spark, plan, tmp_path):
+    spark.createDataFrame([(1, RUN, 1)], "k long, state_date date, state long").write.parquet(str(tmp_path / "h"))
+    history = spark.read.parquet(str(tmp_path / "h"))
+    days = [RUN - dt.timedelta(2)]
+    requests = spark.createDataFrame([(1, days[0])], "k long, date date")
+    for df in (st.state_asof(requests, history, ["k"], days, RUN, F.lit(0)),
+               st.state_asof_window(requests, history, ["k"], RUN, F.lit(0), dates=days)):
+        text = plan(df)
+        assert "GreaterThanOrEqual(state_date" in text and "LessThan" in text
 
 
 def bucket(days, capacity, start):

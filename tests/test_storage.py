@@ -73,6 +73,8 @@ def test_series_state_and_image_tables(spark, tmp_path):
     means = spark.createDataFrame([("comarca", D1, 1), ("municipio", D1, 2)], "admin_level string, date date, polygon_id int")
     writers.timeseries_publish(means, str(tmp_path / "t"))
     assert sorted(f for f in os.listdir(tmp_path / "t") if "=" in f) == ["admin_level=comarca", "admin_level=municipio"]
+    writers.timeseries_publish(means.withColumn("date", F.lit(D2)), str(tmp_path / "t"))  # another day leaves the first one alone
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 4
     states = spark.createDataFrame([(8, 1, D1, 5), (8, 1, D2, 6)], "province int, point_id long, date date, state long")
     writers.state_checkpoint(states, str(tmp_path / "s"))
     writers.state_checkpoint(states.where(F.col("date") == F.lit(D1)).withColumn("state", F.lit(7).cast("long")), str(tmp_path / "s"))

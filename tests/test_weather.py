@@ -84,19 +84,20 @@ def test_every_point_is_kept_on_both_join_paths(spark, max_bytes):
     assert {(r["point_id"], r["dates"]) for r in got} == want and len(got) == len(want)
 
 
-def test_large_groups_are_split_and_stay_whole(spark):
+def test_a_large_group_has_the_shape_of_a_small_one(spark):
     rows = [(i, 0.5, 0.5, D1, float(i)) for i in range(1000)] + [(5000, 1.5, 0.5, D1, 7.0)]
     gridded = w.weather_on_grid(weather(spark, rows), GRID)
-    got = w.weather_nest(gridded, "obs_id", rows_per_list=100).collect()
+    pts = w.with_cell(points(spark, [(1, 1, 0.5, 0.5), (1, 2, 1.6, 0.5)]), GRID)
+    got = w.weather_to_points(pts, w.weather_gap_fill(pts, gridded, days(), "obs_id"), filled=True).collect()
+    assert {(r["point_id"], r["dates"]): len(r["meteo"]) for r in got} == {(1, D1): 1000, (1, D2): 1, (2, D1): 1, (2, D2): 1}
+    assert len(got) == 4
+
+
+def test_the_caller_may_ask_for_several_lists_everywhere(spark):
+    rows = [(i, 0.5, 0.5, D1, float(i)) for i in range(1000)] + [(5000, 1.5, 0.5, D1, 7.0)]
+    got = w.weather_nest(w.weather_on_grid(weather(spark, rows), GRID), "obs_id", parts=10).collect()
     hot = [r for r in got if r["cell"] == 91]
-    assert len(hot) > 5 and max(len(r["meteo"]) for r in hot) < 200
-    assert sorted(m["PET"] for r in hot for m in r["meteo"]) == [float(i) for i in range(1000)]
-    assert [(r["part"], len(r["meteo"])) for r in got if r["cell"] == 92] == [(0, 1)]
-    pts = w.with_cell(points(spark, [(1, 1, 0.5, 0.5), (1, 2, 2.5, 0.5)]), GRID)
-    filled = w.weather_gap_fill(pts, gridded, days(), "obs_id", rows_per_list=100).collect()
-    assert sum(len(r["meteo"]) for r in filled) == 1001 + 3     # fillers: hot cell on day 2, other cell on both
-    one = w.weather_nest(gridded, "obs_id").where("cell = 91").collect()
-    assert len(one) == 1 and len(one[0]["meteo"]) == 1000
+    assert len(hot) == 10 and sorted(m["PET"] for r in hot for m in r["meteo"]) == [float(i) for i in range(1000)]
 
 
 def test_bbox_scan_pushes_ranges_into_the_reader(spark, plan, tmp_path):
@@ -111,9 +112,11 @@ def test_bbox_scan_pushes_ranges_into_the_reader(spark, plan, tmp_path):
     many = points(spark, [(i, i, i * 1000.0, -i * 500.0) for i in range(30)] * 2)
     grid = weather(spark, [(x * 100 + y, x * 700.0, -y * 400.0, D1, 1.0) for x in range(50) for y in range(50)])
     boxes = w.province_bbox(many, margin=800.0)
-    pushed = {r["obs_id"] for r in w.weather_bbox_scan(grid, boxes, D1, D1).collect()}
-    joined = [r["obs_id"] for r in w.weather_bbox_scan(grid, boxes, D1, D1, max_boxes=5).collect()]
-    assert 0 < len(pushed) < 2500 and sorted(joined) == sorted(pushed)
+    every = [tuple(b) for b in boxes.collect()]
+    inside = [r["obs_id"] for r in grid.collect() if any(a <= r["x"] <= b and c <= r["y"] <= d for _, a, b, c, d in every)]
+    joined = [r["obs_id"] for r in w.weather_bbox_scan(grid, boxes, D1, D1).collect()]
+    assert 0 < len(inside) < 2500 and sorted(joined) == sorted(inside)
+    assert w.weather_bbox_scan(grid, boxes.limit(0), D1, D1).count() == 0
 
 
 def test_coverage(spark):
@@ -123,13 +126,21 @@ def test_coverage(spark):
     assert got == {1: (2, 1, 1, True), 2: (2, 1, 0, False)}
 
 
-def test_simulation_input_joins_weather_and_state(spark):
-    pts = points(spark, [(1, 1, 0.5, 0.5), (1, 2, 5.5, 0.5)])
-    data = weather(spark, [(1, 0.5, 0.5, D1, 3.0)])
-    history = spark.createDataFrame([(1, 1, dt.date(2024, 12, 30), 8)], "province int, point_id long, state_date date, state long")
-    got = simulation_input(pts, data, history, GRID, [D1, D2], dt.date(2025, 1, 7), F.lit(-1).cast("long"), "obs_id")
-    rows = {(r["point_id"], r["date"]): (r["meteo"][0]["PET"], r["state"]) for r in got.collect()}
-    assert rows == {(1, D1): (3.0, 8), (1, D2): (None, 8), (2, D1): (None, -1), (2, D2): (None, -1)}
+STATE = "struct<swc: bigint, soil: array<struct<W: double>>>"
+
+
+def test_simulation_input_has_the_asked_days_only(spark):
+    pts = points(spark, [(1, 1, 0.5, 0.5), (1, 2, 5.5, 0.5)]).withColumn(
+        "state", F.expr(f"CAST(named_struct('swc', -point_id, 'soil', array(named_struct('W', 0.5D))) AS {STATE})")
+    ).withColumn("height", F.lit(7))
+    other = D1 - dt.timedelta(1)
+    data = weather(spark, [(1, 0.5, 0.5, other, 1.0), (2, 0.5, 0.5, D1, 3.0), (3, 5.5, 0.5, D2 + dt.timedelta(5), 2.0)])
+    history = spark.createDataFrame(
+        [(1, 1, dt.date(2024, 12, 30), (8, [(0.25,)]))], f"province int, point_id long, state_date date, state {STATE}")
+    got = simulation_input(pts, data, history, GRID, [D1, D2], dt.date(2025, 1, 7), "obs_id").collect()
+    rows = {(r["point_id"], r["date"]): (r["meteo"][0]["PET"], r["state"]["swc"], r["soil"][0]["W"], r["height"]) for r in got}
+    assert len(got) == 4 and rows == {
+        (1, D1): (3.0, 8, 0.25, 7), (1, D2): (None, 8, 0.25, 7), (2, D1): (None, -2, 0.5, 7), (2, D2): (None, -2, 0.5, 7)}
 
 
 def test_forcing_reads_the_weather_once(spark, plan, tmp_path):
@@ -138,5 +149,6 @@ def test_forcing_reads_the_weather_once(spark, plan, tmp_path):
     weather(spark, [(1, 0.5, 0.5, D1, 3.0)]).write.parquet(str(tmp_path / "weather"))
     points(spark, [(1, 1, 0.5, 0.5)]).write.parquet(str(tmp_path / "points"))
     read = lambda name: spark.read.parquet(str(tmp_path / name))
-    text = plan(day_forcing(read("points"), read("weather"), GRID, days(), "obs_id"))
+    text = plan(day_forcing(read("points"), read("weather"), GRID, [D1, D2], "obs_id"))
     assert text.count("/weather]") == 1
+    assert "GreaterThanOrEqual(dates" in text and "LessThanOrEqual(x" in text
