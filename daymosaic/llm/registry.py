@@ -3,6 +3,7 @@
 import corpus_pipeline
 from daymosaic.llm import (
     op1_pii, op2_mix, op3_lm, op4_chat, op5_quality, op6_licence, op7_minhash, op8_shard, op9_decontaminate, op10_toxicity,
+    op11_prefix_trie,
 )
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op8_shard": op8_shard.query,
     "op9_decontaminate": op9_decontaminate.query,
     "op10_toxicity": op10_toxicity.query,
+    "op11_prefix_trie": op11_prefix_trie.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -24,4 +26,5 @@ ORACLES = {
     "op5_quality": op5_quality.SQL,
     "op8_shard": op8_shard.SQL,
     "op9_decontaminate": op9_decontaminate.SQL,
+    "op11_prefix_trie": op11_prefix_trie.SQL,
 }

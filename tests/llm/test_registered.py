@@ -15,7 +15,7 @@ def test_query_equals_its_sql(spark, data, name):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(registry.queries()) and set(ORACLES) <= set(registry.oracle_sql())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert [q for q in QUERIES if q.startswith(f"op{n}_")], n
     assert "pipeline" in QUERIES
 
