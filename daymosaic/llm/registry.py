@@ -3,7 +3,7 @@
 import corpus_pipeline
 from daymosaic.llm import (
     op1_pii, op2_mix, op3_lm, op4_chat, op5_quality, op6_licence, op7_minhash, op8_shard, op9_decontaminate, op10_toxicity,
-    op11_prefix_trie,
+    op11_prefix_trie, op12_hard_negatives,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate.query,
     "op10_toxicity": op10_toxicity.query,
     "op11_prefix_trie": op11_prefix_trie.query,
+    "op12_hard_negatives": op12_hard_negatives.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -27,4 +28,5 @@ ORACLES = {
     "op8_shard": op8_shard.SQL,
     "op9_decontaminate": op9_decontaminate.SQL,
     "op11_prefix_trie": op11_prefix_trie.SQL,
+    "op12_hard_negatives": op12_hard_negatives.SQL,
 }
