@@ -3,7 +3,7 @@
 import corpus_pipeline
 from daymosaic.llm import (
     op1_pii, op2_mix, op3_lm, op4_chat, op5_quality, op6_licence, op7_minhash, op8_shard, op9_decontaminate, op10_toxicity,
-    op11_prefix_trie, op12_hard_negatives,
+    op11_prefix_trie, op12_hard_negatives, op13_packing,
 )
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity.query,
     "op11_prefix_trie": op11_prefix_trie.query,
     "op12_hard_negatives": op12_hard_negatives.query,
+    "op13_packing": op13_packing.query,
     "pipeline": corpus_pipeline.run,
 }
 
