@@ -1,7 +1,9 @@
 """Bound-certified packing of tokenised documents into sequences of a fixed length.
 
 Documents are tokenised once; one longer than a sequence is cut into pieces of that length and a rest. Only
-the pieces' numbers go on: no ids, no texts.
+the pieces' numbers go on: no ids, no texts. The vocabulary's words never reach across blanks, nor from a plain letter to
+a plain sign after it, so each different stretch between those is given to the tokenizer once and its ids are looked up
+for the others; a test compares that with whole texts. Strings of special tokens are ordinary text.
 
 Pieces are dealt by a hash of their written row into groups of about ``GROUP`` pieces. A group is packed by best-fit
 decreasing, and dual feasible functions of its lengths give a lower bound of its number of sequences. A
@@ -27,6 +29,7 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,14 +42,14 @@ END = 1
 GROUP = 1 << 17
 FAN = 8
 EXCHANGED = 1 << 16
-#: characters tokenised at a time
-BATCH_CHARS = 1 << 18
+#: bytes of texts tokenised at a time
+BATCH_BYTES = 1 << 23
+#: stretches a worker remembers, none longer than this
+REMEMBERED, LONGEST = 600_000, 64
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PACKED = f"{PIECE}, row bigint, round int, grp bigint, bin bigint, offset bigint, open boolean, gap double"
 
-_tokenizers: dict = {}
-
 
 # --- pieces -----------------------------------------------------------------------------------
 
@@ -56,43 +59,91 @@ def default_tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
-def _tokenizer(path: str):
-    """One for each worker process; its own threads stay off, Spark's tasks are the parallelism."""
-    if path not in _tokenizers:
+class Stretches:
+    """Ids of the stretches of texts a tokenizer treats apart, each tokenised once."""
+
+    def __init__(self, path: str):
         import os
 
         from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _tokenizers[path] = Tokenizer.from_file(path)
-        _tokenizers[path].encode_special_tokens = True
-    return _tokenizers[path]
-
-
-def _runs(texts: list[str]):
-    """Stretches of ``texts`` of about BATCH_CHARS characters."""
-    first, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= BATCH_CHARS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self._forget()
+
+    def _forget(self):
+        self.places: dict[str, int] = {}
+        self.ids, self.ends = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+
+    def _encoded(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids under each other, number of each)."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(stretches, add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((i for ids in found for i in ids), "<u4", int(counts.sum())), counts
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in order, first of each text and the end)."""
+        apart = pc.replace_substring_regex(texts, r"([A-Za-z])([!-/:-@\[-`{-~])", r"\1 \2")
+        lists = pc.ascii_split_whitespace(apart)
+        coded = lists.flatten().dictionary_encode()
+        # upper and lower case are alike, but composed letters may not be
+        names = [w.lower() if w.isascii() else w for w in coded.dictionary.to_pylist()]
+        if len(self.places) > REMEMBERED:
+            self._forget()
+        fresh = list(dict.fromkeys(w for w in names if w not in self.places and len(w) <= LONGEST))
+        long = [w for w in names if len(w) > LONGEST]
+        ids, counts = self._encoded(fresh + long)
+        kept = len(self.ends) - 1 + len(fresh)
+        self.places.update(zip(fresh, range(len(self.ends) - 1, kept)))
+        # long ones come last and are known to this call only
+        bank, ends = np.concatenate([self.ids, ids]), np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+        self.ids, self.ends = bank[: ends[kept]], ends[: kept + 1]
+        later = iter(range(kept, kept + len(long)))
+        place = np.fromiter((next(later) if len(w) > LONGEST else self.places[w] for w in names), np.int64, len(names))
+        begins, sizes = ends[:-1][place], np.diff(ends)[place]
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        size = sizes[codes]
+        after = np.cumsum(size)
+        out = bank[np.repeat(begins[codes] - after + size, size) + np.arange(after[-1] if len(after) else 0)]
+        return out, np.concatenate([[0], after])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+
+
+_stretches: dict = {}
+
+
+def stretches_of(path: str) -> Stretches:
+    """One for each worker process."""
+    if path not in _stretches:
+        _stretches[path] = Stretches(path)
+    return _stretches[path]
+
+
+def _runs(sizes: np.ndarray):
+    """Runs of texts of about BATCH_BYTES."""
+    first, total = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        total += size
+        if total >= BATCH_BYTES:
             yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+            first, total = i + 1, 0
+    if first < len(sizes):
+        yield first, len(sizes)
 
 
 def _cut(path: str, capacity: int, batches):
     """Rows of PIECE of rows (doc_id, text)."""
-    tokenizer = _tokenizer(path)
+    stretches = stretches_of(path)
     for batch in batches:
-        docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for first, last in _runs(texts):
+        docs, texts = batch.column(0).to_pylist(), batch.column(1)
+        for first, last in _runs(pc.binary_length(texts).to_numpy(zero_copy_only=False)):
+            ids, offsets = stretches.of(texts.slice(first, last - first))
             out = []
-            for doc, encoded in zip(docs[first:last], tokenizer.encode_batch(texts[first:last], add_special_tokens=False)):
-                ids = np.append(np.array(encoded.ids, "<u4"), np.array([END], "<u4"))
-                for piece, start in enumerate(range(0, len(ids), capacity)):
-                    own = ids[start: start + capacity]
-                    out.append((doc, piece, start, len(own), zlib.crc32(own.tobytes())))
+            for doc, begin, end in zip(docs[first:last], offsets[:-1].tolist(), offsets[1:].tolist()):
+                own = np.append(ids[begin:end], np.array([END], "<u4"))
+                for piece, start in enumerate(range(0, len(own), capacity)):
+                    part = own[start: start + capacity]
+                    out.append((doc, piece, start, len(part), zlib.crc32(part.tobytes())))
             columns = zip(*out)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int32() if name == "piece int" else pa.int64()) for c, name in zip(columns, PIECE.split(", "))],

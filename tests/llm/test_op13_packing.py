@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -107,6 +108,28 @@ def test_pieces_of_awkward_documents(spark, awkward):
     assert max(r["piece"] for r in rows) > 5 and sum(r["length"] == 1 for r in rows) >= 3
 
 
+#: what meets at borders: letters with and without marks of their own, signs, blanks, digits, other scripts
+PARTS = st.sampled_from([*"aAzZhHtTjJkK019.,'!-_[]<|>#", "é", "É", "ß", "Σ", "σ", "\u0301", "\u0331", "\u030a", "日本", "٣", " ", "  ", "\n", "\t", "\x0b",
+                         "\u00a0", "\u2003", "\u200d", "\x1c", "\x00", "\u212a", "😀", "'s", "n't", "<|endoftext|>", "w" * 70])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(PARTS, max_size=25).map("".join), min_size=1, max_size=5))
+def test_stretches_give_the_ids_of_whole_texts(texts):
+    stretches = op.stretches_of(op.default_tokenizer())
+    ids, offsets = stretches.of(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [
+        stretches.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_stretches_forget(monkeypatch):
+    monkeypatch.setattr(op, "REMEMBERED", 3)
+    stretches = op.Stretches(op.default_tokenizer())
+    for texts in (["a b c d e f"], ["a b", "g " + "h" * 80], [""], ["f e d", "a" * 90]):
+        ids, _ = stretches.of(pa.array(texts).slice(0))
+        assert ids.tolist() == [i for t in texts for i in stretches.tokenizer.encode(t, add_special_tokens=False).ids]
+
+
 def test_texts_with_control_strings_are_ordinary(spark):
     rows = op.pieces_of(spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id bigint, text string"), op.default_tokenizer()).collect()
     assert rows[0]["length"] > 4
