@@ -8,8 +8,8 @@ the input views are shared with the Spark side.
 from __future__ import annotations
 
 from catalogue.queries import (
-    BUCKET_CAPACITY, BUCKET_START, FEW_DATES, MANY_DATES, RUN_DATE, SIMULATED, SIMULATION_RUN, STATE_SHIFT, TARGET_COLS,
-    TARGET_ROWS,
+    BUCKET_CAPACITY, BUCKET_START, EARLIER_RUN, FAILED_DAY, FAILED_MONTH, FEW_DATES, MANY_DATES, REPAIRED_MONTH, RUN_DATE, SIMULATED,
+    SIMULATION_RUN, STATE_SHIFT, TARGET_COLS, TARGET_ROWS,
 )
 from catalogue.views import GRID, NAN, UTM_GRID, sql, with_views
 from daymosaic.fixed_values import (
@@ -174,6 +174,32 @@ ORACLES["union_by_name"] = f"""WITH {with_views('points_obs', 'water')}
 SELECT obs_id, Theta, PET, NULL::DOUBLE AS Rain, NULL::VARCHAR AS error FROM points_obs
 UNION ALL SELECT obs_id, NULL, PET, Rain, error FROM water"""
 
+# --- publishing -------------------------------------------------------------------------------
+
+IN_WINDOW = f"date BETWEEN DATE '{RUN_DATE}' - 385 AND DATE '{RUN_DATE}' - 5"
+
+
+def published(failed_day: str, more_days: str = "") -> str:
+    """Rows, rejects and days after a run in which also the rows of ``failed_day`` (a condition) failed."""
+    return f"""WITH flat AS ({ORACLES['flatten_results']}),
+good AS (SELECT obs_id, date, {VARS} FROM flat WHERE {IN_WINDOW} AND NOT ({failed_day})),
+bad AS (SELECT o_orderkey AS obs_id, CAST(o_orderdate AS DATE) AS date FROM orders),
+failed AS (SELECT * FROM bad WHERE {IN_WINDOW} AND (obs_id % 37 = 0 OR {failed_day})),
+days AS (SELECT date, count(*) FILTER (ok) AS accepted, count(*) FILTER (NOT ok) AS rejected FROM
+  (SELECT date, true AS ok FROM good UNION ALL SELECT date, false FROM failed) GROUP BY date)
+SELECT 'row' AS kind, obs_id, date, {VARS}, NULL AS error, NULL AS state, NULL AS accepted, NULL AS rejected FROM good
+UNION ALL SELECT 'reject', obs_id, date, {each('NULL')}, 'failed', NULL, NULL, NULL FROM failed
+UNION ALL SELECT 'day', NULL, date, {each('NULL')}, NULL, CASE WHEN accepted > 0 THEN 'published' ELSE 'failed' END, accepted, rejected
+  FROM days{more_days}"""
+
+
+_RETIRED = f""" UNION ALL SELECT DISTINCT 'day', NULL::BIGINT, CAST(o_orderdate AS DATE), {each('NULL::DOUBLE')}, NULL, 'retired', 0, 0 FROM orders
+  WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{EARLIER_RUN}' - 385 AND DATE '{RUN_DATE}' - 386"""
+ORACLES["publish_days"] = f"""SELECT *, CASE WHEN kind <> 'day' THEN NULL WHEN state = 'retired' OR date > DATE '{EARLIER_RUN}' - 5
+    OR strftime(date, '%Y-%m') IN ('{REPAIRED_MONTH}', '{FAILED_MONTH}') THEN 2 ELSE 1 END AS seq
+FROM ({published(f"date = DATE '{FAILED_DAY}'", _RETIRED)})"""
+ORACLES["stream_days"] = published("false")
+
 # --- weather ----------------------------------------------------------------------------------
 
 

@@ -18,8 +18,9 @@ from daymosaic.functions.text import (
     compact_date, date_in_name, last_part, partition_digits, state_path,
 )
 from daymosaic.operators import calendar, flatten, imaging, quality, raster, regions, runlog, state, weather
-from daymosaic.plans import forcing, maps, regional
-from daymosaic.sources import readers, writers
+from daymosaic.plans import daily, forcing, maps, regional
+from daymosaic.sources import ledger, readers, writers
+from daymosaic.streaming import incremental
 
 RUN_DATE = dt.date(2001, 8, 6)
 FEW_DATES = [dt.date(2001, 7, 1), dt.date(2001, 8, 1)]
@@ -138,6 +139,70 @@ def union_by_name(spark, sf):
     )
 
 
+# --- publishing -------------------------------------------------------------------------------
+
+#: months whose files are delivered again, and a day that then fails as a whole
+REPAIRED_MONTH, FAILED_MONTH, FAILED_DAY = "2001-04", "2001-05", dt.date(2001, 5, 10)
+EARLIER_RUN = RUN_DATE - dt.timedelta(7)
+FAILURE = "failed"
+
+
+def _result_files(spark, sf) -> DataFrame:
+    """Nested results with their point's place, as result files have it."""
+    points = view(spark, sf, "points").selectExpr("point_id", "CAST(province AS INT) AS province", "x", "y")
+    return nested_results(spark, sf).join(points, "point_id").withColumn("month", F.date_format("date", "yyyy-MM"))
+
+
+def _published(spark, indicators, rejects) -> DataFrame:
+    """What a reader of the datasets and of the ledger sees, in one table."""
+    rows = ledger.read_published(spark, indicators).select(F.lit("row").alias("kind"), "obs_id", "date", *INDICATORS)
+    failed = spark.read.parquet(rejects.root).select(F.lit("reject").alias("kind"), "obs_id", "date", "error")
+    days = ledger.current_days(spark, indicators).select(
+        F.lit("day").alias("kind"), F.col("day").alias("date"), "state", "accepted", "rejected", "seq")
+    return readers.union_by_name(rows, failed, days)
+
+
+@query
+def publish_days(spark, sf):
+    """Two runs a week apart, with a month repaired and a day failing as a whole in between, and a third that finds nothing to do."""
+    source = shared_folder(spark, "results")
+    indicators, rejects = daily.indicator_days(shared_folder(spark, "published")), daily.reject_days(shared_folder(spark, "rejects"))
+    results = _result_files(spark, sf)
+
+    def deliver(rows: DataFrame, failed: Column) -> None:
+        flagged = rows.withColumn("error", F.when(failed, FAILURE).otherwise(F.col("error")))
+        flagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(source)
+
+    def run(date) -> None:
+        delivered = spark.read.schema(results.schema).parquet(source).drop("month")
+        daily.publish_days(spark, delivered, indicators, rejects, date)
+
+    deliver(results, (F.col("month") == REPAIRED_MONTH) & (F.col("obs_id") % 5 == 0))
+    run(EARLIER_RUN)
+    deliver(results.where(F.col("month").isin(REPAIRED_MONTH, FAILED_MONTH)), F.col("date") == F.lit(FAILED_DAY))
+    run(RUN_DATE)
+    run(RUN_DATE)
+    return _published(spark, indicators, rejects)
+
+
+#: before it, a first delivery holds three of four results, and some of them as failures
+SECOND_DELIVERY = dt.date(2001, 3, 1)
+
+
+@query
+def stream_days(spark, sf):
+    """Two deliveries with a restart between: late rows, rows delivered again, and new days in the second."""
+    source, log = shared_folder(spark, "arriving"), shared_folder(spark, "log")
+    indicators, rejects = daily.indicator_days(shared_folder(spark, "published")), daily.reject_days(shared_folder(spark, "rejects"))
+    results = _result_files(spark, sf).drop("month")
+    early, late, again = F.col("date") < F.lit(SECOND_DELIVERY), F.col("obs_id") % 4 == 0, F.col("obs_id") % 10 == 3
+    first = results.where(early & ~late).withColumn("error", F.when(again, FAILURE).otherwise(F.col("error")))
+    for delivery in (first, results.where(~early | late | again)):
+        delivery.write.mode("append").parquet(source)
+        incremental.stream_days(spark, source, indicators, rejects, log, RUN_DATE, schema=results.schema, keys=("obs_id",))
+    return _published(spark, indicators, rejects).drop("seq")
+
+
 # --- dates, paths and names -------------------------------------------------------------------
 
 @query

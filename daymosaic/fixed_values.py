@@ -51,6 +51,8 @@ BLOCK_FACTOR = 4
 ROUNDING_FACTOR = 1000
 HULL_MARGIN = 1000.0
 ROWS_PER_FILE = 1_000_000
+ROWS_PER_GROUP = 5_000
+IMAGES_PER_GROUP = 11
 PALETTE_LABEL = "ag_GrnYl"
 MISSING_COLOUR = "#FFFFFF00"
 REVERSED_RAMPS = ("DDS", "SFP", "CFP")

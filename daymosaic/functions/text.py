@@ -12,9 +12,12 @@ def pad2(c: Column) -> Column:
 
 
 def partition_digits(path: Column) -> Column:
-    """``.../year=2025/month=3/day=7/`` -> ``20250307``."""
-    numbers = F.regexp_extract_all(path, F.lit("=([0-9]*)"), F.lit(1))
-    return F.array_join(F.transform(numbers, pad2), "")
+    """``.../year=2025/month=3/day=7/`` -> ``20250307``; NULL where a folder is not there.
+
+    Folders are found by name: another one with a ``=`` in its name may be anywhere in the path.
+    """
+    numbers = [F.nullif(F.regexp_extract(path, f"(?:^|/){name}=([0-9]+)(?:/|$)", 1), F.lit("")) for name in ("year", "month", "day")]
+    return F.concat(*[pad2(n) for n in numbers])
 
 
 def date_in_name(path: Column) -> Column:

@@ -1,4 +1,9 @@
-"""The daily batch: flatten new results, publish them, and refresh what depends on them."""
+"""The daily batch: flatten new results, publish them, and refresh what depends on them.
+
+Each step publishes through its own ledger. The indicators of a day are made again when the result files of the
+day change; its regional means and images when its indicators were published again. Days that
+leave the window leave all datasets.
+"""
 
 from __future__ import annotations
 
@@ -7,41 +12,99 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymosaic.fixed_values import IMAGES_PER_GROUP, ROWS_PER_GROUP
 from daymosaic.functions.text import partition_digits
-from daymosaic.operators.calendar import date_window, pending_dates, window_retention
 from daymosaic.operators.flatten import flatten_results
 from daymosaic.operators.quality import rejected
+from daymosaic.plans.maps import daily_images
+from daymosaic.plans.regional import regional_series
+from daymosaic.schemas import GridSpec
+from daymosaic.sources.ledger import DayDataset, file_sources, ledger_sources, publish, read_published
 from daymosaic.sources.readers import list_files
-from daymosaic.sources.writers import write_partitioned_day
+from daymosaic.sources.writers import with_date_parts
+
+
+def _by_parts(root: str, **layout) -> DayDataset:
+    return DayDataset(
+        root, ("year", "month", "day"), lambda d: f"year={d.year}/month={d.month}/day={d.day}", "make_date(year, month, day)", **layout)
+
+
+def indicator_days(root: str, schema=None, sort=("geometry.x", "geometry.y")) -> DayDataset:
+    return _by_parts(root, sort=sort, rows_per_group=ROWS_PER_GROUP, schema=schema)
+
+
+def reject_days(root: str) -> DayDataset:
+    return _by_parts(root)
+
+
+def series_days(root: str) -> DayDataset:
+    """One folder a level and day, so a row group holds a day."""
+    return DayDataset(root, ("admin_level", "date"), lambda d: f"admin_level=*/date={d}", "CAST(date AS DATE)", sort=("polygon_id",))
+
+
+def image_days(root: str) -> DayDataset:
+    return DayDataset(
+        root, ("date",), lambda d: f"date={d:%Y%m%d}", "to_date(CAST(date AS STRING), 'yyyyMMdd')", sort=("var",), rows_per_group=IMAGES_PER_GROUP)
+
+
+def with_geometry(flat: DataFrame) -> DataFrame:
+    """Coordinates as one column, where there are any."""
+    if not {"x", "y"} <= set(flat.columns):
+        return flat.withColumn("geometry", F.lit(None).cast("struct<x: double, y: double>"))
+    return flat.withColumn("geometry", F.struct("x", "y")).drop("x", "y")
 
 
-def new_indicators(results: DataFrame, processed: DataFrame, run_date: dt.date) -> DataFrame:
-    """Flattened rows of the days of the window that are not processed yet.
+def accepted_and_rejected(results: DataFrame) -> list[DataFrame]:
+    """Published rows and rejects of nested results, each with its folder columns."""
+    kept = [c for c in results.columns if c not in ("result", "state", "x", "y")]
+    return [with_geometry(flatten_results(results)), with_date_parts(rejected(results).select(*kept))]
 
-    The window has 381 days, so the pending ones become a literal list: the
-    reader skips every folder or row group of another day.
+
+def publish_days(
+    spark: SparkSession, results: DataFrame, indicators: DayDataset, rejects: DayDataset, run_date: dt.date,
+    txn: str | None = None, sources: DataFrame | None = None,
+) -> list[dt.date]:
+    """Publish the days of the window whose result files are new or changed; failed rows go to ``rejects``.
+
+    ``results`` is read from files, unless ``sources`` says what its days come from. A window has 381 days, so those
+    to publish become a literal list and the reader skips every other folder or row group.
     """
-    pending = pending_dates(date_window(results.sparkSession, run_date), processed)
-    days = [r["date"] for r in pending.collect()]
-    return flatten_results(results.where(F.col("date").isin(days)))
-
-
-def publish_new_days(
-    spark: SparkSession, results: DataFrame, processed: DataFrame, run_date: dt.date,
-    indicators_root: str, rejects_root: str,
-) -> None:
-    """Write the new days; failed rows of the window go to the rejects dataset."""
-    write_partitioned_day(new_indicators(results, processed, run_date), indicators_root)
-    failed = rejected(window_retention(results, run_date)).select(
-        "province", "point_id", "date", "error"
-    )
-    write_partitioned_day(failed, rejects_root)
+    def make(days: list[dt.date]) -> list[DataFrame]:
+        return accepted_and_rejected(results.where(F.col("date").isin(days)))
+
+    return publish(spark, [indicators, rejects], file_sources(results) if sources is None else sources, make, run_date, txn)
+
+
+def _of_days(spark: SparkSession, indicators: DayDataset, days: list[dt.date]) -> DataFrame:
+    return read_published(spark, indicators, days[0], days[-1]).where(F.col("date").isin(days))
+
+
+def publish_series(
+    spark: SparkSession, indicators: DayDataset, points: DataFrame, polygons: DataFrame, cell_sizes: dict[str, float],
+    series: DayDataset, run_date: dt.date,
+) -> list[dt.date]:
+    """Regional means of the days whose indicators were published since."""
+    def make(days):
+        return [regional_series(_of_days(spark, indicators, days), points, polygons, cell_sizes, clean=False)]
+
+    return publish(spark, [series], ledger_sources(spark, indicators), make, run_date)
+
+
+def publish_images(
+    spark: SparkSession, indicators: DayDataset, points: DataFrame, spec: GridSpec, order: str, ncol: int, nrow: int,
+    images: DayDataset, run_date: dt.date,
+) -> list[dt.date]:
+    """Images of the days whose indicators were published since."""
+    def make(days):
+        return [daily_images(_of_days(spark, indicators, days), points, spec, order, ncol, nrow)]
+
+    return publish(spark, [images], ledger_sources(spark, indicators), make, run_date)
 
 
 def processed_dates(spark: SparkSession, indicators_root: str) -> DataFrame:
-    """Days the indicator dataset holds, from the names of its folders; no file is read."""
+    """Days a dataset without a ledger holds, from the names of its folders; no file is read."""
     digits = partition_digits(F.col("path"))
     return (
         list_files(spark, indicators_root, "*.parquet")
-        .select(F.to_date(digits, "yyyyMMdd").alias("date")).distinct()
+        .select(F.to_date(digits, "yyyyMMdd").alias("date")).where(F.col("date").isNotNull()).distinct()
     )

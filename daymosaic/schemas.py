@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-from daymosaic.fixed_values import INDICATORS, WEATHER_VARS
+from daymosaic.fixed_values import EXTRA_OUTPUTS, INDICATORS, WEATHER_VARS
 
 
 def _doubles(names) -> list[T.StructField]:
@@ -68,7 +68,13 @@ IMAGES = T.StructType([
     T.StructField("base64_string", T.StringType()),
 ] + _doubles(["left_ext", "down_ext", "right_ext", "up_ext", "min_value", "max_value"]))
 
-INDICATOR_FIELDS = _doubles(INDICATORS)
+#: the published indicators; the last three columns are folders
+INDICATOR_DAYS = T.StructType([
+    T.StructField("province", T.IntegerType()),
+    T.StructField("point_id", T.LongType()),
+    T.StructField("date", T.DateType()),
+    T.StructField("geometry", POINT),
+] + _doubles([*INDICATORS, *EXTRA_OUTPUTS]) + [T.StructField(n, T.IntegerType()) for n in ("year", "month", "day")])
 
 
 @dataclass(frozen=True)

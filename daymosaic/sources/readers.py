@@ -6,27 +6,30 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daymosaic.fixed_values import EXCLUDED_FILE_CODES, INDICATORS
-from daymosaic.schemas import RESULTS
+from daymosaic.schemas import INDICATOR_DAYS, RESULTS
+from daymosaic.sources import folders
 
 
-def read_indicators(spark: SparkSession, root: str) -> DataFrame:
-    """The indicator dataset below ``root``; its folders become year, month and day."""
-    return spark.read.parquet(root)
+def read_indicators(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """The indicator dataset below ``root``; its folders become year, month and day.
 
-
-def of_day(year, month, day):
-    return (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
+    With a ``schema``, as ``schemas.INDICATOR_DAYS``, no file is opened to find it out.
+    """
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(root)
 
 
 def scan_day_partition(spark: SparkSession, root: str, date: dt.date, columns=INDICATORS) -> DataFrame:
-    """Position and ``columns`` of one day: only that folder and those columns are read."""
-    return (
-        read_indicators(spark, root)
-        .where(of_day(date.year, date.month, date.day))
-        .select("geometry", *columns)
-    )
+    """Position and ``columns`` of one day: its folder is the only one listed, and only those columns are read.
+
+    A day without a folder has no rows; a folder whose files lack a column is an error.
+    """
+    folder = f"year={date.year}/month={date.month}/day={date.day}"
+    if not folders.exists(spark, f"{root}/{folder}"):
+        return spark.createDataFrame([], INDICATOR_DAYS).select("geometry", *columns)
+    return spark.read.option("basePath", root).parquet(f"{root}/{folder}").select("geometry", *columns)
 
 
 def scan_date_range(spark: SparkSession, root: str, first: dt.date, last: dt.date, columns) -> DataFrame:

@@ -5,22 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymosaic.fixed_values import ROWS_PER_FILE
+from daymosaic.fixed_values import IMAGES_PER_GROUP, ROWS_PER_FILE, ROWS_PER_GROUP
 from daymosaic.functions.text import partition_uri, point_wkt
 
 
-def _replace_partitions(df: DataFrame, root: str, by, sort, rows_per_file, row_group_bytes) -> None:
-    # rebalancing gathers small partitions and splits a partition value that holds
-    # much of the data over several tasks
-    spread = df.hint("rebalance", *by)
+def write_folders(df: DataFrame, root: str, by, sort=(), rows_per_file: int = ROWS_PER_FILE, rows_per_group: int | None = None) -> None:
+    """Write ``df`` below ``root`` in folders of ``by``, replacing those that ``df`` has rows for.
+
+    Rebalancing gathers small partitions and splits a folder that holds much of the data over
+    several tasks. ``sort`` orders the rows of a file, and ``rows_per_group`` bounds its row groups, which makes
+    their statistics selective for later range predicates.
+    """
     writer = (
-        spread.sortWithinPartitions(*by, *sort).write.mode("overwrite")
+        df.hint("rebalance", *by).sortWithinPartitions(*by, *sort).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(*by)
     )
-    if row_group_bytes:
-        writer = writer.option("parquet.block.size", row_group_bytes)
+    if rows_per_group:
+        writer = writer.option("parquet.block.row.count.limit", rows_per_group)
     writer.parquet(root)
 
 
@@ -31,14 +34,10 @@ def with_date_parts(df: DataFrame, date: str = "date") -> DataFrame:
 
 
 def write_partitioned_day(
-    df: DataFrame, root: str, sort=(), rows_per_file: int = ROWS_PER_FILE, row_group_bytes: int | None = None
+    df: DataFrame, root: str, sort=(), rows_per_file: int = ROWS_PER_FILE, rows_per_group: int = ROWS_PER_GROUP
 ) -> None:
-    """Write days below ``root`` as ``year=/month=/day=``, replacing the days present in ``df``.
-
-    ``sort`` orders rows inside the files, which makes their column statistics
-    selective for later range predicates.
-    """
-    _replace_partitions(with_date_parts(df), root, ["year", "month", "day"], sort, rows_per_file, row_group_bytes)
+    """Write days below ``root`` as ``year=/month=/day=``, replacing the days present in ``df``."""
+    write_folders(with_date_parts(df), root, ["year", "month", "day"], sort, rows_per_file, rows_per_group)
 
 
 def partition_paths(df: DataFrame, root: str, date: str = "date") -> DataFrame:
@@ -58,14 +57,17 @@ def write_point_layer(df: DataFrame, root: str) -> None:
 
 def write_image_table(images: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """The image table, one folder per date; rewriting a date replaces it."""
-    _replace_partitions(images, root, ["date"], ["var"], rows_per_file, None)
+    write_folders(images, root, ["date"], ["var"], rows_per_file, IMAGES_PER_GROUP)
 
 
 def timeseries_publish(means: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Regional means, one folder per level and day: publishing a day leaves all other days alone."""
-    _replace_partitions(means, root, ["admin_level", "date"], ["polygon_id"], rows_per_file, None)
+    """Regional means, one folder per level and day: publishing a day leaves all other days alone.
+
+    A folder is a day, so a row group is a day too.
+    """
+    write_folders(means, root, ["admin_level", "date"], ["polygon_id"], rows_per_file)
 
 
 def state_checkpoint(states: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """State of each point after a day, one folder per date; provinces lie in order inside the files."""
-    _replace_partitions(states, root, ["date"], ["province", "point_id"], rows_per_file, None)
+    write_folders(states, root, ["date"], ["province", "point_id"], rows_per_file)

@@ -1,55 +1,74 @@
-"""Picking up days as their result files arrive.
+"""Publishing days as their result files arrive, accepted and rejected rows alike.
 
-A file stream remembers which files it has seen; ``availableNow`` works off
-what is new and stops, as a daily job does. Files of one day can arrive in
-several batches, and a day's partition is replaced as a whole, so each batch
-only names the days it touches: those days are read again in full and written.
-Running a batch twice gives the same dataset.
+A file stream remembers which files it has seen; ``availableNow`` works off what is new and stops, as a
+daily job does. Files of a day come in any batch, late ones long after the day was published: a batch only names the days
+it touches, and those days are made again from all their files. A point delivered twice for a day counts as
+delivered last. Each batch is one transaction of the ledger, so a batch that runs again after a restart
+publishes nothing twice.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from daymosaic.functions.sizing import small_side
-from daymosaic.operators.flatten import flatten_results
+from daymosaic.plans.daily import publish_days
 from daymosaic.schemas import RESULTS
-from daymosaic.sources.readers import read_results
-from daymosaic.sources.writers import write_partitioned_day
+from daymosaic.sources.ledger import DayDataset
 
-#: days named one by one in the filter of the second read
-MAX_LISTED_DAYS = 1000
+#: what a result file says once a day of each point
+KEYS = ("province", "point_id", "date")
 
 
-def results_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
+def results_stream(spark: SparkSession, root: str, files_per_batch: int = 1000, schema: StructType = RESULTS) -> DataFrame:
     """New result files below ``root``, flat or in ``province=/date=`` folders."""
-    return spark.readStream.schema(RESULTS).option("maxFilesPerTrigger", files_per_batch).parquet(root)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(root)
 
 
-def rows_of_days(results: DataFrame, days: DataFrame, max_listed: int = MAX_LISTED_DAYS) -> DataFrame:
-    """Rows of ``results`` whose date is in ``days``.
+def rows_of_days(results: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows of ``results`` whose date is among ``days``, however many those are.
 
-    A batch touches a few days: they become a literal filter, so the reader
-    leaves out the folders and row groups of all others. A longer list is joined.
+    Their first and last day become a range the reader prunes folders and row groups with; the days
+    themselves are a semi-join.
     """
-    listed = [r["date"] for r in days.limit(max_listed + 1).collect()]
-    if len(listed) <= max_listed:
-        return results.where(F.col("date").isin(listed))
-    return results.join(small_side(days), "date", "left_semi")
+    first, last = days.agg(F.min("date"), F.max("date")).first()
+    return results.where(F.col("date").between(F.lit(first), F.lit(last))).join(
+        small_side(days.select(F.col("date").alias("_day"))), F.col("date") == F.col("_day"), "left_semi")
+
 
+def latest_delivery(results: DataFrame, keys=KEYS) -> DataFrame:
+    """One row a key, of several that from the file written last (then the last in name, then in content).
+
+    Compared before the shuffle, so a key delivered very often arrives as one row a task.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in results.columns])
+    order = F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"), F.xxhash64(row))
+    picked = results.select(*[F.col(k).alias(f"_key_{k}") for k in keys], row.alias("_row"), order.alias("_order"))
+    return picked.groupBy(*[f"_key_{k}" for k in keys]).agg(F.max_by("_row", "_order").alias("_row")).select("_row.*")
 
-def update_indicators(spark: SparkSession, results_root: str, indicators_root: str, checkpoint: str) -> None:
-    """Flatten and publish every day touched by result files not seen before."""
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
+def stream_days(
+    spark: SparkSession, results_root: str, indicators: DayDataset, rejects: DayDataset, checkpoint: str, run_date: dt.date,
+    files_per_batch: int = 1000, schema: StructType = RESULTS, keys=KEYS,
+) -> None:
+    """Publish every day of the window touched by result files not seen before."""
+    def publish_batch(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
         days = batch.select("date").distinct()
-        touched = rows_of_days(read_results(batch.sparkSession, results_root), days)
-        write_partitioned_day(flatten_results(touched), indicators_root)
+        if days.isEmpty():
+            return
+        # a batch is what its days come from: each one makes them anew
+        sources = days.select(F.col("date").alias("day"), F.xxhash64(F.lit(checkpoint), F.lit(number)).alias("source"))
+        results = rows_of_days(session.read.schema(schema).parquet(results_root), days)
+        publish_days(session, latest_delivery(results, keys), indicators, rejects, run_date, f"{checkpoint}:{number}", sources)
 
     query = (
-        results_stream(spark, results_root).select("date").writeStream
-        .foreachBatch(publish)
+        results_stream(spark, results_root, files_per_batch, schema).select("date").writeStream
+        .foreachBatch(publish_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -24,6 +24,8 @@ def test_pad_never_truncates(spark, text, want):
 
 def test_partition_digits(spark):
     assert one(spark, "s3://bucket/year=2025/month=3/day=7/", partition_digits) == "20250307"
+    assert one(spark, "/data/v=2/run=7/year=2025/month=11/day=17/part-0.parquet", partition_digits) == "20251117"
+    assert one(spark, "/data/year=2025/month=3", partition_digits) is None
 
 
 @pytest.mark.parametrize("text,want", [
