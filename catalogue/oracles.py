@@ -466,6 +466,8 @@ ORACLES["colour_rgb"] = f"""WITH {COLOURED}
 SELECT colour, count(*) AS n_pixels, ('0x' || substr(colour, 2, 2))::INT AS red,
   ('0x' || substr(colour, 4, 2))::INT AS green, ('0x' || substr(colour, 6, 2))::INT AS blue
 FROM coloured GROUP BY colour"""
+ORACLES["image_pixels"] = f"""WITH {COLOURED}
+SELECT strftime(date, '%Y%m%d') AS date, var, row, col, colour FROM coloured WHERE value IS NOT NULL"""
 ORACLES["image_legend"] = f"""WITH {RANGES}
 SELECT strftime(date, '%Y%m%d') AS date, var, 'ag_GrnYl' AS palette_selected,
   0.0::DOUBLE AS left_ext, 0.0::DOUBLE AS down_ext, 10000.0::DOUBLE AS right_ext, 10000.0::DOUBLE AS up_ext,

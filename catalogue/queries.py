@@ -532,8 +532,7 @@ def _coarse(spark, sf) -> DataFrame:
 
 
 def _pixels(spark, sf) -> DataFrame:
-    scaled = raster.scaled_layers(_coarse(spark, sf))
-    return raster.coloured(raster.unpivot_vars(scaled, ["date", "row", "col"]))
+    return raster.coloured(raster.scaled_layers(_coarse(spark, sf)))
 
 
 @query
@@ -633,3 +632,9 @@ def image_legend(spark, sf):
 def image_table(spark, sf):
     layers, target = _utm_layers(spark, sf)
     return imaging.image_table(layers, target)
+
+
+@query
+def image_pixels(spark, sf):
+    """Images of the coarse layers, encoded and decoded again."""
+    return imaging.image_pixels(imaging.image_table(_coarse(spark, sf), GRID.coarse(BLOCK_FACTOR)))

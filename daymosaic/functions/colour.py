@@ -57,35 +57,35 @@ def _tristimulus(f: str, white: float) -> str:
     return f"{white!r}D * CASE WHEN {cube} > {LAB_EPSILON!r}D THEN {cube} ELSE (116D * {f} - 16D) / {LAB_KAPPA!r}D END"
 
 
-def _byte_hex(c: str) -> str:
+def _byte(c: str) -> str:
     gamma = f"CASE WHEN {c} <= 0.0031308D THEN {c} * 12.92D ELSE 1.055D * pow({c}, {1 / 2.4!r}D) - 0.055D END"
-    return f"lpad(hex(CAST(round(greatest(0D, least(1D, {gamma})) * 255D) AS BIGINT)), 2, '0')"
+    return f"CAST(round(greatest(0D, least(1D, {gamma})) * 255D) AS INT)"
 
 
-def ramp_position(value: str, low: str, high: str, var: str) -> str:
-    """Place in [0, 1] of the ramp; reversed variables run the other way. A missing value has none, in a flat layer too."""
+def ramp_position(value: str, low: str, high: str, reversed_ramp: str) -> str:
+    """Place in [0, 1] of the ramp; a reversed one runs the other way. A missing value has none, in a flat layer too."""
     share = f"CASE WHEN {value} IS NULL OR isnan({value}) THEN NULL WHEN {high} = {low} THEN 0.5D ELSE ({value} - {low}) / nullif({high} - {low}, 0D) END"
-    reversed_vars = ", ".join(f"'{v}'" for v in REVERSED_RAMPS)
-    return f"CASE WHEN {var} IN ({reversed_vars}) THEN 1D - ({share}) ELSE {share} END"
+    return f"CASE WHEN {reversed_ramp} THEN 1D - ({share}) ELSE {share} END"
 
 
-def with_colour(df: DataFrame, value: str, low: str, high: str, var: str, out: str) -> DataFrame:
-    """Append the ramp colour of ``value`` in its domain [low, high] as ``#RRGGBB``.
+def is_reversed(var: str) -> str:
+    return f"{var} IN (" + ", ".join(f"'{v}'" for v in REVERSED_RAMPS) + ")"
 
-    Variable ``Psi`` uses its own break points. A missing value gets the
-    transparent colour.
+
+def with_rgb(df: DataFrame, position: str, psi: str, out: str) -> DataFrame:
+    """Append the ramp colour at ``position`` in [0, 1] as one number, red first; NULL without a position.
+
+    ``psi`` is a condition: variable ``Psi`` has its own break points.
     """
     lab = list(zip(*[hex_to_lab(c) for c in RAMP_COLOURS]))
     # segment 1..8: one more than the number of inner breaks not beyond the position
     segment = " + ".join(
-        ["1"] + [f"CAST(_t >= element_at(_breaks, {k}) AS INT)" for k in range(2, len(RAMP_COLOURS))]
+        ["1"] + [f"CAST({position} >= element_at(_breaks, {k}) AS INT)" for k in range(2, len(RAMP_COLOURS))]
     )
-    colour = " || ".join(["'#'"] + [_byte_hex(c) for c in ("_lr", "_lg", "_lb")])
     stages = [
-        {"_t": ramp_position(value, low, high, var)},
-        {"_breaks": f"CASE WHEN {var} = 'Psi' THEN {_array(PSI_BREAKS)} ELSE {_array(EVEN_BREAKS)} END"},
+        {"_breaks": f"CASE WHEN {psi} THEN {_array(PSI_BREAKS)} ELSE {_array(EVEN_BREAKS)} END"},
         {"_seg": segment},
-        {"_w": "(_t - element_at(_breaks, _seg)) / (element_at(_breaks, _seg + 1) - element_at(_breaks, _seg))"},
+        {"_w": f"({position} - element_at(_breaks, _seg)) / (element_at(_breaks, _seg + 1) - element_at(_breaks, _seg))"},
         {name: _between_anchors(anchors) for name, anchors in zip(("_l", "_a", "_b"), lab)},
         {"_fy": "(_l + 16D) / 116D", "_fx": "(_l + 16D) / 116D + _a / 500D", "_fz": "(_l + 16D) / 116D - _b / 200D"},
         {name: _tristimulus(f, white) for name, f, white in zip(("_x", "_y", "_z"), ("_fx", "_fy", "_fz"), WHITE)},
@@ -93,7 +93,8 @@ def with_colour(df: DataFrame, value: str, low: str, high: str, var: str, out: s
             name: " + ".join(f"{w!r}D * {c}" for w, c in zip(weights, ("_x", "_y", "_z")))
             for name, weights in zip(("_lr", "_lg", "_lb"), XYZ_TO_RGB)
         },
-        {out: f"CASE WHEN _t IS NOT NULL AND NOT isnan(_t) THEN {colour} ELSE '{MISSING_COLOUR}' END"},
+        {out: f"CASE WHEN {position} IS NOT NULL AND NOT isnan({position}) "
+              f"THEN ({_byte('_lr')} * 256 + {_byte('_lg')}) * 256 + {_byte('_lb')} END"},
     ]
     keep = df.columns
     for stage in stages:
@@ -101,6 +102,18 @@ def with_colour(df: DataFrame, value: str, low: str, high: str, var: str, out: s
     return df.select(*keep, out)
 
 
+def with_colour(df: DataFrame, value: str, low: str, high: str, var: str, out: str) -> DataFrame:
+    """Append the ramp colour of ``value`` in its domain [low, high] as ``#RRGGBB``.
+
+    Variable ``Psi`` uses its own break points. A missing value gets the
+    transparent colour.
+    """
+    placed = df.selectExpr("*", f"{ramp_position(value, low, high, is_reversed(var))} AS _t")
+    numbered = with_rgb(placed, "_t", f"{var} = 'Psi'", "_rgb")
+    return numbered.selectExpr(
+        *[f"`{c}`" for c in df.columns], f"coalesce('#' || lpad(hex(_rgb), 6, '0'), '{MISSING_COLOUR}') AS {out}")
+
+
 def channel(colour: Column, index: int) -> Column:
     """Channel 0 (red), 1 (green) or 2 (blue) of ``#RRGGBB[AA]``."""
     return F.conv(F.substring(colour, 2 + 2 * index, 2), 16, 10).cast("int")

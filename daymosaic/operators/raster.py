@@ -29,6 +29,14 @@ def grid_scatter(observations: DataFrame, order: str, variables=INDICATORS) -> D
     )
 
 
+def by_day(layers: DataFrame) -> DataFrame:
+    """``layers`` with each day in one partition, as blocks, pixels, ranges and images of a day are then made without moving again.
+
+    A day has at most as many rows as the grid has cells, however many observations it had.
+    """
+    return layers.repartition("date")
+
+
 def block_mean(
     layers: DataFrame, spec: GridSpec, factor: int = BLOCK_FACTOR, variables=INDICATORS
 ) -> DataFrame:
@@ -73,25 +81,37 @@ def var_ranges(layers: DataFrame, variables=INDICATORS) -> DataFrame:
     return wide.select("date", F.inline(rows))
 
 
-def coloured(long: DataFrame) -> DataFrame:
-    """Add the range of the layer and the ramp colour to every (date, var, value).
+def with_ranges(layers: DataFrame, variables=INDICATORS) -> DataFrame:
+    """Add the range of each variable's layer as ``_min_<variable>`` and ``_max_<variable>``.
 
-    The range comes from a window over the layer, whose rows are limited by the
-    grid: no second pass over what the layers were made from, and the partitioning
-    is the one images are put together in.
+    A window over the day, whose rows are limited by the grid: no second pass over what the
+    layers were made from, and no exchange where they come partitioned by day.
     """
-    layer = Window.partitionBy("date", "var")
-    value = nan_to_null(F.col("value"))
-    ranged = long.withColumns({
-        "min_value": F.min(value).over(layer), "max_value": F.max(value).over(layer),
+    day = Window.partitionBy("date")
+    present = {v: nan_to_null(F.col(v)) for v in variables}
+    return layers.withColumns({
+        **{f"_min_{v}": F.min(c).over(day) for v, c in present.items()},
+        **{f"_max_{v}": F.max(c).over(day) for v, c in present.items()},
     })
-    return with_colour(ranged, "value", "min_value", "max_value", "var", "colour")
+
+
+def _long_with_ranges(layers: DataFrame, ids, variables) -> DataFrame:
+    """Rows (ids, var, value, min_value, max_value)."""
+    each = F.array(*[F.struct(
+        F.lit(v).alias("var"), F.col(v).alias("value"), F.col(f"_min_{v}").alias("min_value"), F.col(f"_max_{v}").alias("max_value"),
+    ) for v in variables])
+    return with_ranges(layers, variables).select(*ids, F.inline(each))
+
+
+def coloured(layers: DataFrame, ids=("date", "row", "col"), variables=INDICATORS) -> DataFrame:
+    """Rows (ids, var, value, colour, min_value, max_value) of wide layers."""
+    return with_colour(_long_with_ranges(layers, ids, variables), "value", "min_value", "max_value", "var", "colour")
 
 
 def colour_lookup(layers: DataFrame, variables=INDICATORS) -> DataFrame:
     """Colour table: the distinct values of each layer and their colours."""
-    values = unpivot_vars(layers, ["date"], variables).distinct()
-    return coloured(values).select("date", "var", "value", "colour")
+    values = _long_with_ranges(layers, ["date"], variables).distinct()
+    return with_colour(values, "value", "min_value", "max_value", "var", "colour").select("date", "var", "value", "colour")
 
 
 def cell_lonlat(cells: DataFrame, spec: GridSpec) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from daymosaic.fixed_values import BLOCK_FACTOR, INDICATORS
 from daymosaic.functions.sizing import small_side
 from daymosaic.operators.imaging import image_table
-from daymosaic.operators.raster import block_mean, grid_resample_bilinear, grid_scatter, lonlat_grid
+from daymosaic.operators.raster import block_mean, by_day, grid_resample_bilinear, grid_scatter, lonlat_grid
 from daymosaic.operators.weather import with_cell
 from daymosaic.schemas import GridSpec
 
@@ -22,7 +22,11 @@ def point_layers(observations: DataFrame, points: DataFrame, spec: GridSpec, ord
 def coarse_layers(
     observations: DataFrame, points: DataFrame, spec: GridSpec, order: str, factor: int = BLOCK_FACTOR
 ) -> DataFrame:
-    return block_mean(point_layers(observations, points, spec, order), spec, factor)
+    """Blocks of ``factor`` x ``factor`` cells, each day in one partition.
+
+    Two exchanges: observations meet by cell, aggregated before they move; cells then meet by day.
+    """
+    return block_mean(by_day(point_layers(observations, points, spec, order)), spec, factor)
 
 
 def daily_images(

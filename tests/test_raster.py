@@ -2,8 +2,6 @@ import base64
 import datetime as dt
 import math
 import random
-import struct
-import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +10,7 @@ from daymosaic.fixed_values import INDICATORS, RAMP_COLOURS
 from daymosaic.functions import projection as tm
 from daymosaic.functions.colour import channel, with_colour
 from daymosaic.operators import raster as ra
-from daymosaic.operators.imaging import image_legend, image_table
+from daymosaic.operators.imaging import decode_png, image_legend, image_pixels, image_table
 from daymosaic.plans.maps import daily_images
 from daymosaic.schemas import GridSpec
 
@@ -87,8 +85,8 @@ def test_psi_ramp_hits_the_anchors_at_its_breaks(spark):
 
 
 def test_missing_values_of_a_flat_layer_stay_missing(spark):
-    df = spark.createDataFrame([(D1, "PET", 2.0), (D1, "PET", None), (D1, "PET", float("nan"))], "date date, var string, value double")
-    colours = [r["colour"] for r in ra.coloured(df).collect()]
+    df = wide(spark, [(D1, 0, 0, 2.0), (D1, 0, 1, None), (D1, 0, 2, float("nan"))], "date date, row long, col long")
+    colours = [r["colour"] for r in ra.coloured(df).collect() if r["var"] == "PET"]
     assert sorted(colours) == ["#F2EFF2", "#FFFFFF00", "#FFFFFF00"]
 
 
@@ -162,20 +160,16 @@ def test_cell_centres_in_degrees(spark):
 def decode(uri):
     """Pixels of a PNG data URI as rows of (r, g, b)."""
     data = base64.b64decode(uri.removeprefix("data:image/png;base64,"))
-    assert data[:8] == b"\x89PNG\r\n\x1a\n"
-    at, chunks = 8, {}
-    while at < len(data):
-        (n,), kind = struct.unpack(">I", data[at:at + 4]), data[at + 4:at + 8]
-        body = data[at + 8:at + 8 + n]
-        assert struct.unpack(">I", data[at + 8 + n:at + 12 + n])[0] == zlib.crc32(kind + body)
-        chunks[kind] = chunks.get(kind, b"") + body
-        at += 12 + n
-    width, height, depth, kind = struct.unpack(">IIBB", chunks[b"IHDR"][:10])
-    assert (depth, kind) == (8, 2) and chunks[b"tRNS"] == b"\x00\xff" * 3
-    raw = zlib.decompress(chunks[b"IDAT"])
-    step = 1 + 3 * width
-    assert len(raw) == height * step and all(raw[i * step] == 0 for i in range(height))
-    return [[tuple(raw[i * step + 1 + 3 * j:i * step + 4 + 3 * j]) for j in range(width)] for i in range(height)]
+    assert b"tRNS" + b"\x00\xff" * 3 in data
+    return [[tuple(p) for p in line] for line in decode_png(data).tolist()]
+
+
+def test_a_damaged_image_is_not_decoded(spark):
+    df = wide(spark, [(D1, 0, 0, 1.0)], "date date, row long, col long")
+    data = base64.b64decode(image_table(df, GridSpec(0.0, 2.0, 0.0, 2.0, 1.0)).first()["base64_string"].removeprefix("data:image/png;base64,"))
+    for broken in (data[1:], data[:45] + bytes([data[45] ^ 1]) + data[46:]):
+        with pytest.raises(ValueError):
+            decode_png(broken)
 
 
 def test_images_hold_the_colours_of_their_layer(spark):
@@ -202,10 +196,26 @@ def test_an_image_of_strips_is_the_image_of_its_pixels(spark, nrow):
     df = wide(spark, [(D1, r, c, v) for (r, c), v in values.items()], "date date, row long, col long")
     one = next(r for r in image_table(df, target, strip_rows=3).collect() if r["var"] == "Theta")
     pixels = decode(one["base64_string"])
-    shades = {(r["row"], r["col"]): r["colour"] for r in ra.coloured(ra.unpivot_vars(
-        ra.scaled_layers(df, INDICATORS), ["date", "row", "col"], INDICATORS)).where("var = 'Theta'").collect()}
+    shades = {(r["row"], r["col"]): r["colour"] for r in ra.coloured(ra.scaled_layers(df)).where("var = 'Theta'").collect()}
     want = [[tuple(bytes.fromhex(shades[r, c][1:7])) if (r, c) in shades else (255,) * 3 for c in range(4)] for r in range(nrow)]
     assert pixels == want
+    back = {(r["row"], r["col"]): r["colour"] for r in image_pixels(image_table(df, target, strip_rows=3)).where("var = 'Theta'").collect()}
+    assert back == shades
+
+
+def test_images_of_many_days_in_small_batches(spark):
+    """Days and strips that begin and end anywhere in a batch."""
+    rng, target = random.Random(3), GridSpec(0.0, 5.0, 0.0, 6.0, 1.0)
+    cells = [(D1 + dt.timedelta(d), r, c, rng.random()) for d in range(40) for r in range(6) for c in range(5) if rng.random() < 0.6]
+    df = wide(spark, cells, "date date, row long, col long")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = {(r["date"], r["var"], r["row"], r["col"]): r["colour"] for r in image_pixels(image_table(df, target, strip_rows=4)).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = {(f"{r['date']:%Y%m%d}", r["var"], r["row"], r["col"]): r["colour"] for r in ra.coloured(ra.scaled_layers(df)).collect()}
+    assert got == want
 
 
 def test_images_from_observations(spark):
@@ -214,3 +224,11 @@ def test_images_from_observations(spark):
     rows = daily_images(obs, pts, UTM, "obs_id", 20, 20).collect()
     assert len(rows) == 13 and all(-5 < r["left_ext"] < r["right_ext"] < -3 for r in rows)
     assert {(r["min_value"], r["max_value"]) for r in rows} == {(1.0, 3.0)}
+
+
+def test_a_day_moves_twice_until_its_images_are_encoded(spark, plan):
+    obs = wide(spark, [(1, 1, D1, 1.0)], "obs_id long, point_id long, date date")
+    pts = spark.createDataFrame([(1, 1, 405000.0, 4405000.0)], "province int, point_id long, x double, y double")
+    text = plan(daily_images(obs, pts, UTM, "obs_id", 20, 20))
+    before = text[text.index("MapInArrow"):]
+    assert before.count("Exchange hashpartitioning") == 2 and "MapInArrow" not in text[:text.index("MapInArrow")]
