@@ -221,14 +221,11 @@ MATCHED = (
     f"{PLACED}, {GRIDDED}, cells AS (SELECT DISTINCT cell FROM placed), "
     "matched AS (SELECT * FROM gridded WHERE cell IN (SELECT cell FROM placed WHERE cell IS NOT NULL))"
 )
-SUMS = each("coalesce(sum({v}), 0.0::DOUBLE) AS sum_{v}", WEATHER_VARS)
 FILLED = f"""{MATCHED}, days AS (SELECT DATE '2024-01-01' + CAST(i AS INT) AS dates FROM range(0, 30) AS t(i)),
-nested AS (SELECT cell, dates, count(*) AS n_rows, count(Precipitation) AS n_known, {SUMS}
-           FROM matched GROUP BY cell, dates),
-filled AS (SELECT * FROM nested UNION ALL
-  SELECT c.cell, d.dates, 1, 0, {each('0.0::DOUBLE', WEATHER_VARS)}
-  FROM cells c CROSS JOIN days d
-  WHERE NOT EXISTS (SELECT 1 FROM nested n WHERE n.cell = c.cell AND n.dates = d.dates))"""
+lacking AS (SELECT c.cell, d.dates FROM cells c CROSS JOIN days d
+  WHERE NOT EXISTS (SELECT 1 FROM matched n WHERE n.cell = c.cell AND n.dates = d.dates)),
+filled AS (SELECT cell, dates, obs_id, {WEATHER} FROM matched
+  UNION ALL SELECT cell, dates, NULL, {each('NULL', WEATHER_VARS)} FROM lacking)"""
 
 ORACLES["point_to_cell"] = f"""WITH {with_views('points')}
 SELECT point_id, {', '.join(f'coalesce({e}, -1) AS {c}' for c, e in CELL.items())} FROM points"""
@@ -241,16 +238,12 @@ SELECT obs_id, dates, x, y, {WEATHER} FROM weather w
 WHERE dates BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
   AND EXISTS (SELECT 1 FROM boxes b WHERE w.x BETWEEN b.xmin AND b.xmax AND w.y BETWEEN b.ymin AND b.ymax)"""
 ORACLES["weather_semi"] = f"WITH {MATCHED} SELECT cell, obs_id, dates, {WEATHER} FROM matched"
-ORACLES["cells_without_weather"] = f"""WITH {FILLED}
-SELECT coalesce(cell, -1) AS cell, dates FROM filled WHERE n_known = 0"""
+ORACLES["cells_without_weather"] = f"WITH {FILLED} SELECT coalesce(cell, -1) AS cell, dates FROM lacking"
 ORACLES["weather_nest"] = f"""WITH {MATCHED}
-SELECT cell, dates, CAST(0 AS BIGINT) AS part, count(*) AS n_rows, count(Precipitation) AS n_known, {SUMS}
-FROM matched GROUP BY cell, dates"""
-ORACLES["weather_gap_fill"] = f"""WITH {FILLED}
-SELECT coalesce(cell, -1) AS cell, dates, n_rows, n_known, {each('sum_{v}', WEATHER_VARS)} FROM filled"""
+SELECT cell, dates, {WEATHER}, row_number() OVER (PARTITION BY cell, dates ORDER BY {WEATHER}) - 1 AS place FROM matched"""
+ORACLES["weather_gap_fill"] = f"WITH {FILLED} SELECT coalesce(cell, -1) AS cell, dates, obs_id, {WEATHER} FROM filled"
 ORACLES["weather_to_points"] = f"""WITH {FILLED}
-SELECT point_id, province, dates, n_rows, n_known, {each('sum_{v}', WEATHER_VARS)}
-FROM placed p JOIN filled f ON f.cell IS NOT DISTINCT FROM p.cell"""
+SELECT point_id, province, dates, obs_id, {WEATHER} FROM placed p JOIN filled f ON f.cell IS NOT DISTINCT FROM p.cell"""
 ORACLES["weather_coverage"] = f"""WITH {PLACED}, {GRIDDED},
 flags AS (SELECT province, cell, cell IN (SELECT cell FROM gridded WHERE cell IS NOT NULL) AS has FROM placed)
 SELECT province, count(*) AS n_points, count(DISTINCT cell) AS n_cells,
@@ -287,7 +280,7 @@ ranked AS (SELECT r.point_id, r.date, CAST(h.state_date AS DATE) AS state_date,
    AND h.state_date <= r.date - 1 AND h.state_date >= least(r.date - 1, DATE '{SIMULATION_RUN}' - 387))
 SELECT r.point_id, r.province, r.date, coalesce(CAST(k.state_date AS VARCHAR), 'initial') AS stored, {state} AS swc,
   CAST(2 AS BIGINT) AS layers, {soil(state, 0)} AS first_w, {soil(state, 1)} AS second_w,
-  f.n_rows, f.n_known, {each('f.sum_{v}', WEATHER_VARS)}
+  f.obs_id, {each('f.{v}', WEATHER_VARS)}
 FROM requests r JOIN filled f ON f.cell IS NOT DISTINCT FROM r.cell AND f.dates = r.date
 LEFT JOIN ranked k ON k.point_id = r.point_id AND k.date = r.date AND k.rn = 1"""
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -315,20 +316,6 @@ def _gridded(spark, sf) -> DataFrame:
     return weather.weather_on_grid(view(spark, sf, "weather"), GRID)
 
 
-def _total(name: str) -> Column:
-    return F.aggregate("meteo", F.lit(0.0), lambda s, m: s + F.coalesce(m[name], F.lit(0.0)))
-
-
-def _list_summary(df: DataFrame, *keys: str) -> DataFrame:
-    """Nested lists as numbers: rows, known values and totals."""
-    return df.select(
-        *keys,
-        F.coalesce(F.size("meteo"), F.lit(0)).cast("bigint").alias("n_rows"),
-        F.size(F.filter("meteo", lambda m: m["Precipitation"].isNotNull())).cast("bigint").alias("n_known"),
-        *[_total(v).alias(f"sum_{v}") for v in WEATHER_VARS],
-    )
-
-
 @query
 def point_to_cell(spark, sf):
     x, y = F.col("x"), F.col("y")
@@ -358,28 +345,29 @@ def weather_semi(spark, sf):
 
 @query
 def cells_without_weather(spark, sf):
-    lacking = weather.cells_without_weather(_placed(spark, sf), _gridded(spark, sf), _days())
+    lacking = weather.cells_without_weather(weather.cells_of(_placed(spark, sf)), _gridded(spark, sf), _days())
     return lacking.select(_whole("cell"), "dates")
 
 
 @query
 def weather_nest(spark, sf):
-    nested = weather.weather_nest(weather.weather_semi(_gridded(spark, sf), _placed(spark, sf), GRID), "obs_id")
-    return _list_summary(nested, "cell", "dates", "part")
+    """The lists, record by record."""
+    nested = weather.weather_nest(weather.weather_semi(_gridded(spark, sf), _placed(spark, sf), GRID), ["cell"], "obs_id")
+    return nested.select("cell", F.posexplode("meteo").alias("place", "m")).select(
+        "cell", "place", "m.dates", *[F.col(f"m.{v}").alias(v) for v in WEATHER_VARS])
 
 
 @query
 def weather_gap_fill(spark, sf):
-    placed = _placed(spark, sf)
-    reduced = weather.weather_semi(_gridded(spark, sf), placed, GRID)
-    filled = weather.weather_gap_fill(placed, reduced, _days(), "obs_id")
-    return _list_summary(filled.withColumn("cell", _whole("cell")), "cell", "dates")
+    cells = weather.cells_of(_placed(spark, sf))
+    reduced = weather.weather_in_cells(_gridded(spark, sf), cells, GRID)
+    return weather.weather_gap_fill(cells, reduced, _days(), "obs_id").withColumn("cell", _whole("cell"))
 
 
 @query
 def weather_to_points(spark, sf):
     found = forcing.day_forcing(view(spark, sf, "points"), view(spark, sf, "weather"), GRID, _day_list(), "obs_id")
-    return _list_summary(found, "point_id", "province", "dates")
+    return found.select("point_id", "province", "dates", "obs_id", *WEATHER_VARS)
 
 
 @query
@@ -428,6 +416,7 @@ SIMULATED = [dt.date(2024, 1, 5), dt.date(2024, 1, 12), dt.date(2024, 1, 13)]
 SIMULATION_RUN = dt.date(2024, 1, 20)
 #: puts the stored states before and between the simulated days
 STATE_SHIFT = 8200
+STATE_BUCKETS = 8
 
 
 @query
@@ -438,15 +427,17 @@ def simulation_input(spark, sf):
 
     points = view(spark, sf, "points")
     initial = points.withColumn("state", with_soil(-F.col("point_id")))
-    history = view(spark, sf, "history").join(points.select("point_id", "province"), "point_id").select(
-        "province", "point_id", F.date_add("state_date", STATE_SHIFT).alias("state_date"),
-        with_soil(F.col("state")).alias("state"), F.col("state").alias("rank"))
+    stored = state.latest_per_day(view(spark, sf, "history"), ["point_id"], "state").join(points.select("point_id", "province"), "point_id")
+    table = f"state_history_{uuid.uuid4().hex[:12]}"
+    writers.write_state_history(stored.select(
+        "province", "point_id", F.date_add("state_date", STATE_SHIFT).alias("state_date"), with_soil(F.col("state")).alias("state"),
+    ).where(F.col("state_date") >= F.lit(SIMULATION_RUN - dt.timedelta(400))), table, shared_folder(spark, "state-history"), STATE_BUCKETS)
     found = forcing.simulation_input(
-        initial, view(spark, sf, "weather"), history, GRID, SIMULATED, SIMULATION_RUN, "obs_id", order="rank")
-    return _list_summary(found.withColumns({
-        "stored": F.coalesce(F.col("state_date").cast("string"), F.lit("initial")), "swc": F.col("state.swc"),
-        "layers": F.size("soil").cast("bigint"), "first_w": F.col("soil")[0]["W"], "second_w": F.col("soil")[1]["W"],
-    }), "point_id", "province", "date", "stored", "swc", "layers", "first_w", "second_w")
+        initial, view(spark, sf, "weather"), spark.table(table), GRID, SIMULATED, SIMULATION_RUN, "obs_id", one_a_day=True)
+    return found.select(
+        "point_id", "province", "date", F.coalesce(F.col("state_date").cast("string"), F.lit("initial")).alias("stored"),
+        F.col("state.swc").alias("swc"), F.size("soil").cast("bigint").alias("layers"), F.col("soil")[0]["W"].alias("first_w"),
+        F.col("soil")[1]["W"].alias("second_w"), "obs_id", *WEATHER_VARS)
 
 
 @query

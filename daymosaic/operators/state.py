@@ -109,6 +109,34 @@ def state_asof_window(
     return served.select(*requests.columns, "state_date", F.coalesce("state", initial).alias("state"))
 
 
+def states_of_days(
+    points: DataFrame, history: DataFrame, keys, dates: list[dt.date], run_date: dt.date, initial: str,
+    order: str | None = None, one_a_day: bool = False,
+) -> DataFrame:
+    """Each of ``points`` (one row a key) on each of ``dates``, with ``state_date`` and ``state``; ``initial`` is a column of theirs.
+
+    A state serves the days up to the next one. So each state is given the asked days it serves, at most
+    one state a day, and a key's states become one row, no longer than ``dates``. All of that happens in the partitions of
+    the keys: a history that is bucketed by them and has ``one_a_day`` does not move, and the points move once.
+    """
+    keys, days = list(keys), sorted(set(dates))
+    first = min(days[0] - dt.timedelta(1), run_date - dt.timedelta(STATE_OLDEST))
+    usable = history.where(F.col("state_date").between(F.lit(first), F.lit(days[-1] - dt.timedelta(1))))
+    daily = usable.select(*keys, "state_date", "state") if one_a_day else latest_per_day(usable, keys, order)
+    following = F.lead("state_date").over(Window.partitionBy(*keys).orderBy("state_date"))
+    serves = F.filter(F.array(*[F.lit(d) for d in days]), lambda d: (
+        (F.col("state_date") < d) & (F.col("_next").isNull() | (d <= F.col("_next"))) & (F.col("state_date") >= oldest_state(d, run_date))))
+    served = daily.withColumn("_next", following).withColumn("_day", F.explode(serves))
+    by_key = served.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("_day", F.struct("state_date", "state")))).alias("_states"))
+    others = [c for c in points.columns if c != initial]
+    asked = points.withColumnRenamed(initial, "_initial").join(by_key.hint("shuffle_hash"), keys, "left").withColumn(
+        "date", F.explode(F.array(*[F.lit(d) for d in days])))
+    found = F.try_element_at("_states", F.col("date"))
+    return asked.withColumn("_found", found).select(
+        *others, "date", F.col("_found.state_date").alias("state_date"), F.coalesce("_found.state", F.col("_initial")).alias("state"))
+
+
 def state_fold(
     forcing: DataFrame, keys, inflow: Column, demand: Column, capacity: float, initial: float
 ) -> DataFrame:

@@ -1,8 +1,9 @@
 """Gridded weather joined to points.
 
-Weather is the large side. It is reduced to cells that hold a point before
-anything else, and shuffled once, for nesting; the point table is broadcast when
-a count shows it is small and shuffled otherwise.
+Weather is the large side. It is reduced to cells that hold a point before anything else and stays flat, one row a
+record, up to the edge: a cell and day with a third of all weather is many rows, never one list in one task.
+Cells and days without weather come in as filler rows. The point table is broadcast when a count shows it is small; then
+weather does not move at all. Lists are made last, by who wants them.
 """
 
 from __future__ import annotations
@@ -73,81 +74,79 @@ def _in_box(b) -> Column:
     return F.col("x").between(b["xmin"], b["xmax"]) & F.col("y").between(b["ymin"], b["ymax"])
 
 
-def weather_semi(weather: DataFrame, points: DataFrame, spec: GridSpec) -> DataFrame:
-    """Weather rows whose cell holds a point. There are at most as many such cells as the grid has."""
-    cells = points.select("cell").where(F.col("cell").isNotNull()).distinct()
-    return weather.join(small_side(cells, at_most_rows=spec.ncell), "cell", "left_semi")
+def cells_of(points: DataFrame) -> DataFrame:
+    """The cells that hold a point, once each; points outside the grid share the NULL cell."""
+    return points.select("cell").distinct()
 
 
-def wanted_lists(points: DataFrame, dates: Column) -> DataFrame:
-    """(cell, dates) for which points need weather.
+def weather_in_cells(weather: DataFrame, cells: DataFrame, spec: GridSpec) -> DataFrame:
+    """Weather rows of ``cells``, which has each cell once and so at most as many as the grid."""
+    return weather.join(small_side(cells.where(F.col("cell").isNotNull()), at_most_rows=spec.ncell), "cell", "left_semi")
 
-    Cells are made distinct first, so points sharing a cell count once. Points
-    outside the grid share the NULL cell, which never has weather.
-    """
-    return points.select("cell").distinct().withColumn("dates", F.explode(dates))
 
+def weather_semi(weather: DataFrame, points: DataFrame, spec: GridSpec) -> DataFrame:
+    """Weather rows whose cell holds a point."""
+    return weather_in_cells(weather, cells_of(points), spec)
 
-def cells_without_weather(points: DataFrame, weather: DataFrame, dates: Column) -> DataFrame:
-    """(cell, day) of cells that hold a point but no weather on one of ``dates`` (an array)."""
-    seen = weather.select("cell", "dates").distinct()
-    return wanted_lists(points, dates).join(seen, ["cell", "dates"], "left_anti")
 
+def wanted_days(cells: DataFrame, dates: Column) -> DataFrame:
+    """(cell, dates) for which points need weather."""
+    return cells.withColumn("dates", F.explode(dates))
 
-def weather_nest(weather: DataFrame, row_id: str, parts: int = 1, wanted: DataFrame | None = None) -> DataFrame:
-    """Weather rows of a cell and day as sorted lists, numbered by ``part`` from 0 to ``parts - 1``.
 
-    ``wanted`` (cell, dates) asks for a list even where there is no weather: one
-    record that is all NULL but for the date. It joins in before the grouping, so
-    weather is read and shuffled once.
+def cells_without_weather(
+    cells: DataFrame, weather: DataFrame, dates: Column, at_most_rows: int | None = None, max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """(cell, day) of ``cells`` without weather on one of ``dates`` (an array); the NULL cell never has any.
 
-    The number of lists is the caller's and the same for every cell and day,
-    whatever their size; one list is the rule. A row's part comes from its own
-    identifier, which makes a retried task assign the same rows again.
+    Only the keys of the weather are read, and made distinct before they move. ``at_most_rows`` bounds how many there can be.
     """
-    keys = ["cell", "dates"]
-    record = F.struct("dates", *WEATHER_VARS)
-    rows = weather.select(*keys, F.pmod(F.xxhash64(row_id), F.lit(parts).cast("bigint")).alias("part"), record.alias("_record"))
-    if wanted is not None:
-        rows = rows.unionByName(wanted.select(
-            *keys, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))).alias("part"),
-            F.lit(None).cast(rows.schema["_record"].dataType).alias("_record"),
-        ))
-    # collect_list leaves NULL out, so a list is empty where only the request is
-    lists = rows.groupBy(*keys, "part").agg(F.sort_array(F.collect_list("_record")).alias("meteo"))
-    if wanted is None:
-        return lists
-    filler = F.struct("dates", *[F.lit(None).cast("double").alias(v) for v in WEATHER_VARS])
-    return lists.withColumn(
-        "meteo", F.when(F.size("meteo") == 0, F.array(filler)).otherwise(F.col("meteo"))
-    )
+    seen = weather.select("cell", "dates").distinct()
+    if at_most_rows is not None:
+        seen = small_side(seen, max_bytes, at_most_rows)
+    return wanted_days(cells, dates).join(seen, ["cell", "dates"], "left_anti")
 
 
-def weather_gap_fill(points: DataFrame, weather: DataFrame, dates: Column, row_id: str) -> DataFrame:
-    """One weather list for every cell that holds a point and every day of ``dates`` (an array)."""
-    return weather_nest(weather, row_id, 1, wanted_lists(points, dates)).drop("part")
+def weather_gap_fill(
+    cells: DataFrame, weather: DataFrame, dates: Column, row_id: str, at_most_rows: int | None = None, max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """Weather rows (cell, dates, ``row_id``, variables), and a row that is NULL but for cell and day where there are none."""
+    rows = weather.select("cell", "dates", row_id, *WEATHER_VARS)
+    return rows.unionByName(cells_without_weather(cells, weather, dates, at_most_rows, max_bytes), allowMissingColumns=True)
 
 
 def weather_to_points(
-    points: DataFrame, lists: DataFrame, filled: bool = False, max_bytes: int = MAX_BROADCAST_BYTES
+    points: DataFrame, rows: DataFrame, filled: bool = False, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
-    """Every point with the weather lists of its cell; NULL where there is none.
+    """Every point with the weather rows of its cell; NULL where there is none.
 
     An inner join, which leaves the weather where it is while the point table is
     small; otherwise both sides are shuffled, and a cell with much of the data can
     be split on either side. Points that found nothing are added, unless the
-    lists are ``filled`` and every point finds some.
+    rows are ``filled`` and every point finds some.
     """
-    columns = [*points.columns, *[c for c in lists.columns if c != "cell"]]
-    lists = lists.withColumnRenamed("cell", "_cell")
+    columns = [*points.columns, *[c for c in rows.columns if c != "cell"]]
+    rows = rows.withColumnRenamed("cell", "_cell")
     same_cell = F.col("cell").eqNullSafe(F.col("_cell"))
-    matched = lists.join(small_side(points, max_bytes), same_cell).select(*columns)
+    matched = rows.join(small_side(points, max_bytes), same_cell).select(*columns)
     if filled:
         return matched
-    lonely = points.join(lists.select("_cell").distinct(), same_cell, "left_anti")
+    lonely = points.join(rows.select("_cell").distinct(), same_cell, "left_anti")
     return matched.unionByName(lonely, allowMissingColumns=True)
 
 
+def weather_nest(rows: DataFrame, keys, row_id: str, parts: int = 1) -> DataFrame:
+    """Weather rows of each key and day as lists of records in order, numbered by ``part`` from 0 to ``parts - 1``.
+
+    For the edge: what reads the result wants lists. Their number is the caller's and the same for all keys and days,
+    whatever their size. A row's part comes from its own identifier, which makes a retried task assign
+    the same rows again. Every task first gathers its own rows of a list, so a list meets as one run a task.
+    """
+    record = F.struct("dates", *WEATHER_VARS)
+    part = F.pmod(F.xxhash64(row_id), F.lit(parts).cast("bigint"))
+    return rows.groupBy(*keys, "dates", part.alias("part")).agg(F.sort_array(F.collect_list(record)).alias("meteo"))
+
+
 def weather_coverage(points: DataFrame, weather: DataFrame) -> DataFrame:
     """Per province: points, distinct cells, cells with weather, and whether all have it."""
     with_weather = weather.select("cell").distinct().withColumn("_w", F.lit(1))

@@ -71,3 +71,15 @@ def timeseries_publish(means: DataFrame, root: str, rows_per_file: int = ROWS_PE
 def state_checkpoint(states: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """State of each point after a day, one folder per date; provinces lie in order inside the files."""
     write_folders(states, root, ["date"], ["province", "point_id"], rows_per_file)
+
+
+def write_state_history(states: DataFrame, table: str, root: str, buckets: int, keys=("province", "point_id")) -> None:
+    """States of many days as a table below ``root``, one folder a day, bucketed by point.
+
+    ``states`` has one row a point and ``state_date``. Whatever joins or orders states by point then reads a bucket in one
+    task, and no state moves. One task writes a bucket, so a day has one file a bucket.
+    """
+    (
+        states.repartition(buckets, *keys).sortWithinPartitions("state_date", *keys).write.mode("overwrite").option("path", root)
+        .partitionBy("state_date").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    )

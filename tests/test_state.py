@@ -47,6 +47,13 @@ def test_both_forms_match_the_rule(data):
     assert as_dict(st.state_asof_window(r, h, ["k"], RUN, initial(), order="state")) == want
 
 
+def test_states_of_days_match_the_rule(spark, data):
+    history, requests, days, h, _ = data
+    points = spark.createDataFrame([(k, -1, "x") for k in range(22)], "k long, first long, name string")
+    got = st.states_of_days(points, h, ["k"], days, RUN, "first", order="state")
+    assert got.columns == ["k", "name", "date", "state_date", "state"] and as_dict(got) == expected(requests, history)
+
+
 def test_order_of_input_does_not_matter(data):
     _, _, days, h, r = data
     first = as_dict(st.state_asof_window(r, h, ["k"], RUN, initial(), order="state"))

@@ -5,9 +5,12 @@ from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import WEATHER_UNUSED, WEATHER_VARS
 from daymosaic.functions.grid import cell_number, col_of_cell, row_of_cell
+from daymosaic.functions.sizing import materialise
+from daymosaic.operators import state as st
 from daymosaic.operators import weather as w
-from daymosaic.plans.forcing import simulation_input
+from daymosaic.plans.forcing import day_forcing, simulation_input
 from daymosaic.schemas import GridSpec
+from daymosaic.sources.writers import write_state_history
 
 GRID = GridSpec(0.0, 10.0, 0.0, 10.0, 1.0)
 D1, D2 = dt.date(2025, 1, 1), dt.date(2025, 1, 2)
@@ -49,55 +52,93 @@ def test_unused_columns_and_rows_outside_are_dropped(spark):
     assert got.count() == 1 and not set(WEATHER_UNUSED) & set(got.columns)
 
 
+def fill(pts, gridded):
+    return w.weather_gap_fill(w.cells_of(pts), gridded, days(), "obs_id")
+
+
 def test_points_outside_the_grid_match_nothing_but_get_a_filler(spark):
     pts = w.with_cell(points(spark, [(1, 1, 0.5, 0.5), (1, 2, 99.0, 0.5), (1, 3, 98.0, 0.5)]), GRID)
     gridded = w.weather_on_grid(weather(spark, [(1, 0.6, 0.6, D1, 4.0), (2, 77.0, 0.5, D1, 9.0)]), GRID)
     reduced = w.weather_semi(gridded, pts, GRID)
     assert reduced.count() == 1
-    filled = w.weather_gap_fill(pts, reduced, days(), "obs_id")
+    filled = fill(pts, reduced)
     assert filled.count() == 4          # two cells, one of them NULL, two days
     rows = w.weather_to_points(pts, filled, filled=True).collect()
-    assert len(rows) == 6 and all(len(r["meteo"]) == 1 for r in rows)
-    known = [(r["point_id"], r["dates"]) for r in rows if r["meteo"][0]["PET"] is not None]
-    assert known == [(1, D1)]
-    assert all(r["meteo"][0]["dates"] == r["dates"] for r in rows)
+    assert len(rows) == 6 and {r["dates"] for r in rows} == {D1, D2}
+    assert [(r["point_id"], r["dates"], r["obs_id"]) for r in rows if r["PET"] is not None] == [(1, D1, 1)]
 
 
-def test_points_sharing_a_cell_share_one_filler(spark):
+@pytest.mark.parametrize("max_bytes", [10**9, 0])
+def test_points_sharing_a_cell_share_one_filler(spark, max_bytes):
     pts = w.with_cell(points(spark, [(1, 1, 0.5, 0.5), (1, 2, 0.6, 0.6)]), GRID)
     empty = w.weather_on_grid(weather(spark, []), GRID)
-    assert w.cells_without_weather(pts, empty, days()).count() == 2
-    assert w.weather_to_points(pts, w.weather_gap_fill(pts, empty, days(), "obs_id")).count() == 4
+    cells = w.cells_of(pts)
+    assert w.cells_without_weather(cells, empty, days(), 200, max_bytes).count() == 2
+    assert w.weather_to_points(pts, fill(pts, empty), max_bytes=max_bytes).count() == 4
 
 
 @pytest.mark.parametrize("max_bytes", [10**9, 0])
 def test_every_point_is_kept_on_both_join_paths(spark, max_bytes):
     pts = w.with_cell(points(spark, [(1, i, float(i % 12), 0.5) for i in range(40)]), GRID)
     rows = [(i, float(i % 7) + 0.2, 0.4, D1 if i % 2 else D2, float(i)) for i in range(60)]
-    nested = w.weather_nest(w.weather_on_grid(weather(spark, rows), GRID), "obs_id")
-    got = w.weather_to_points(pts, nested, max_bytes=max_bytes).collect()
+    gridded = w.weather_on_grid(weather(spark, rows), GRID)
+    got = w.weather_to_points(pts, gridded.select("cell", "dates", "obs_id"), max_bytes=max_bytes).collect()
     want = set()
     for i in range(40):
         cell = (i % 12) if i % 12 < 10 else 9 if i % 12 == 10 else None
-        days = {r[3] for r in rows if int(r[1]) == cell}
-        want |= {(i, d) for d in days} or {(i, None)}
-    assert {(r["point_id"], r["dates"]) for r in got} == want and len(got) == len(want)
+        want |= {(i, r[3], r[0]) for r in rows if int(r[1]) == cell} or {(i, None, None)}
+    assert {(r["point_id"], r["dates"], r["obs_id"]) for r in got} == want and len(got) == len(want)
 
 
-def test_a_large_group_has_the_shape_of_a_small_one(spark):
-    rows = [(i, 0.5, 0.5, D1, float(i)) for i in range(1000)] + [(5000, 1.5, 0.5, D1, 7.0)]
-    gridded = w.weather_on_grid(weather(spark, rows), GRID)
-    pts = w.with_cell(points(spark, [(1, 1, 0.5, 0.5), (1, 2, 1.6, 0.5)]), GRID)
-    got = w.weather_to_points(pts, w.weather_gap_fill(pts, gridded, days(), "obs_id"), filled=True).collect()
-    assert {(r["point_id"], r["dates"]): len(r["meteo"]) for r in got} == {(1, D1): 1000, (1, D2): 1, (2, D1): 1, (2, D2): 1}
-    assert len(got) == 4
+HOT = [(i, 0.5, 0.5, D1, float(i)) for i in range(4000)] + [(4000 + i, 0.5 + i % 9, 0.5 + i % 7, D1 if i % 2 else D2, 1.0) for i in range(8000)]
 
 
-def test_the_caller_may_ask_for_several_lists_everywhere(spark):
+@pytest.mark.parametrize("max_bytes", [10**9, 0])
+def test_a_cell_and_day_with_a_third_of_all_weather_is_spread(spark, max_bytes):
+    """No task has more than twice the rows of the median, and every row comes out as it went in."""
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "24k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "24k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        data = weather(spark, HOT).repartition(16, "obs_id")
+        data, _ = materialise(data, "hot")
+        pts = points(spark, [(1, i, 0.6 + i % 9, 0.6 + i % 7) for i in range(63)])
+        out, _ = materialise(day_forcing(pts, data, GRID, [D1, D2], "obs_id", max_bytes).withColumn("task", F.spark_partition_id()), "forced")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    wanted = {(int(p["point_id"]), r[0], r[3], r[4]) for p in pts.collect() for r in HOT
+              if (int(p["x"]), int(p["y"])) == (int(r[1]), int(r[2]))}
+    assert {(r["point_id"], r["obs_id"], r["dates"], r["PET"]) for r in out.where("obs_id IS NOT NULL").collect()} == wanted
+    sizes = sorted(r["count"] for r in out.where("obs_id IS NOT NULL").groupBy("task").count().collect())
+    if max_bytes:
+        assert len(sizes) >= 4 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    else:  # both sides move, and the hot cell's partition is split
+        assert sizes[-1] < 4000
+
+
+def test_lists_are_made_at_the_edge_by_the_callers_number(spark):
     rows = [(i, 0.5, 0.5, D1, float(i)) for i in range(1000)] + [(5000, 1.5, 0.5, D1, 7.0)]
-    got = w.weather_nest(w.weather_on_grid(weather(spark, rows), GRID), "obs_id", parts=10).collect()
+    gridded = w.weather_on_grid(weather(spark, rows), GRID)
+    got = w.weather_nest(gridded, ["cell"], "obs_id", parts=10).collect()
     hot = [r for r in got if r["cell"] == 91]
     assert len(hot) == 10 and sorted(m["PET"] for r in hot for m in r["meteo"]) == [float(i) for i in range(1000)]
+    pts = points(spark, [(1, 1, 0.5, 0.5), (1, 2, 1.6, 0.5)])
+    forced = day_forcing(pts, weather(spark, rows + [(6000, 9.5, 9.5, D2, 1.0)]), GRID, [D1, D2], "obs_id")
+    lists = w.weather_nest(forced, ["point_id"], "obs_id").collect()
+    assert {(r["point_id"], r["dates"]): len(r["meteo"]) for r in lists} == {(1, D1): 1000, (1, D2): 1, (2, D1): 1, (2, D2): 1}
+    one = next(r["meteo"] for r in lists if (r["point_id"], r["dates"]) == (1, D1))
+    assert [m["PET"] for m in one] == [float(i) for i in range(1000)]
+
+
+def test_a_day_without_any_weather_stops_the_plan(spark):
+    pts, data = points(spark, [(1, 1, 0.5, 0.5)]), weather(spark, [(1, 5.5, 0.5, D1, 1.0)])
+    assert day_forcing(pts, data, GRID, [D1], "obs_id").count() == 1        # weather elsewhere is enough
+    with pytest.raises(Exception, match="no data for 2025-01-02"):
+        day_forcing(pts, data, GRID, [D1, D2], "obs_id")
 
 
 def test_bbox_scan_pushes_ranges_into_the_reader(spark, plan, tmp_path):
@@ -134,21 +175,47 @@ def test_simulation_input_has_the_asked_days_only(spark):
         "state", F.expr(f"CAST(named_struct('swc', -point_id, 'soil', array(named_struct('W', 0.5D))) AS {STATE})")
     ).withColumn("height", F.lit(7))
     other = D1 - dt.timedelta(1)
-    data = weather(spark, [(1, 0.5, 0.5, other, 1.0), (2, 0.5, 0.5, D1, 3.0), (3, 5.5, 0.5, D2 + dt.timedelta(5), 2.0)])
+    data = weather(spark, [(1, 0.5, 0.5, other, 1.0), (2, 0.5, 0.5, D1, 3.0), (3, 5.5, 0.5, D2 + dt.timedelta(5), 2.0), (4, 9.5, 9.5, D2, 1.0)])
     history = spark.createDataFrame(
         [(1, 1, dt.date(2024, 12, 30), (8, [(0.25,)]))], f"province int, point_id long, state_date date, state {STATE}")
-    got = simulation_input(pts, data, history, GRID, [D1, D2], dt.date(2025, 1, 7), "obs_id").collect()
-    rows = {(r["point_id"], r["date"]): (r["meteo"][0]["PET"], r["state"]["swc"], r["soil"][0]["W"], r["height"]) for r in got}
-    assert len(got) == 4 and rows == {
-        (1, D1): (3.0, 8, 0.25, 7), (1, D2): (None, 8, 0.25, 7), (2, D1): (None, -2, 0.5, 7), (2, D2): (None, -2, 0.5, 7)}
-
+    for max_bytes in (10**9, 0):
+        got = simulation_input(pts, data, history, GRID, [D1, D2], dt.date(2025, 1, 7), "obs_id", max_bytes=max_bytes).collect()
+        rows = {(r["point_id"], r["date"]): (r["PET"], r["state"]["swc"], r["soil"][0]["W"], r["height"]) for r in got}
+        assert len(got) == 4 and rows == {
+            (1, D1): (3.0, 8, 0.25, 7), (1, D2): (None, 8, 0.25, 7), (2, D1): (None, -2, 0.5, 7), (2, D2): (None, -2, 0.5, 7)}
 
-def test_forcing_reads_the_weather_once(spark, plan, tmp_path):
-    from daymosaic.plans.forcing import day_forcing
 
-    weather(spark, [(1, 0.5, 0.5, D1, 3.0)]).write.parquet(str(tmp_path / "weather"))
+def test_forcing_reads_the_values_of_the_weather_once(spark, plan, tmp_path):
+    weather(spark, [(1, 0.5, 0.5, D1, 3.0), (2, 0.5, 0.5, D2, 3.0)]).write.parquet(str(tmp_path / "weather"))
     points(spark, [(1, 1, 0.5, 0.5)]).write.parquet(str(tmp_path / "points"))
     read = lambda name: spark.read.parquet(str(tmp_path / name))
     text = plan(day_forcing(read("points"), read("weather"), GRID, [D1, D2], "obs_id"))
-    assert text.count("/weather]") == 1
-    assert "GreaterThanOrEqual(dates" in text and "LessThanOrEqual(x" in text
+    scans = [line for line in text.splitlines() if "/weather]" in line]
+    assert sorted("PET" in line for line in scans) == [False, True]      # once for the values, once for cells and days
+    assert all("GreaterThanOrEqual(dates" in line and "LessThanOrEqual(x" in line for line in scans)
+
+
+def test_only_points_move_to_a_bucketed_history(spark, plan, tmp_path):
+    pts = points(spark, [(1, i, 0.5, 0.5) for i in range(20)]).withColumn("state", F.expr(
+        f"CAST(named_struct('swc', -point_id, 'soil', array(named_struct('W', 0.5D))) AS {STATE})"))
+    run, asked = dt.date(2025, 1, 7), [D1, D2]
+    history = spark.createDataFrame([(1, i, D1 - dt.timedelta(k * i % 9), (k, [(0.25,)])) for i in range(1, 15) for k in range(3)],
+                                    f"province int, point_id long, state_date date, state {STATE}")
+    daily, _ = materialise(st.latest_per_day(history, ["province", "point_id"], "state.swc"), "daily")
+    write_state_history(daily.select("province", "point_id", "state_date", "state"), "bucketed_states", str(tmp_path / "s"), 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keys = ["province", "point_id"]
+        moved = st.states_of_days(pts, spark.table("bucketed_states"), keys, asked, run, "state", one_a_day=True)
+        text = plan(moved)
+        assert text.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in text
+        requests = pts.select(*keys, F.col("state").alias("init"), F.explode(F.array(*[F.lit(d) for d in asked])).alias("date"))
+        want = st.state_asof_window(requests, history, keys, run, F.col("init"), "state.swc", asked)
+        key = lambda df: sorted((r["point_id"], r["date"], str(r["state_date"]), str(r["state"])) for r in df.collect())
+        assert key(moved) == key(want)
+        data = weather(spark, [(1, 0.5, 0.5, D1, 3.0), (2, 0.5, 0.5, D2, 3.0)])
+        whole = plan(simulation_input(pts, data, spark.table("bucketed_states"), GRID, asked, run, "obs_id", one_a_day=True))
+        assert whole.count("Exchange hashpartitioning") <= 3 and "SortAggregate" not in whole
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE bucketed_states")
