@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymosaic.llm import texts
-from daymosaic.llm.tables import id_crc, table
+from daymosaic.llm.tables import hidden, id_crc, table
 
 DIMENSIONS = 1 << 18
 PREFIXES = (4, 5, 6, 7)
@@ -260,7 +260,9 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text")
 
 def without_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """Documents whose score is below ``threshold``; the columns of ``docs``."""
-    return score(docs, train(docs, labels, key, text), text).where(F.col(SCORE) < threshold).drop(SCORE)
+    plain, back = hidden(docs)
+    scored = score(plain, train(docs, labels, key, text), back[text])
+    return scored.where(F.col(SCORE) < threshold).select(*[F.col(back[c]).alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

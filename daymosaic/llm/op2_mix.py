@@ -13,9 +13,8 @@ is made by one task a source from counts whose number depends on the
 longest document, not on the number of documents. The programme's table is as
 long as ``4 * longest document`` words at most.
 
-Selecting needs no large group in one task either: documents of one source and
-length are ranked in buckets of their hash, 4096 a group, and a bucket's first
-rank is the count of the buckets before it.
+Selecting needs no large group in one task either: documents of one source and length are ranked by
+their hash through a sort by ranges, which spreads a source, a length or an id with any share of all rows.
 
 Defined results: null and empty texts have size 0 and are taken as often as
 there are whole passes; a null source is a source, the last one; repeated
@@ -26,16 +25,15 @@ without words has target 0; an empty table gives an empty result.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymosaic.functions.sizing import materialise
-from daymosaic.llm.tables import BLANK_CLASS, table, trimmed
+from daymosaic.llm.tables import BLANK_CLASS, hidden, table, trimmed, with_places
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
 SEED = 17
-BUCKETS = 4096
 
 PLAN = "source string, has_source boolean, size bigint, source_size bigint, target double, passes bigint, extra bigint"
 
@@ -169,23 +167,12 @@ def mix(docs: DataFrame, key: str, source: str, text: str, weights: tuple = WEIG
     same = ["source", "has_source", "size"]
     counts = sized.groupBy(*same).agg(F.count(F.lit(1)).alias("n"))
     plan = materialise(mix_plan(counts, weights, max_repeats, seed), "mix-plan")[0]
-    bucketed = sized.withColumn("bucket", F.shiftrightunsigned("draw", 52).cast("int"))  # 12 bits: BUCKETS
-    earlier = Window.partitionBy(*same).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = bucketed.groupBy(*same, "bucket").agg(F.count(F.lit(1)).alias("n")).select(
-        *same, "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    quotas = before.join(plan.withColumn("p_source", F.col("source")).drop("source").withColumnRenamed("has_source", "p_has")
-                         .withColumnRenamed("size", "p_size"),
-                         F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size")))
-    quotas = quotas.select(
-        F.col("source").alias("q_source"), F.col("size").alias("q_size"), F.col("bucket").alias("q_bucket"),
-        (F.col("extra") - F.col("before")).alias("quota"), "passes", "source_size", "target")
-    inside = Window.partitionBy(*same, "bucket").orderBy("draw", F.col("key").cast("string"))
-    ranked = bucketed.withColumn("rank", F.row_number().over(inside))
-    chosen = ranked.join(quotas, F.col("source").eqNullSafe(F.col("q_source")) & (F.col("size") == F.col("q_size"))
-                         & (F.col("bucket") == F.col("q_bucket")))
+    ranked = with_places(sized, same, ["draw"], "mix-ranks")
+    quotas = plan.select(*[F.col(c).alias(f"p_{c}") for c in ("source", "size")], "source_size", "target", "passes", "extra")
+    chosen = ranked.join(quotas, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size")))
     return chosen.select(
         "key", "source", "size", "source_size", "target",
-        (F.col("passes") + (F.col("rank") <= F.col("quota")).cast("bigint")).alias("copies"))
+        (F.col("passes") + (F.col("place") < F.col("extra")).cast("bigint")).alias("copies"))
 
 
 def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
@@ -193,12 +180,13 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source"
 
     Rows that share an id or have none are told apart by their own number, given when they are written.
     """
-    numbered = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")[0]
-    copies = mix(numbered, "__row", source, text, drawn_by=key, **options).where(F.col("copies") > 0).select(
-        F.col("key").alias("__key"), F.col("copies").alias("__copies"))
-    taken = numbered.join(copies, F.col("__row") == F.col("__key"))
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies")))).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    plain, back = hidden(docs)
+    numbered = materialise(plain.withColumn("row", F.monotonically_increasing_id()), "mix-rows")[0]
+    copies = mix(numbered, "row", back[source], back[text], drawn_by=back[key], **options).where(F.col("copies") > 0).select(
+        F.col("key").alias("taken"), "copies")
+    taken = numbered.join(copies, F.col("row") == F.col("taken"))
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select(
+        *[F.col(back[c]).alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,19 +78,23 @@ def _repeated(words: Column) -> Column:
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``text`` null as empty and the measures as columns.
 
+    A column of ``docs`` named like a measure stays as ``given_<name>``.
+
     Every measure binds its own words or lines, so the optimizer may move or repeat
     it, as it does below a filter, without making them for each word again.
     """
     t = F.col("text")
     lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
-    return docs.withColumn("text", F.coalesce(F.col(text), F.lit(""))).withColumns({
+    measures = {
         "n_words": F.size(word_array(t)).cast("bigint"),
         "word_chars": F.length(F.regexp_replace(t, f"{BLANK_CLASS}+", "")).cast("bigint"),
         "n_symbols": (F.length(t) - F.length(F.regexp_replace(t, SYMBOLS, ""))).cast("bigint"),
         "n_lines": F.size(lines).cast("bigint"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
         "n_repeat_words": let(word_array(t), _repeated),
-    })
+    }
+    given = docs.withColumnsRenamed({c: f"given_{c}" for c in docs.columns if c.lower() in measures})
+    return given.withColumn("text", F.coalesce(F.col(text), F.lit(""))).withColumns(measures)
 
 
 def rejected(rule: Rule) -> Column:

@@ -40,10 +40,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daymosaic.llm import texts
 from daymosaic.llm.grouping import components, relabelled, with_roots
-from daymosaic.llm.tables import save, table
+from daymosaic.llm.tables import hidden, save, table
 
 SHINGLE = 5
 PERCENT = 85
@@ -209,6 +210,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     with_id = signed.where(F.col("id").isNotNull() & (F.col("n_shingles") > 0))
     classes, _ = save(with_id.groupBy(*same_set).agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "classes")
     groups = _linked(plain, classes, percent, shingle)
+    shared = _through_ids(with_id, classes, same_set)
+    if shared is not None:
+        groups = _grown(groups, shared)
     found = classes.select(*[F.col(c).alias(f"c_{c}") for c in same_set], "rep")
     if groups is not None:
         found = with_roots(found, groups, "rep", "root")
@@ -221,6 +225,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         F.when(F.col("root").isNull(), F.lit(True)).otherwise(F.coalesce(F.col("id") == F.col("root"), F.lit(False))).alias("kept"))
 
 
+def _grown(groups: DataFrame | None, edges: DataFrame) -> DataFrame | None:
+    """``groups`` after merging along ``edges`` (a, b) between representatives."""
+    if groups is not None:
+        edges = with_roots(with_roots(edges, groups, "a", "a"), groups, "b", "b")
+    roots = components(edges)
+    return groups if roots is None else save(relabelled(groups, roots), "groups")[0]
+
+
+def _through_ids(with_id: DataFrame, classes: DataFrame, same_set: list[str]) -> DataFrame | None:
+    """Edges (a, b) between the classes of rows that share an id; none where ids are all different."""
+    repeated, seen = save(with_id.groupBy("id").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("id"), "repeated")
+    if not seen["rows"]:
+        return None
+    of = with_id.join(repeated, "id").join(classes.select(*same_set, "rep"), same_set).select("id", "rep").distinct()
+    least = of.groupBy("id").agg(F.min("rep").alias("b"))
+    return save(of.join(least, "id").where(F.col("rep") != F.col("b")).select(F.col("rep").alias("a"), "b").distinct(), "through-ids")[0]
+
+
 def _linked(plain: DataFrame, classes: DataFrame, percent: int, shingle: int) -> DataFrame | None:
     """(node, root) over class representatives."""
     in_buckets = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
@@ -241,11 +263,7 @@ def _linked(plain: DataFrame, classes: DataFrame, percent: int, shingle: int) ->
         return with_roots(members, groups, "rep", "label")
 
     def grown(edges):
-        """``groups`` after merging along ``edges`` between representatives."""
-        if groups is not None:
-            edges = with_roots(with_roots(edges, groups, "a", "a"), groups, "b", "b")
-        roots = components(edges)
-        return groups if roots is None else save(relabelled(groups, roots), "groups")[0]
+        return _grown(groups, edges)
 
     def apart(by: DataFrame, order) -> DataFrame:
         """Buckets with more than one group and the leader ``order`` puts first."""
@@ -262,16 +280,18 @@ def _linked(plain: DataFrame, classes: DataFrame, percent: int, shingle: int) ->
         pairs = offers.groupBy(F.col("rep").alias("a")).agg(F.min(F.struct("order", F.col("leader").alias("b"))).alias("x")).select(
             "a", "x.b")
         pairs, seen = save(pairs, "pairs")
-        if not seen["rows"]:
-            return groups
+        if not seen["rows"]:  # leaders of another size offer nothing; what is still apart is compared below
+            break
         tried = pairs if tried is None else tried.unionByName(pairs)
         groups = grown(save(_verified(pairs, sets, percent), "links")[0])
 
     by = labelled()
     left_over = by.join(apart(by, F.col("rep")).select("key"), "key").select(F.col("rep").alias("id"), "label").distinct()
     pairs = _likely(sets.join(left_over, "id"), percent)
-    done = tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    pairs, seen = save(pairs.join(done, ["a", "b"], "left_anti"), "rest")
+    if tried is not None:
+        done = tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        pairs = pairs.join(done, ["a", "b"], "left_anti")
+    pairs, seen = save(pairs, "rest")
     if not seen["rows"]:
         return groups
     return grown(save(_verified(pairs, sets, percent), "links")[0])
@@ -306,12 +326,27 @@ def _likely(sets: DataFrame, percent: int) -> DataFrame:
 
 def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80,
                             shingle: int = SHINGLE) -> DataFrame:
-    """One row of each group, the columns of ``docs``; rows without an id all stay."""
-    kept = near_duplicates(docs.where(F.col(key).isNotNull()), key, text, percent, shingle).where("kept").select(
-        F.col("id").alias("__id")).distinct()
-    known = docs.where(F.col(key).isNotNull()).join(kept, F.col(key) == F.col("__id")).drop("__id")
-    one = known.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(text))).where("__n = 1").drop("__n")
-    return one.unionByName(docs.where(F.col(key).isNull()))
+    """One row of each group, that with the smallest id; the columns of ``docs``.
+
+    Rows without an id are documents of their own, after all others; texts without words all stay.
+    """
+    plain, back = hidden(docs)
+    own, words = F.col(back[key]), F.col(back[text])
+    if not plain.where(own.isNull()).isEmpty():
+        # ids of their own for rows that have none; written, so that they stay
+        numbered, _ = save(plain.withColumn("row", F.monotonically_increasing_id()), "dedup-rows")
+        kind = numbered.schema[back[key]].dataType
+        if isinstance(kind, T.IntegralType):
+            spare, typed = F.lit((1 << 63) - 1) - F.col("row"), F.col(back[key]).cast("bigint")
+        else:
+            spare, typed = F.concat(F.lit("\U0010ffff"), F.lpad(F.col("row").cast("string"), 20, "0")), F.col(back[key]).cast("string")
+        plain, named = numbered.withColumn("id", F.coalesce(typed, spare)), "id"
+    else:
+        named = back[key]
+    kept = near_duplicates(plain, named, back[text], percent, shingle).where("kept").select(F.col("id").alias("kept_id")).distinct()
+    found = plain.join(kept, F.col(named) == F.col("kept_id"))
+    one = found.withColumn("n", F.row_number().over(Window.partitionBy("kept_id").orderBy(F.xxhash64(words)))).where("n = 1")
+    return one.select(*[F.col(back[c]).alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,10 +5,9 @@ the shard with the largest ``-weight / ln(u)`` takes the record. A further
 shard changes nothing in the other shards' draws, so records move only into
 it. The draws come from md5, which any engine can repeat.
 
-Places in a shard are gapless. Records are ranked by a second hash of their
-key inside buckets, equal stretches of that hash; a bucket's first place
-is the number of records in the buckets before it. The number of buckets
-follows the number of records: a bucket of a shard has about ``BUCKET_ROWS / shards``.
+Places in a shard are gapless: ranks by a second hash of the key, found through a sort by ranges of
+numbers only. A shard, or a key, with any share of all rows is spread over tasks. Texts are joined to their places by a row
+number when there are any to carry.
 
 Defined results: a null key is hashed as the text ``null``; repeated rows share a shard
 and get places of their own; null and empty texts have no bytes; an empty
@@ -17,14 +16,12 @@ table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymosaic.functions.sizing import materialise
-from daymosaic.llm.tables import table
+from daymosaic.llm.tables import hidden, save, table, with_places
 
 SHARDS = 24
-BUCKET_ROWS = 200_000
 _DIGITS = 13
 _SPAN = float(16**_DIGITS)
 
@@ -56,46 +53,53 @@ def place_hash(key: Column) -> Column:
     return _draw(F.concat(_key(key), F.lit(":place")))
 
 
-def with_places(assigned: DataFrame, rows: int, shard: str, order: str, ties: list[str], slot: str) -> DataFrame:
-    """``assigned`` with gapless places from 0 in each shard, by ``order`` (a draw), then ``ties``."""
-    buckets = max(1, rows // BUCKET_ROWS)
-    placed = assigned.withColumn("__bucket", F.floor(F.col(order) / F.lit(_SPAN) * buckets).cast("bigint"))
-    sizes = placed.groupBy(shard, "__bucket").agg(F.count(F.lit(1)).alias("__n"))  # one row a shard and bucket
-    earlier = Window.partitionBy(shard).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select(shard, "__bucket", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy(shard, "__bucket").orderBy(order, *ties)
-    ranked = placed.withColumn("__rank", F.row_number().over(inside))
-    return ranked.join(before, [shard, "__bucket"]).withColumn(
-        slot, (F.col("__before") + F.col("__rank") - 1).cast("bigint")
-    ).drop("__bucket", "__before", "__rank")
-
-
 def assign(docs: DataFrame, key: str = "doc_id", weights: list[float] | None = None, carry: dict | None = None) -> DataFrame:
-    """Columns of ``carry`` (name to expression; the key when None) with ``shard``, ``slot`` and ``grown_shard``.
+    """Columns of ``carry`` (name to an expression of few bytes; the key when None) with ``shard``, ``slot`` and ``grown_shard``.
 
-    ``grown_shard`` is the shard with one more shard of the mean weight. Only the
-    carried columns move; they must not be named like those three.
+    ``grown_shard`` is the shard with one more shard of the mean weight. Only the carried columns move, and break
+    ties of the hash; they must not be named like those three.
     """
     weights = weights or [1.0] * SHARDS
-    carry = {key: F.col(key)} if carry is None else carry
-    shard, drawn = shard_of(F.col(key), weights), _draw(F.concat(_key(F.col(key)), F.lit(f":{len(weights)}")))
+    carry = {key: F.col(f"`{key}`")} if carry is None else carry
+    of = F.col(f"`{key}`")
+    shard, drawn = shard_of(of, weights), _draw(F.concat(_key(of), F.lit(f":{len(weights)}")))
     if len(set(weights)) == 1:
-        chosen = F.greatest(*[_draw(F.concat(_key(F.col(key)), F.lit(f":{i}"))) for i in range(len(weights))])
+        chosen = F.greatest(*[_draw(F.concat(_key(of), F.lit(f":{i}"))) for i in range(len(weights))])
         grown = F.when(drawn > chosen, F.lit(len(weights))).otherwise(shard)
     else:
-        grown = shard_of(F.col(key), [*weights, sum(weights) / len(weights)])
-    names = {name: f"__c{k}" for k, name in enumerate(carry)}
-    assigned, rows = materialise(docs.select(
+        grown = shard_of(of, [*weights, sum(weights) / len(weights)])
+    names = {name: f"c{k}" for k, name in enumerate(carry)}
+    assigned = docs.select(
         *[c.alias(names[name]) for name, c in carry.items()],
-        shard.alias("__shard"), grown.cast("int").alias("__grown"), place_hash(F.col(key)).alias("__order"),
-    ), "shards")
-    placed = with_places(assigned, rows, "__shard", "__order", list(names.values()), "__slot")
+        shard.alias("in_shard"), grown.cast("int").alias("grown"), place_hash(of).alias("draw"))
+    placed = with_places(assigned, ["in_shard"], ["draw", *names.values()], "shards")
     return placed.select(
         *[F.col(c).alias(name) for name, c in names.items()],
-        F.col("__shard").alias("shard"), F.col("__slot").alias("slot"), F.col("__grown").alias("grown_shard"),
+        F.col("in_shard").alias("shard"), F.col("place").alias("slot"), F.col("grown").alias("grown_shard"),
     )
 
 
+PLACES = ("shard", "slot", "grown_shard")
+
+
+def sharded_documents(docs: DataFrame, key: str = "doc_id", weights: list[float] | None = None) -> DataFrame:
+    """``docs`` with ``shard``, ``slot`` and ``grown_shard``; only ids are ranked, the other columns are joined to their places.
+
+    A column of ``docs`` with one of these names stays as ``given_<name>``, with as many ``given_`` as it takes.
+    """
+    plain, back = hidden(docs)
+    numbered, _ = save(plain.withColumn("row", F.monotonically_increasing_id()), "shard-rows")
+    placed = assign(numbered, back[key], weights, {"key": F.col(back[key]), "of_row": F.col("row")}).drop("key")
+    used, names = {c.lower() for c in docs.columns} | set(PLACES), []
+    for c in docs.columns:
+        name = c
+        while name.lower() in PLACES or (name != c and name.lower() in used):
+            name = f"given_{name}"
+        used.add(name.lower())
+        names.append(F.col(back[c]).alias(name))
+    return numbered.join(placed, F.col("row") == F.col("of_row")).select(*names, *PLACES)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     placed = assign(table(spark, sf_dir, "documents"), carry={

@@ -6,9 +6,10 @@ words is one window. Token windows of every document are looked up by hash in
 the broadcast set, each hit is verified word by word, and the words it covers
 are marked. Spans or whole documents can then be removed.
 
-Benchmarks larger than ``MAX_WINDOWS`` windows are taken in blocks of items,
-one pass over the documents each, and the spans of the passes are put
-together; what is broadcast is therefore bounded at every size.
+Benchmarks of more than ``MAX_WINDOWS`` characters are taken in blocks of items, one pass over the documents
+each, and the spans of the passes are put together. A block holds whole items, so one item
+larger than that is a block of its own size, and a large benchmark costs many passes: this is made for
+benchmarks, which are small beside a corpus.
 
 Defined results: null, empty and wordless texts have no words and no hits; a
 wordless or null item has no window; repeated items each count; repeated rows
@@ -29,10 +30,10 @@ from pyspark.sql import types as T
 
 from daymosaic.functions.sizing import materialise
 from daymosaic.llm import texts
-from daymosaic.llm.tables import table
+from daymosaic.llm.tables import hidden, table
 
 WINDOW = 10
-#: windows of benchmark items that one pass broadcasts: about 100 bytes each in a task
+#: characters of benchmark items that one pass broadcasts; a window takes some hundred bytes in a task
 MAX_WINDOWS = 1_000_000
 
 SPANS = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
@@ -152,12 +153,15 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
 
 def without_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """Documents no benchmark window occurs in; the columns of ``docs``."""
-    return mark(docs, benchmark, text, **options).where(F.size(f"{HITS}.spans") == 0).drop(HITS)
+    plain, back = hidden(docs)
+    return mark(plain, benchmark, back[text], **options).where(F.size(f"{HITS}.spans") == 0).select(
+        *[F.col(back[c]).alias(c) for c in docs.columns])
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with the hit words cut from their texts, together with what stands between them."""
-    marked = mark(docs, benchmark, text, **options)
+    names_, (plain, back) = docs.columns, hidden(docs)
+    marked, text = mark(plain, benchmark, back[text], **options), back[text]
 
     def cut(batches):
         to = texts.PLAIN_WORDS
@@ -182,7 +186,7 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **o
             columns = [pa.array(out, pa.string()) if x == text else batch.column(x) for x in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return marked.mapInArrow(cut, docs.schema)
+    return marked.mapInArrow(cut, plain.schema).toDF(*names_)
 
 
 def _digest(items) -> F.Column:

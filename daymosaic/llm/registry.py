@@ -1,9 +1,8 @@
 """Queries of this subpackage and the SQL of those that SQL can express."""
 
-import corpus_pipeline
 from daymosaic.llm import (
     op1_pii, op2_mix, op3_lm, op4_chat, op5_quality, op6_licence, op7_minhash, op8_shard, op9_decontaminate, op10_toxicity,
-    op11_prefix_trie, op12_hard_negatives, op13_packing,
+    op11_prefix_trie, op12_hard_negatives, op13_packing, pipeline,
 )
 
 QUERIES = {
@@ -20,7 +19,7 @@ QUERIES = {
     "op11_prefix_trie": op11_prefix_trie.query,
     "op12_hard_negatives": op12_hard_negatives.query,
     "op13_packing": op13_packing.query,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline.run,
 }
 
 ORACLES = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daymosaic.functions.sizing import shared_folder
@@ -50,3 +50,31 @@ def save(df: DataFrame, purpose: str, **measures: Column) -> tuple[DataFrame, di
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in measures.items()])
     counted.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), dict(seen.get)
+
+
+def hidden(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns renamed, and the names by the former ones: what an operator adds clashes with none."""
+    names = {c: f"in_{k}" for k, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def with_places(df: DataFrame, keys: list[str], order: list[str], purpose: str) -> DataFrame:
+    """``df`` with ``place``, the rank from 0 among the rows of equal ``keys`` (null equals null) by ``order``.
+
+    Rows are sorted by ranges of keys and order, so a key with any share of the rows is spread over tasks: every
+    stretch counts from its first row, and the rows of the key in earlier stretches are added. Rows alike in all of that are
+    told apart by a number, so they spread too; which of them comes first does not matter.
+    """
+    columns = df.columns
+    numbered = df.withColumn("alike", F.xxhash64(F.monotonically_increasing_id()))
+    ranged = numbered.repartitionByRange(*keys, *order, "alike").sortWithinPartitions(*keys, *order, "alike")
+    rows, _ = save(ranged.select(*columns, F.spark_partition_id().alias("stretch"), F.monotonically_increasing_id().alias("row")), purpose)
+    earlier = Window.partitionBy(*keys).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    # one row a key and stretch
+    begins = rows.groupBy(*keys, "stretch").agg(F.min("row").alias("begin"), F.count(F.lit(1)).alias("n")).select(
+        *[F.col(k).alias(f"key_{i}") for i, k in enumerate(keys)], F.col("stretch").alias("of"), "begin",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    same = F.col("stretch") == F.col("of")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"key_{i}"))
+    return rows.join(begins, same).select(*columns, (F.col("row") - F.col("begin") + F.col("before")).alias("place"))

@@ -59,3 +59,10 @@ def test_empty_table(spark, awkward):
 def test_main_path_has_no_python(spark, data, plan):
     text = plan(quality.query(spark, data))
     assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+
+
+def test_columns_named_like_measures_stay(spark, awkward):
+    from daymosaic.llm import op5_quality as quality
+
+    got = quality.measured(awkward.withColumnRenamed("n_chars", "n_words")).collect()
+    assert {r["given_n_words"] for r in got} == {r["n_chars"] for r in awkward.collect()} and max(r["n_words"] for r in got) == 60_000

@@ -102,7 +102,7 @@ def test_awkward_rows(spark, awkward):
 def test_one_row_of_each_group_stays(spark, awkward):
     left = dedup.without_near_duplicates(awkward)
     assert left.columns == awkward.columns
-    assert sorted(str(r["doc_id"]) for r in left.collect()) == ["1", "2", "3", "4", "6", "8", "9", "None"]
+    assert sorted(str(r["doc_id"]) for r in left.collect()) == ["1", "2", "3", "4", "6", "8", "9"]
 
 
 def test_components_of_chains_and_stars(spark):
@@ -110,3 +110,30 @@ def test_components_of_chains_and_stars(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, **{200 + i: 100 for i in range(30)}}
     assert components(spark.createDataFrame([(1, 1)], "a bigint, b bigint")) is None
+
+
+def test_links_do_not_hang_on_the_size_of_leaders(spark, documents, monkeypatch):
+    """Near copies whose buckets are led by a text of another size are compared all the same."""
+    monkeypatch.setattr(dedup, "_sized_alike", lambda a, b, percent: dedup.F.lit(False))  # no leader has anything to offer
+    texts = near_copies(5, 8, 80, 2)
+    rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
+    expected = brute({r[0]: r[1] for r in rows}, 85)
+    assert len({root for _, root in expected.values()}) < len(rows)
+    got = dedup.near_duplicates(documents(rows), percent=85).collect()
+    assert {r["id"]: (r["n_shingles"], r["component_id"]) for r in got} == expected
+
+
+def test_rows_that_share_an_id_join_their_groups(spark, documents):
+    one, two, three = ("alpha beta gamma delta epsilon zeta", "one two three four five six", "red green blue white black grey")
+    rows = [(3, one), (5, one), (5, two), (9, two), (9, three), (12, three), (20, "not like any of the others here")]
+    got = dedup.near_duplicates(documents([(i, t, None, None, 0) for i, t in rows])).collect()
+    assert {(r["id"], r["component_id"]) for r in got} == {(3, 3), (5, 3), (9, 3), (12, 3), (20, 20)}
+    kept = dedup.without_near_duplicates(documents([(i, t, None, None, 0) for i, t in rows])).collect()
+    assert sorted(r["doc_id"] for r in kept) == [3, 20]
+
+
+def test_copies_without_an_id_leave_one(spark, documents):
+    text, other = "alpha beta gamma delta epsilon zeta", "one two three four five six"
+    rows = [(None, text, None, None, 0)] * 4 + [(None, other, None, None, 0)] * 3 + [(7, other, None, None, 0), (None, "", None, None, 0), (None, None, None, None, 0)]
+    kept = dedup.without_near_duplicates(documents(rows)).collect()
+    assert sorted((r["doc_id"] or -1, r["text"] or "") for r in kept) == sorted([(-1, text), (7, other), (-1, ""), (-1, "")])

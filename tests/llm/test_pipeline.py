@@ -1,7 +1,10 @@
 """Each stage against brute force on its own input, and the stages one after another."""
 
 import corpus_pipeline as pipeline
+from pyspark.sql import functions as F
+
 from daymosaic.llm import op2_mix as mix, op10_toxicity as tox
+from daymosaic.llm.op8_shard import PLACES
 from daymosaic.llm.tables import save
 from tests.llm.test_op7_minhash import brute as groups
 from tests.llm.test_op9_decontaminate import brute as hits
@@ -61,3 +64,16 @@ def test_stages_take_awkward_and_empty_documents(spark, data, awkward):
         for _, stage in pipeline.STAGES:
             docs, seen = save(stage(spark, docs, data), "t")
     assert seen["rows"] == 0
+
+
+def test_stages_take_columns_of_any_name(spark, data, awkward):
+    docs = awkward
+    for name in ("shard", "slot", "grown_shard", "__hits", "__score", "__row", "__copy", "__n", "__id", "row", "copies", "id", "kept_id", "place"):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name}:"), F.coalesce("text", F.lit("-"))))
+    columns = docs.columns
+    for name, stage in pipeline.STAGES:
+        docs, seen = save(stage(spark, docs, data), "t")
+        if name != "sharding":
+            assert docs.columns == columns
+    assert seen["rows"] and docs.columns == [f"given_{c}" if c in PLACES else c for c in columns] + list(PLACES)
+    assert docs.where("copies <> concat('copies:', coalesce(text, '-')) OR given_slot <> concat('slot:', coalesce(text, '-'))").count() == 0
