@@ -440,27 +440,19 @@ def simulation_input(spark, sf):
         F.col("soil")[1]["W"].alias("second_w"), "obs_id", *WEATHER_VARS)
 
 
+def _bucket(f, spark, sf) -> DataFrame:
+    daily = view(spark, sf, "points_obs").select("point_id", "date", "Precipitation", "AET", "PET")
+    return f(daily, ["point_id"], F.col("Precipitation") / 8, F.col("AET") + F.col("PET") * 2, BUCKET_CAPACITY, BUCKET_START)
+
+
 @query
 def state_fold(spark, sf):
-    daily = view(spark, sf, "points_obs").select("point_id", "date", "Precipitation", "AET", "PET")
-    return state.state_fold(
-        daily, ["point_id"], F.col("Precipitation") / 8, F.col("AET") + F.col("PET") * 2,
-        BUCKET_CAPACITY, BUCKET_START,
-    )
+    return _bucket(state.state_fold, spark, sf)
 
 
 @query
 def state_trajectory(spark, sf):
-    def step(storage, row):
-        storage = min(BUCKET_CAPACITY, max(0.0, storage + row["gain"]))
-        return storage, {"storage": storage}
-
-    daily = view(spark, sf, "points_obs").groupBy("point_id", "date").agg(
-        F.sum(F.col("Precipitation") / 8 - F.col("AET") - F.col("PET") * 2).alias("gain")
-    )
-    return state.fold_days_in_python(
-        daily, ["point_id"], step, BUCKET_START, "point_id bigint, date date, storage double"
-    )
+    return _bucket(state.state_trajectory, spark, sf)
 
 
 # --- regions ----------------------------------------------------------------------------------

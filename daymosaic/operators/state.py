@@ -137,6 +137,42 @@ def states_of_days(
         *others, "date", F.col("_found.state_date").alias("state_date"), F.coalesce("_found.state", F.col("_initial")).alias("state"))
 
 
+def _clamped(c: Column, low: Column, high: Column) -> Column:
+    return F.least(high, F.greatest(low, c))
+
+
+def _step(shift: Column, low: Column, high: Column) -> Column:
+    """The map ``S -> min(high, max(low, S + shift))``."""
+    return F.struct(shift.alias("shift"), low.alias("low"), high.alias("high"))
+
+
+def _after(first: Column, then: Column) -> Column:
+    """``first`` followed by ``then``, which is again such a map."""
+    return _step(first["shift"] + then["shift"], _clamped(first["low"] + then["shift"], then["low"], then["high"]),
+                 _clamped(first["high"] + then["shift"], then["low"], then["high"]))
+
+
+def _identity() -> Column:
+    infinity = F.lit(float("inf"))
+    return _step(F.lit(0.0), -infinity, infinity)
+
+
+def daily_balance(forcing: DataFrame, keys, inflow: Column, demand: Column) -> DataFrame:
+    """(keys, date, balance): the day's inflow less its demand, added up before anything moves."""
+    zero = F.lit(0.0)
+    return forcing.groupBy(*keys, "date").agg(
+        (F.coalesce(F.sum(inflow), zero) - F.coalesce(F.sum(demand), zero)).alias("balance"))
+
+
+def _by_year(daily: DataFrame, keys, capacity: float) -> DataFrame:
+    """(keys, _year, _days, _fold): the days of a year in order, and what they do together."""
+    full = F.lit(float(capacity))
+    return daily.groupBy(*keys, F.year("date").alias("_year")).agg(
+        F.sort_array(F.collect_list(F.struct("date", "balance"))).alias("_days")
+    ).withColumn("_fold", F.aggregate(
+        "_days", _identity(), lambda s, day: _after(s, _step(day["balance"], F.lit(0.0), full))))
+
+
 def state_fold(
     forcing: DataFrame, keys, inflow: Column, demand: Column, capacity: float, initial: float
 ) -> DataFrame:
@@ -145,45 +181,44 @@ def state_fold(
     One step is ``S' = min(capacity, max(0, S + inflow - demand))`` with the day's
     totals. A run of steps is again a shift followed by a clamp, so each year of
     a key is folded on its own into (shift, low, high) and only those few triples
-    are folded per key. Daily totals are aggregated before the shuffle, so no list
-    has more than 366 entries.
+    are folded per key. No list has more than 366 entries.
     """
     keys = list(keys)
-    cap = F.lit(float(capacity))
-    infinity = F.lit(float("inf"))
-
-    def within(c: Column, low: Column, high: Column) -> Column:
-        return F.least(high, F.greatest(low, c))
-
-    def triple(shift: Column, low: Column, high: Column) -> Column:
-        return F.struct(shift.alias("shift"), low.alias("low"), high.alias("high"))
-
-    daily = forcing.groupBy(*keys, "date").agg(
-        (F.coalesce(F.sum(inflow), F.lit(0.0)) - F.coalesce(F.sum(demand), F.lit(0.0))).alias("_d")
-    )
-    years = (
-        daily.groupBy(*keys, F.year("date").alias("_year"))
-        .agg(F.sort_array(F.collect_list(F.struct("date", "_d"))).alias("_days"))
-        .select(*keys, "_year", F.size("_days").alias("_n"), F.aggregate(
-            "_days",
-            triple(F.lit(0.0), -infinity, infinity),
-            lambda s, day: triple(
-                s["shift"] + day["_d"],
-                within(s["low"] + day["_d"], F.lit(0.0), cap),
-                within(s["high"] + day["_d"], F.lit(0.0), cap),
-            ),
-        ).alias("_fold"))
-    )
+    years = _by_year(daily_balance(forcing, keys, inflow, demand), keys, capacity).select(
+        *keys, "_year", F.size("_days").alias("_n"), "_fold")
     return (
         years.groupBy(*keys)
         .agg(F.sum("_n").alias("n_days"), F.sort_array(F.collect_list(F.struct("_year", "_fold"))).alias("_years"))
         .select(*keys, "n_days", F.aggregate(
             "_years", F.lit(float(initial)),
-            lambda s, y: within(s + y["_fold"]["shift"], y["_fold"]["low"], y["_fold"]["high"]),
+            lambda s, y: _clamped(s + y["_fold"]["shift"], y["_fold"]["low"], y["_fold"]["high"]),
         ).alias("storage"))
     )
 
 
+def state_trajectory(
+    forcing: DataFrame, keys, inflow: Column, demand: Column, capacity: float, initial: float
+) -> DataFrame:
+    """(keys, date, storage): the storage of the bucket at the end of each of its days.
+
+    A prefix scan in two levels. Each year of a key is folded into one triple; the storages its years
+    begin with follow from the triples before them, a few a key; then all years are stepped through from their own
+    beginning, at the same time. Nothing but the triples is ordered across years, and there is no Python.
+    """
+    keys, full = list(keys), F.lit(float(capacity))
+    years = _by_year(daily_balance(forcing, keys, inflow, demand), keys, capacity)
+    # the few triples of a key, each with the ones before it
+    earlier = F.collect_list("_fold").over(
+        Window.partitionBy(*keys).orderBy("_year").rowsBetween(Window.unboundedPreceding, -1))
+    begun = years.withColumn("_start", F.aggregate(
+        earlier, F.lit(float(initial)), lambda s, f: _clamped(s + f["shift"], f["low"], f["high"])))
+    # the storages after each day, one after the other in an array
+    stepped = F.aggregate("_days", F.array(F.col("_start")), lambda s, day: F.concat(
+        s, F.array(_clamped(F.element_at(s, -1) + day["balance"], F.lit(0.0), full))))
+    course = F.arrays_zip(F.transform("_days", lambda d: d["date"]).alias("date"), F.slice(stepped, F.lit(2), F.size("_days")).alias("storage"))
+    return begun.select(*keys, F.inline(course))
+
+
 def fold_days_in_python(daily: DataFrame, keys, step, initial, schema: str) -> DataFrame:
     """Step a user's Python function through the days of each key, in order.
 

@@ -129,6 +129,26 @@ def test_fold_over_years_equals_stepping_day_by_day(spark):
         assert got == {k: (len(d), bucket(d, capacity, start)[-1][1]) for k, d in days.items()}
 
 
+def test_course_over_years_equals_stepping_day_by_day(spark, plan):
+    days, df = forcing(spark)
+    for capacity, start in ((20.0, 5.0), (3.0, 3.0), (1000.0, 0.0)):
+        course = st.state_trajectory(df, ["k"], F.col("gain"), F.col("loss"), capacity, start)
+        rows = course.collect()
+        for k, d in days.items():
+            assert sorted((r["date"], r["storage"]) for r in rows if r["k"] == k) == bucket(d, capacity, start)
+    text = plan(course)
+    assert "Python" not in text and "Pandas" not in text and "Arrow" not in text and "partial_sum" in text
+
+
+def test_missing_and_repeated_days_of_a_course(spark):
+    day = lambda n: dt.date(2000, 12, 30) + dt.timedelta(n)
+    rows = [(1, day(0), 4.0, None), (1, day(0), 1.0, 2.0), (1, day(3), None, None), (1, day(400), None, 9.0), (2, day(1), 99.0, 0.0), (None, day(0), 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "k long, date date, gain double, loss double")
+    got = {(r["k"], r["date"]): r["storage"] for r in st.state_trajectory(df, ["k"], F.col("gain"), F.col("loss"), 10.0, 5.0).collect()}
+    assert got == {(1, day(0)): 8.0, (1, day(3)): 8.0, (1, day(400)): 0.0, (2, day(1)): 10.0, (None, day(0)): 6.0}
+    assert st.state_trajectory(df.limit(0), ["k"], F.col("gain"), F.col("loss"), 10.0, 5.0).count() == 0
+
+
 def test_python_step_gives_the_whole_course(spark):
     days, df = forcing(spark)
 
