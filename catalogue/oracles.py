@@ -8,15 +8,13 @@ the input views are shared with the Spark side.
 from __future__ import annotations
 
 from catalogue.queries import (
-    BUCKET_CAPACITY, BUCKET_START, EARLIER_RUN, FAILED_DAY, FAILED_MONTH, FEW_DATES, MANY_DATES, REPAIRED_MONTH, RUN_DATE, SIMULATED,
+    BUCKET_CAPACITY, BUCKET_START, EARLIER_RUN, FAILED_DAY, FAILED_MONTH, FEW_DATES, OFF_BORDER, MANY_DATES, REPAIRED_MONTH, RUN_DATE, SIMULATED,
     SIMULATION_RUN, STATE_SHIFT, TARGET_COLS, TARGET_ROWS,
 )
 from catalogue.views import GRID, NAN, UTM_GRID, sql, with_views
 from daymosaic.fixed_values import (
     EVEN_BREAKS, EXTRA_OUTPUTS, INDICATORS, PSI_BREAKS, RAMP_COLOURS, WEATHER_VARS,
 )
-from daymosaic.functions import projection as tm
-from daymosaic.operators.raster import lonlat_grid
 
 ORACLES: dict[str, str] = {}
 
@@ -343,6 +341,9 @@ located AS (SELECT point_id, admin_level, polygon_id FROM points, edges GROUP BY
   HAVING bool_or((bx - ax) * (y - ay) - (by_ - ay) * (x - ax) = 0
            AND x BETWEEN least(ax, bx) AND greatest(ax, bx) AND y BETWEEN least(ay, by_) AND greatest(ay, by_))
     OR count(*) FILTER (WHERE (ay > y) <> (by_ > y) AND x < (bx - ax) * (y - ay) / nullif(by_ - ay, 0) + ax) % 2 = 1)"""
+# the same in degrees, where straight borders stay straight: only the points are moved
+LOCATED_DEGREES = LOCATED.replace(
+    with_views("points"), with_views("points").replace("SELECT ", "SELECT point_id, province, x + {}::DOUBLE AS x, y + {}::DOUBLE AS y FROM (SELECT ".format(*OFF_BORDER), 1)[:-1] + "))", 1)
 MEANS = each("sum({v}) FILTER (WHERE NOT isnan({v})) / nullif(count({v}) FILTER (WHERE NOT isnan({v})), 0)::DOUBLE AS {v}")
 
 
@@ -354,6 +355,7 @@ GROUP BY admin_level, polygon_id, date"""
 
 
 ORACLES["poly_daily_means"] = f"WITH {CLEAN}, {LOCATED} {regional('clean')}"
+ORACLES["regional_degrees"] = f"SELECT * EXCLUDE (geom) FROM (WITH {CLEAN}, {LOCATED_DEGREES} {regional('clean')})"
 ORACLES["timeseries_publish"] = f"WITH {CLEAN}, {LOCATED} {regional('clean')}"
 ORACLES["daily_means_filter"] = f"""WITH {with_views('points_obs')}, {LOCATED}
 SELECT admin_level, polygon_id, date, {MEANS} FROM points_obs JOIN located USING (point_id)
@@ -467,28 +469,41 @@ SELECT strftime(date, '%Y%m%d') AS date, var, 'ag_GrnYl' AS palette_selected,
   min_value / 1000::DOUBLE AS min_value, max_value / 1000::DOUBLE AS max_value FROM ranges"""
 
 
+# GRS80 and zone 30, as published: rectifying radius times scale, eccentricity, and the
+# coefficients of the series between the sphere and the plane to the sixth power of the third flattening.
+TM_RADIUS = 0.9996 * 6367449.145771048
+TM_ECCENTRICITY = 0.08181919104281579
+TM_ALPHA = (8.3773182472855133e-4, 7.6085278481494745e-7, 1.1976455209422673e-9, 2.4291706548410129e-12)
+TM_BETA = (8.3773216816203524e-4, 5.9058702103689598e-8, 1.6734826899173421e-10, 2.1647980825651297e-13)
+
+
 def _terms(coefficients, term) -> str:
     return " + ".join(f"({c!r}::DOUBLE) * {term(2 * j)}" for j, c in enumerate(coefficients, start=1))
 
 
 def degrees_sql(source: str, keep: str) -> str:
-    """SELECT with lon and lat from x and y of ``source``."""
-    radius = f"({tm.SCALE * tm.RADIUS!r}::DOUBLE)"
-    return f"""SELECT {keep}, degrees(atan2(sinh(eta0), cos(xi0))) - 3 AS lon,
-    degrees(chi + {_terms(tm.LATITUDE, lambda k: f'sin({k} * chi)')}) AS lat
-  FROM (SELECT *, asin(sin(xi0) / cosh(eta0)) AS chi FROM (SELECT *,
-    xi - ({_terms(tm.BACKWARD, lambda k: f'sin({k} * xi) * cosh({k} * eta)')}) AS xi0,
-    eta - ({_terms(tm.BACKWARD, lambda k: f'cos({k} * xi) * sinh({k} * eta)')}) AS eta0
-    FROM (SELECT *, y / {radius} AS xi, (x - 500000) / {radius} AS eta FROM {source})))"""
+    """SELECT with lon and lat from x and y of ``source``; the latitude by three Newton steps from the conformal one."""
+    radius, ecc = f"({TM_RADIUS!r}::DOUBLE)", f"({TM_ECCENTRICITY!r}::DOUBLE)"
+    inner = f"""SELECT *, sin(xi0) / sqrt(sinh(eta0) * sinh(eta0) + cos(xi0) * cos(xi0)) AS goal,
+      degrees(atan2(sinh(eta0), cos(xi0))) - 3 AS lon FROM (SELECT *,
+      xi - ({_terms(TM_BETA, lambda k: f'sin({k} * xi) * cosh({k} * eta)')}) AS xi0,
+      eta - ({_terms(TM_BETA, lambda k: f'cos({k} * xi) * sinh({k} * eta)')}) AS eta0
+      FROM (SELECT *, y / {radius} AS xi, (x - 500000) / {radius} AS eta FROM {source}))"""
+    step = f"SELECT *, goal / (1 - {ecc} * {ecc}) AS tau0 FROM ({inner})"
+    for i in range(3):
+        step = f"""SELECT *, tau{i} + (goal - at{i}) / sqrt(1 + at{i} * at{i}) * (1 + (1 - {ecc} * {ecc}) * tau{i} * tau{i})
+            / ((1 - {ecc} * {ecc}) * sqrt(1 + tau{i} * tau{i})) AS tau{i + 1} FROM (
+          SELECT *, tau{i} * sqrt(1 + s{i} * s{i}) - s{i} * sqrt(1 + tau{i} * tau{i}) AS at{i} FROM (
+            SELECT *, sinh({ecc} * atanh({ecc} * tau{i} / sqrt(1 + tau{i} * tau{i}))) AS s{i} FROM ({step})))"""
+    return f"SELECT {keep}, lon, degrees(atan(tau3)) AS lat FROM ({step})"
 
 
 def metres_sql(source: str, keep: str) -> str:
     """SELECT with x and y from lon and lat of ``source``."""
-    radius = f"({tm.SCALE * tm.RADIUS!r}::DOUBLE)"
-    ecc = f"({tm.ECCENTRICITY!r}::DOUBLE)"
+    radius, ecc = f"({TM_RADIUS!r}::DOUBLE)", f"({TM_ECCENTRICITY!r}::DOUBLE)"
     return f"""SELECT {keep},
-    500000 + {radius} * (eta + {_terms(tm.FORWARD, lambda k: f'cos({k} * xi) * sinh({k} * eta)')}) AS x,
-    {radius} * (xi + {_terms(tm.FORWARD, lambda k: f'sin({k} * xi) * cosh({k} * eta)')}) AS y
+    500000 + {radius} * (eta + {_terms(TM_ALPHA, lambda k: f'cos({k} * xi) * sinh({k} * eta)')}) AS x,
+    {radius} * (xi + {_terms(TM_ALPHA, lambda k: f'sin({k} * xi) * cosh({k} * eta)')}) AS y
   FROM (SELECT *, atan2(t, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + t * t)) AS eta
     FROM (SELECT *, radians(lon + 3) AS lam,
       sinh(atanh(sin(radians(lat))) - {ecc} * atanh({ecc} * sin(radians(lat)))) AS t FROM {source}))"""
@@ -504,12 +519,17 @@ cells AS (SELECT row, col, count(*) AS n_days, {UTM_GRID.xmin} + (col + 0.5::DOU
 deg AS ({degrees_sql('cells', 'row, col, n_days')})
 SELECT row, col, n_days, round(lon, 6) AS lon, round(lat, 6) AS lat FROM deg"""
 
-_TARGET = lonlat_grid(UTM_GRID.coarse(4), TARGET_COLS, TARGET_ROWS)
+# the target grid from its rule: square cells over the border of the source, 64 pieces a side, seen in degrees
 ORACLES["grid_resample_bilinear"] = f"""WITH {layers(UTM_GRID, UTM_GRID.xmin, UTM_GRID.ymin)},
+places AS (SELECT CAST(i AS DOUBLE) / 64 AS share FROM range(0, 65) AS t(i)),
+ends AS (SELECT unnest([0.0::DOUBLE, 1.0::DOUBLE]) AS side),
+border AS (SELECT {UTM_GRID.xmin} + share * 10000 AS x, {UTM_GRID.ymin} + side * 10000 AS y FROM places, ends
+  UNION ALL SELECT {UTM_GRID.xmin} + side * 10000, {UTM_GRID.ymin} + share * 10000 FROM places, ends),
+box AS (SELECT min(lon) AS west, max(lat) AS north, greatest((max(lon) - min(lon)) / {TARGET_COLS}, (max(lat) - min(lat)) / {TARGET_ROWS}) AS res
+  FROM ({degrees_sql('border', 'x, y')})),
 target AS (SELECT CAST(i // {TARGET_COLS} AS BIGINT) AS trow, CAST(i % {TARGET_COLS} AS BIGINT) AS tcol
   FROM range(0, {TARGET_COLS * TARGET_ROWS}) AS t(i)),
-centres AS (SELECT trow, tcol, {_TARGET.xmin!r}::DOUBLE + (tcol + 0.5::DOUBLE) * {_TARGET.resolution!r}::DOUBLE AS lon,
-  {_TARGET.ymax!r}::DOUBLE - (trow + 0.5::DOUBLE) * {_TARGET.resolution!r}::DOUBLE AS lat FROM target),
+centres AS (SELECT trow, tcol, west + (tcol + 0.5::DOUBLE) * res AS lon, north - (trow + 0.5::DOUBLE) * res AS lat FROM target, box),
 placed AS (SELECT trow, tcol, (x - {UTM_GRID.xmin}) / 400::DOUBLE - 0.5::DOUBLE AS fx,
   ({UTM_GRID.ymax} - y) / 400::DOUBLE - 0.5::DOUBLE AS fy FROM ({metres_sql('centres', 'trow, tcol')})),
 near AS (SELECT trow, tcol, b.*, (1 - abs(fx - b.col)) * (1 - abs(fy - b.row)) AS w

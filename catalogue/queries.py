@@ -8,13 +8,13 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue.views import CELL_SIZES, GRID, UTM_GRID, nested_results, polygons, view
+from catalogue.views import GRID, UTM_GRID, nested_results, polygons, view
 from daymosaic.fixed_values import BLOCK_FACTOR, EXTRA_OUTPUTS, INDICATORS, WEATHER_VARS
 from daymosaic.functions.colour import channel
 from daymosaic.functions.geometry import rings_from_wkt, wkt_from_rings
 from daymosaic.functions.grid import cell_number, column_index, row_index
 from daymosaic.functions.projection import to_degrees, to_metres
-from daymosaic.functions.sizing import shared_folder
+from daymosaic.functions.sizing import materialise, shared_folder
 from daymosaic.functions.text import (
     compact_date, date_in_name, last_part, partition_digits, state_path,
 )
@@ -110,7 +110,7 @@ def point_layer_export(spark, sf):
 def timeseries_publish(spark, sf):
     root = shared_folder(spark, "timeseries")
     means = regional.regional_series(
-        view(spark, sf, "points_obs"), view(spark, sf, "points"), polygons(spark, sf), CELL_SIZES
+        view(spark, sf, "points_obs"), view(spark, sf, "points"), polygons(spark, sf)
     )
     writers.timeseries_publish(means, root)
     return spark.read.parquet(root)
@@ -465,17 +465,30 @@ def admin_polygons_clean(spark, sf):
 @query
 def poly_daily_means(spark, sf):
     return regional.regional_series(
-        view(spark, sf, "points_obs"), view(spark, sf, "points"), polygons(spark, sf), CELL_SIZES
+        view(spark, sf, "points_obs"), view(spark, sf, "points"), polygons(spark, sf)
     )
 
 
 @query
 def daily_means_filter(spark, sf):
-    located = regions.locate_points(
-        view(spark, sf, "points"), regions.admin_polygons_clean(polygons(spark, sf)), CELL_SIZES
-    )
-    joined = view(spark, sf, "points_obs").join(located, "point_id")
-    return regions.daily_means_filter(joined, ["admin_level", "polygon_id", "date"])
+    located, rows = materialise(regions.locate_points(view(spark, sf, "points"), regions.admin_polygons_clean(polygons(spark, sf))), "located")
+    return regions.daily_means_filter(view(spark, sf, "points_obs"), located, located_rows=rows)
+
+
+#: moves points off all borders, by more than DEGREE_TOLERANCE metres, so that projecting borders changes no point's polygon
+OFF_BORDER = (0.3, 0.0137)
+DEGREE_TOLERANCE = 1e-5
+
+
+@query
+def regional_degrees(spark, sf):
+    """Means by polygons in degrees and points in metres: both are the usual ones as if in 1/100000 degree."""
+    dx, dy = OFF_BORDER
+    x, y = to_metres((F.col("x") + dx) / 100000 - 4, (F.col("y") + dy) / 100000 + 40)
+    points = view(spark, sf, "points").select("province", "point_id", x.alias("x"), y.alias("y"))
+    shapes = polygons(spark, sf).drop("wkt").join(_degree_polygons(spark, sf), ["admin_level", "polygon_id"])
+    means = regional.regional_series(view(spark, sf, "points_obs"), points, shapes, degrees=True, tolerance=DEGREE_TOLERANCE)
+    return means.drop("geom")
 
 
 @query

@@ -193,9 +193,6 @@ VIEWS["provincias"] = ("region", {
 
 LEVEL_VIEWS = ("municipios", "comarcas", "provincias")
 
-#: bucket size of the cover join per level
-CELL_SIZES = {"municipio": 500.0, "comarca": 500.0, "provincia": 1000.0}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

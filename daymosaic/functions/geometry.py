@@ -63,9 +63,9 @@ def crosses_ray(x: str, y: str) -> str:
     )
 
 
-def touches(edges: str, x: str, y: str) -> str:
-    """The point is inside the polygon or on its boundary (even-odd over all rings)."""
+def touches(edges: str, x: str, y: str, more: str = "0") -> str:
+    """The point is inside the polygon or on its boundary (even-odd over all rings); ``more`` edges are crossed besides."""
     return (
         f"(exists({edges}, e -> {on_edge(x, y)})"
-        f" OR size(filter({edges}, e -> {crosses_ray(x, y)})) % 2 = 1)"
+        f" OR (size(filter({edges}, e -> {crosses_ray(x, y)})) + {more}) % 2 = 1)"
     )

@@ -80,12 +80,12 @@ def _of_days(spark: SparkSession, indicators: DayDataset, days: list[dt.date]) -
 
 
 def publish_series(
-    spark: SparkSession, indicators: DayDataset, points: DataFrame, polygons: DataFrame, cell_sizes: dict[str, float],
-    series: DayDataset, run_date: dt.date,
+    spark: SparkSession, indicators: DayDataset, points: DataFrame, polygons: DataFrame, series: DayDataset, run_date: dt.date,
+    degrees: bool = False,
 ) -> list[dt.date]:
     """Regional means of the days whose indicators were published since."""
     def make(days):
-        return [regional_series(_of_days(spark, indicators, days), points, polygons, cell_sizes, clean=False)]
+        return [regional_series(_of_days(spark, indicators, days), points, polygons, clean=False, degrees=degrees)]
 
     return publish(spark, [series], ledger_sources(spark, indicators), make, run_date)
 

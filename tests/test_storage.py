@@ -221,7 +221,7 @@ def test_series_and_images_follow_their_days(spark, tmp_path):
 
     def publish(date=run):
         daily.publish_days(spark, spark.read.schema(RESULTS).parquet(source), indicators, rejects, date)
-        return (daily.publish_series(spark, indicators, points, polygons, {"comarca": 20000.0}, series, date),
+        return (daily.publish_series(spark, indicators, points, polygons, series, date),
                 daily.publish_images(spark, indicators, points, grid, "point_id", 8, 8, images, date))
 
     deliver(spark, source, result(1, [layer(1)], OK), at(result(2, [layer(1)], OK), D2))
