@@ -136,6 +136,10 @@ SELECT obs_id, CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS mont
   strftime(date - 1, '%Y%m%d') AS state_text, date < DATE '{RUN_DATE}' - 385 AS too_old FROM points_obs"""
 ORACLES["file_name_filter"] = f"""WITH {with_views('input_files')}
 SELECT * FROM input_files WHERE NOT (contains(path, '_35_') OR contains(path, '_38_'))"""
+ORACLES["file_discovery"] = f"""WITH {with_views('points_obs')},
+names AS (SELECT DISTINCT 'province_' || (point_id % 5 + 34) || '_' || strftime(date, '%Y%m') || '01' AS name,
+  CAST(date_trunc('month', date) AS DATE) AS date FROM points_obs WHERE point_id % 5 NOT IN (1, 4))
+SELECT 'all' AS asked, name, date FROM names UNION ALL SELECT 'day', name, date FROM names WHERE date = DATE '{FEW_DATES[0]}'"""
 ORACLES["partition_path"] = """SELECT DISTINCT CAST(o_orderdate AS DATE) AS date,
   's3://bucket/year=' || year(o_orderdate) || '/month=' || month(o_orderdate) || '/day=' || day(o_orderdate) || '/' AS path
 FROM orders"""

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalogue.views import GRID, UTM_GRID, nested_results, polygons, view
 from daymosaic.fixed_values import BLOCK_FACTOR, EXTRA_OUTPUTS, INDICATORS, WEATHER_VARS
@@ -92,6 +93,22 @@ def file_name_filter(spark, sf):
     return readers.file_name_filter(view(spark, sf, "input_files"))
 
 
+@query
+def file_discovery(spark, sf):
+    """Result files by province and month, as the query writes them: all that are not left out, and those of one date."""
+    root = shared_folder(spark, "files")
+    name = F.concat(F.lit("province_"), (F.col("point_id") % 5 + 34).cast("string"), F.lit("_"), F.date_format("date", "yyyyMM01"))
+    writers.write_folders(view(spark, sf, "points_obs").select("obs_id", name.alias("name")), root, ["name"])
+    files = readers.file_name_filter(readers.list_files(spark, root, "*.parquet").where("size > 0"))
+    found = readers.union_by_name(
+        files.withColumn("asked", F.lit("all")), readers.files_of_date(files, compact_day(FEW_DATES[0])).withColumn("asked", F.lit("day")))
+    return found.select("asked", F.regexp_extract("path", "name=([^/]*)/", 1).alias("name"), date_in_name(F.col("path")).alias("date")).distinct()
+
+
+def compact_day(day: dt.date) -> str:
+    return f"{day:%Y%m%d}"
+
+
 @query
 def partition_path(spark, sf):
     return writers.partition_paths(view(spark, sf, "points_obs"), "s3://bucket/")
@@ -332,8 +349,11 @@ def province_bbox(spark, sf):
 
 @query
 def weather_bbox_scan(spark, sf):
-    boxes = weather.province_bbox(view(spark, sf, "points"))
-    rows = weather.weather_bbox_scan(view(spark, sf, "weather"), boxes, *WEATHER_DAYS)
+    """Over the weather as the library writes it."""
+    root, boxes = shared_folder(spark, "weather"), weather.province_bbox(view(spark, sf, "points"))
+    writers.write_weather(view(spark, sf, "weather").drop("station"), root, GRID)
+    written = readers.read_weather(spark, root, T.StructType([T.StructField("obs_id", T.LongType())]))
+    rows = weather.weather_bbox_scan(written, boxes, *WEATHER_DAYS)
     return rows.select("obs_id", "dates", "x", "y", *WEATHER_VARS)
 
 

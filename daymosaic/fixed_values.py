@@ -30,6 +30,10 @@ WEATHER_UNUSED = (
 EXCLUDED_PROVINCES = ("Ceuta", "Melilla", "Palmas, Las", "Santa Cruz de Tenerife")
 EXCLUDED_FILE_CODES = "_35_|_38_"
 
+# Folder and mark of the files of initial states.
+INITIAL_FOLDER = "data-raw"
+INITIAL_MARK = "initialized"
+
 # Administrative levels.
 ADMIN_LEVELS = ("provincia", "municipio", "comarca")
 

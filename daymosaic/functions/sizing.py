@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -86,18 +88,36 @@ def small_side(
     return df.hint("broadcast" if fits_broadcast(df, max_bytes, at_most_rows, text_bytes) else "merge")
 
 
+_made: list[str] = []
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
-    A machine-local temporary folder is used only by a local-mode session that
-    names no checkpoint folder (tests, the laptop); a cluster has to name one.
+    A local-mode session without that setting (a test, a laptop) is given one of its own, which goes
+    when Python ends; a cluster has to name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="daymosaic-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+        atexit.register(shutil.rmtree, root, True)
+        spark.conf.set("spark.checkpoint.dir", root)
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def remove_intermediates(spark: SparkSession) -> int:
+    """Remove the folders made so far; for the end of a job, when nothing lazy reads them any more. Returns their number."""
+    files = spark._jvm.org.apache.hadoop.fs
+    for path in _made:
+        place = files.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    count = len(_made)
+    _made.clear()
+    return count
 
 
 def materialise(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from daymosaic.fixed_values import INITIAL_FOLDER, INITIAL_MARK
+
 
 def pad2(c: Column) -> Column:
     """Pad to two digits on the left; unlike bare ``lpad`` longer text is kept whole."""
@@ -67,5 +69,5 @@ def point_wkt(x: Column, y: Column) -> Column:
 
 def state_path(initial_path: Column, date: Column, outputs: str) -> Column:
     """File of the state after ``date`` that belongs to a province's initial file."""
-    moved = replace_first(initial_path, "data-raw", outputs)
-    return replace_first(moved, "initialized", compact_date(date))
+    moved = replace_first(initial_path, INITIAL_FOLDER, outputs)
+    return replace_first(moved, INITIAL_MARK, compact_date(date))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import IMAGES_PER_GROUP, ROWS_PER_GROUP
+from daymosaic.functions.curve import morton
 from daymosaic.functions.text import partition_digits
 from daymosaic.operators.flatten import flatten_results
 from daymosaic.operators.quality import rejected
@@ -29,7 +30,9 @@ def _by_parts(root: str, **layout) -> DayDataset:
         root, ("year", "month", "day"), lambda d: f"year={d.year}/month={d.month}/day={d.day}", "make_date(year, month, day)", **layout)
 
 
-def indicator_days(root: str, schema=None, sort=("geometry.x", "geometry.y")) -> DayDataset:
+def indicator_days(root: str, schema=None, spec: GridSpec | None = None) -> DayDataset:
+    """Rows of a day lie along a space-filling curve over ``spec``, or by their coordinates without one."""
+    sort = ("geometry.x", "geometry.y") if spec is None else (morton(F.col("geometry.x"), F.col("geometry.y"), spec),)
     return _by_parts(root, sort=sort, rows_per_group=ROWS_PER_GROUP, schema=schema)
 
 

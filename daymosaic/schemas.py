@@ -58,9 +58,6 @@ WEATHER = T.StructType(
 
 POINT = T.StructType(_doubles(["x", "y"]))
 
-#: polygon boundaries: all rings of all parts, even-odd filled
-RINGS = T.ArrayType(T.ArrayType(POINT))
-
 IMAGES = T.StructType([
     T.StructField("date", T.StringType()),
     T.StructField("var", T.StringType()),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymosaic.fixed_values import EXCLUDED_FILE_CODES, INDICATORS
-from daymosaic.schemas import INDICATOR_DAYS, RESULTS
+from daymosaic.schemas import IMAGES, INDICATOR_DAYS, POINTS, RESULTS, WEATHER
 from daymosaic.sources import folders
 
 
@@ -43,6 +43,20 @@ def read_results(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.schema(RESULTS).parquet(*paths)
 
 
+def read_weather(spark: SparkSession, root: str, more: T.StructType | None = None) -> DataFrame:
+    """Weather of all days below ``root``; ``more`` declares columns beyond the usual ones."""
+    return spark.read.schema(T.StructType([*WEATHER.fields, *(more.fields if more else [])])).parquet(root)
+
+
+def read_points(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(POINTS).parquet(path)
+
+
+def read_images(spark: SparkSession, root: str) -> DataFrame:
+    """The image table; its folders are named by date."""
+    return spark.read.schema(IMAGES).parquet(root)
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """(path, size) of the files of ``folder`` that match a glob; contents are not read."""
     return (

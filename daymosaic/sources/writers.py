@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import IMAGES_PER_GROUP, ROWS_PER_FILE, ROWS_PER_GROUP
+from daymosaic.functions.curve import morton
 from daymosaic.functions.text import partition_uri, point_wkt
+from daymosaic.schemas import GridSpec
 
 
 def write_folders(df: DataFrame, root: str, by, sort=(), rows_per_file: int = ROWS_PER_FILE, rows_per_group: int | None = None) -> None:
@@ -27,6 +29,20 @@ def write_folders(df: DataFrame, root: str, by, sort=(), rows_per_file: int = RO
     writer.parquet(root)
 
 
+def write_weather(weather: DataFrame, root: str, spec: GridSpec, rows_per_group: int = ROWS_PER_GROUP, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Weather below ``root``, one folder a day, its rows along a space-filling curve over ``spec``.
+
+    Days are cut into ranges of the curve, so a day with much of the data is written by several tasks. A small box
+    then meets few row groups, whose statistics let the reader skip the others.
+    """
+    place = morton(F.col("x"), F.col("y"), spec)
+    (
+        weather.repartitionByRange(F.col("dates"), place).sortWithinPartitions(F.col("dates"), place).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file)
+        .option("parquet.block.row.count.limit", rows_per_group).partitionBy("dates").parquet(root)
+    )
+
+
 def with_date_parts(df: DataFrame, date: str = "date") -> DataFrame:
     return df.withColumns({
         "year": F.year(date), "month": F.month(date), "day": F.dayofmonth(date),

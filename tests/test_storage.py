@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymosaic.fixed_values import INDICATORS
+from daymosaic.functions import sizing
 from daymosaic.functions.sizing import fits_broadcast, materialise, measured_bytes, shared_folder
 from daymosaic.plans import daily
 from daymosaic.schemas import INDICATOR_DAYS, RESULTS, GridSpec
@@ -315,3 +316,17 @@ def test_lineage_is_cut_in_the_shared_folder(spark, plan):
     assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     cut, rows = materialise(spark.range(10).groupBy((F.col("id") % 3).alias("k")).count(), "x")
     assert cut.count() == rows == 3 and "Aggregate" not in plan(cut)
+
+
+def test_intermediate_folders_can_be_removed(spark):
+    _, rows = materialise(spark.range(3), "gone")
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = {f for f in os.listdir(root) if f.startswith("gone-")}
+    assert rows == 3 and before
+    kept, made = list(sizing._made), [p for p in sizing._made if "/gone-" in p]
+    sizing._made[:] = made
+    try:
+        assert sizing.remove_intermediates(spark) == len(made)
+    finally:
+        sizing._made[:] = [p for p in kept if p not in made]
+    assert not [f for f in os.listdir(root) if f.startswith("gone-")]

@@ -1,16 +1,21 @@
 import datetime as dt
+import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daymosaic.fixed_values import WEATHER_UNUSED, WEATHER_VARS
+from daymosaic.functions.curve import morton
 from daymosaic.functions.grid import cell_number, col_of_cell, row_of_cell
 from daymosaic.functions.sizing import materialise
 from daymosaic.operators import state as st
 from daymosaic.operators import weather as w
 from daymosaic.plans.forcing import day_forcing, simulation_input
 from daymosaic.schemas import GridSpec
-from daymosaic.sources.writers import write_state_history
+from daymosaic.sources.readers import read_weather
+from daymosaic.sources.writers import write_state_history, write_weather
 
 GRID = GridSpec(0.0, 10.0, 0.0, 10.0, 1.0)
 D1, D2 = dt.date(2025, 1, 1), dt.date(2025, 1, 2)
@@ -219,3 +224,53 @@ def test_only_points_move_to_a_bucketed_history(spark, plan, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE bucketed_states")
+
+
+def scanned_rows(df):
+    """Rows the file scan handed on, from its metrics."""
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    stack = [execution.executedPlan()]
+    while stack:
+        node = stack.pop()
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            return node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        stack.extend(children.apply(i) for i in range(children.size()))
+    raise AssertionError("no scan")
+
+
+def test_a_small_box_reads_few_row_groups(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(i, rng.uniform(0, 10000), rng.uniform(0, 10000), D1 if i % 4 else D2, 1.0) for i in range(24000)]
+    area = GridSpec(0.0, 10000.0, 0.0, 10000.0, 100.0)
+    write_weather(weather(spark, rows).coalesce(2), str(tmp_path / "w"), area, rows_per_group=500)
+    source = read_weather(spark, str(tmp_path / "w"), T.StructType([T.StructField("obs_id", T.LongType())]))
+    boxes = spark.createDataFrame([(1, 2000.0, 3500.0, 6000.0, 7500.0)], "province int, xmin double, xmax double, ymin double, ymax double")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = w.weather_bbox_scan(source, boxes, D1, D1)
+        read = scanned_rows(found)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    want = sorted(i for i, x, y, d, _ in rows if d == D1 and 2000 <= x <= 3500 and 6000 <= y <= 7500)
+    assert sorted(r["obs_id"] for r in found.collect()) == want
+    assert len(want) <= read < 18000 / 4           # under a quarter of the day's rows leave the reader
+    groups = [g for f in (tmp_path / "w" / f"dates={D1}").glob("*.parquet") for g in boxes_of_groups(f)]
+    met = [g for g in groups if g[0] <= 3500 and g[1] >= 2000 and g[2] <= 7500 and g[3] >= 6000]
+    assert len(groups) >= 36 and len(met) < len(groups) / 4
+
+
+def boxes_of_groups(path):
+    """(least x, largest x, least y, largest y) of each row group, from the footer."""
+    footer = pq.ParquetFile(path).metadata
+    for k in range(footer.num_row_groups):
+        stats = {footer.row_group(k).column(c).path_in_schema: footer.row_group(k).column(c).statistics for c in range(footer.num_columns)}
+        yield stats["x"].min, stats["x"].max, stats["y"].min, stats["y"].max
+
+
+def test_places_along_the_curve(spark):
+    area = GridSpec(0.0, 4.0, 0.0, 4.0, 1.0)
+    df = spark.createDataFrame([(0.0, 0.0), (4.0, 0.0), (0.0, 4.0), (4.0, 4.0), (9.0, -9.0), (None, 1.0), (1.5, 2.5)], "x double, y double")
+    got = [r[0] for r in df.select(morton(F.col("x"), F.col("y"), area)).collect()]
+    assert got[:6] == [0, 0x55555555, 0xAAAAAAAA, 0xFFFFFFFF, 0x55555555, None] and 0xAAAAAAAA > got[6] > 0x55555555
