@@ -14,8 +14,9 @@ The model grows with the corpus, so it is never held in one place:
 1. Documents are dealt into blocks of about ``BLOCK_BYTES`` of text. A block counts its distinct n-grams,
    with 0 for those that only texts outside the training set have, and sends them as
    sorted runs of 64-bit keys to the parts of the key space.
-2. A part adds up the counts of its keys and answers each block with the totals that differ from
-   the block's own counts.
+2. A part adds up the counts of its keys and answers each block by position: one bit for each of the
+   keys the block sent, in their order, and the totals of those whose count differs from the block's own. The block makes
+   its keys again anyway.
 3. A block has then exactly that part of the automaton its texts can reach, and traverses them.
 
 Keys are hashes of 62 bits. Two n-grams of a model of a billion share one with a probability of
@@ -262,21 +263,22 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", trains=None
         known, position = np.unique(whole, return_inverse=True)
         total = np.bincount(position, weights=np.concatenate(counts), minlength=len(known)).astype(np.int64)
         single = known & np.uint64(2) != 0
-        rows, at = [(-1, b"", b"", int(total[single].sum()), int((total[single] > 0).sum()))], 0
+        part = batch.column("part")[0].as_py()
+        rows, at = [(-1, part, b"", b"", int(total[single].sum()), int((total[single] > 0).sum()))], 0
         for block, own, count_ in zip(blocks_, keys, counts):
             all_ = total[position[at: at + len(own)]]
             at += len(own)
             other = all_ != count_
             if other.any():
-                rows.append((block, packed(own[other]), packed(all_[other]), 0, 0))
+                rows.append((block, part, packed(np.packbits(other)), packed(all_[other]), 0, 0))
         columns = list(zip(*rows))
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-        return pa.table({n: pa.array(c, k) for n, c, k in zip(("block", "keys", "totals", "tokens", "words"), columns, kinds)})
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+        return pa.table({n: pa.array(c, k) for n, c, k in zip(("block", "part", "differ", "totals", "tokens", "words"), columns, kinds)})
 
     runs = counting.groupBy("block").applyInArrow(
         count, "part bigint, block bigint, keys binary, counts binary")
     answers, seen = save(
-        runs.groupBy("part").applyInArrow(answer, "block bigint, keys binary, totals binary, tokens bigint, words bigint"),
+        runs.groupBy("part").applyInArrow(answer, "block bigint, part bigint, differ binary, totals binary, tokens bigint, words bigint"),
         "ngrams", tokens=F.sum("tokens"), words=F.sum("words"))
     total, distinct = seen["tokens"] or 0, seen["words"] or 0
     kind = plain.schema["id"].dataType.simpleString()
@@ -285,8 +287,10 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", trains=None
         batch = opened(block.column("parcel"))
         column, train_ = batch.column("text").combine_chunks(), batch.column("train").to_numpy()
         keys, counts = block_counts(column, train_, order)
-        for k, t in zip(answered.column("keys"), answered.column("totals")):
-            counts[np.searchsorted(keys, unpacked(k.as_py(), "<u8"))] = unpacked(t.as_py(), "<i8")
+        cuts = np.concatenate([[0], np.searchsorted(keys, _part_edges(parts)), [len(keys)]])
+        for p, d, t in zip(answered.column("part").to_pylist(), answered.column("differ"), answered.column("totals")):
+            own = counts[cuts[p]: cuts[p + 1]]  # a view of the part's keys, in the order they were sent
+            own[np.unpackbits(unpacked(d.as_py(), "u1"))[: len(own)] != 0] = unpacked(t.as_py(), "<i8")
         model = Automaton(keys, counts, total, distinct, order, mu)
         n, known, base, score = [], [], [], []
         for a in range(0, len(column), 1024):
@@ -302,7 +306,7 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", trains=None
             "n_known": np.concatenate(known), "train_tokens": np.full(len(column), total, np.int64),
             "base_score": np.concatenate(base), "score": np.concatenate(score)})
 
-    return scoring.groupBy("block").cogroup(answers.where("block >= 0").select("block", "keys", "totals").groupBy("block")).applyInArrow(
+    return scoring.groupBy("block").cogroup(answers.where("block >= 0").select("block", "part", "differ", "totals").groupBy("block")).applyInArrow(
         traverse, f"id {kind}, trained boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
 
 
