@@ -11,6 +11,10 @@ from daymosaic.functions.text import partition_uri, point_wkt
 from daymosaic.schemas import GridSpec
 
 
+#: tasks put their files in place themselves, in a staging folder; the driver then exchanges whole folders only
+COMMIT = {"partitionOverwriteMode": "dynamic", "mapreduce.fileoutputcommitter.algorithm.version": "2"}
+
+
 def write_folders(df: DataFrame, root: str, by, sort=(), rows_per_file: int = ROWS_PER_FILE, rows_per_group: int | None = None) -> None:
     """Write ``df`` below ``root`` in folders of ``by``, replacing those that ``df`` has rows for.
 
@@ -20,7 +24,7 @@ def write_folders(df: DataFrame, root: str, by, sort=(), rows_per_file: int = RO
     """
     writer = (
         df.hint("rebalance", *by).sortWithinPartitions(*by, *sort).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .options(**COMMIT)
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(*by)
     )
@@ -38,7 +42,7 @@ def write_weather(weather: DataFrame, root: str, spec: GridSpec, rows_per_group:
     place = morton(F.col("x"), F.col("y"), spec)
     (
         weather.repartitionByRange(F.col("dates"), place).sortWithinPartitions(F.col("dates"), place).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file)
+        .options(**COMMIT).option("maxRecordsPerFile", rows_per_file)
         .option("parquet.block.row.count.limit", rows_per_group).partitionBy("dates").parquet(root)
     )
 
