@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daymosaic.llm.tables import save, table
+from daymosaic.llm.tables import save, table, with_places
 
 ID_BYTES = 16
 #: turns of a segment, segments of a block
@@ -261,25 +261,18 @@ def _shared(conv: Column) -> Column:
 
 
 def numbered_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((conv_id, place, id, size) of every turn, (conv_id, turns) of every conversation); places count from 0.
+    """((conv_id, place, id, size) of every turn, (conv_id) of every conversation); places count from 0.
 
-    Turns are numbered through a sort by ranges, so a conversation of any length is spread over tasks:
-    each stretch counts from its first row, and a conversation's earlier stretches are added.
+    Turns are numbered through a sort by ranges, so a conversation of any length is spread over tasks.
     """
     role, text = F.coalesce(F.col("role"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))
-    turns = conversations.where(F.col("conv_id").isNotNull()).select(
+    known = conversations.where(F.col("conv_id").isNotNull())
+    turns = known.select(
         F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").alias("turn"), role.alias("role"),
         F.substring(F.sha2(F.concat(F.length(role).cast("string"), F.lit(":"), role, text), 256), 1, 2 * ID_BYTES).alias("id"),
         F.length(text).cast("bigint").alias("size"))
-    order = ["conv_id", "turn", "role", "id"]  # nulls first
-    rows, _ = save(turns.repartitionByRange(*order).sortWithinPartitions(*order).select(
-        "conv_id", "id", "size", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row")), "trie-rows")
-    earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    stretches, _ = save(rows.groupBy("conv_id", "part").agg(F.min("row").alias("start"), F.count(F.lit(1)).alias("n")).withColumn(
-        "before", F.coalesce(F.sum("n").over(earlier), F.lit(0))), "trie-stretches")
-    placed = rows.join(stretches, ["conv_id", "part"]).select(
-        "conv_id", (F.col("row") - F.col("start") + F.col("before")).alias("place"), "id", "size")
-    return placed, stretches.groupBy("conv_id").agg(F.sum("n").alias("turns"))
+    placed = with_places(turns, ["conv_id"], ["turn", "role", "id"], "trie-rows")  # nulls first
+    return placed.select("conv_id", "place", "id", "size"), known.select(F.col("conv_id").cast("bigint").alias("conv_id")).distinct()
 
 
 def rebuilt(placed: DataFrame, convs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -288,7 +281,7 @@ def rebuilt(placed: DataFrame, convs: DataFrame) -> tuple[DataFrame, DataFrame]:
     heads = placed.where((F.col("conv_id") % FAMILY == 0) & (F.col("place") < SHARED_TURNS - 1)).groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("place", "id", "size"))).alias("head")).withColumnRenamed("conv_id", "family")
     known, _ = save(convs.withColumns({"family": family, "shared": shared}).join(heads, "family", "left").select(
-        "conv_id", "turns", "shared", F.when(F.col("shared") > 0, F.slice("head", 1, F.greatest("shared", F.lit(1)))).alias("head")
+        "conv_id", "shared", F.when(F.col("shared") > 0, F.slice("head", 1, F.greatest("shared", F.lit(1)))).alias("head")
     ).withColumn("taken", F.coalesce(F.greatest(F.size("head"), F.lit(0)), F.lit(0)).cast("bigint")), "trie-conversations")
     borrowed = known.select("conv_id", F.explode("head").alias("t")).select("conv_id", "t.place", "t.id", "t.size")
     own = placed.where(F.col("place") >= shared).join(known.select("conv_id", "taken"), "conv_id").select(
