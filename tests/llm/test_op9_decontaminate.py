@@ -53,3 +53,14 @@ def test_empty_sides(spark, awkward):
     bench = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     assert clean.without_hits(awkward.limit(0), bench).count() == 0
     assert clean.without_hits(awkward, bench.limit(0)).count() == 11
+
+
+def test_repeated_documents_are_each_marked(spark):
+    rows = [(1, "one two three four five six seven eight nine ten eleven")] * 3 + [(1, "one two")] * 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame(ITEMS[:1], "item_id bigint, text string")
+    got = sorted((r[clean.HITS]["n_words"], len(r[clean.HITS]["spans"])) for r in clean.mark(docs, bench).collect())
+    assert got == [(2, 0)] * 2 + [(11, 1)] * 3
+    assert clean.without_hits(docs, bench).count() == 2
+    empty = spark.createDataFrame([], "item_id bigint, text string")
+    assert clean.without_hits(docs, empty).count() == 5
