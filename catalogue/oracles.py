@@ -474,11 +474,11 @@ SELECT strftime(date, '%Y%m%d') AS date, var, 'ag_GrnYl' AS palette_selected,
 
 
 # GRS80 and zone 30, as published: rectifying radius times scale, eccentricity, and the
-# coefficients of the series between the sphere and the plane to the sixth power of the third flattening.
-TM_RADIUS = 0.9996 * 6367449.145771048
+# coefficients of the series between the sphere and the plane, to the fourth power of the third flattening.
+TM_RADIUS = 0.9996 * 6367449.145771047
 TM_ECCENTRICITY = 0.08181919104281579
-TM_ALPHA = (8.3773182472855133e-4, 7.6085278481494745e-7, 1.1976455209422673e-9, 2.4291706548410129e-12)
-TM_BETA = (8.3773216816203524e-4, 5.9058702103689598e-8, 1.6734826899173421e-10, 2.1647980825651297e-13)
+TM_ALPHA = (0.0008377318247344344, 7.608527788826163e-07, 1.1976380191731534e-09, 2.4433762425103678e-12)
+TM_BETA = (0.000837732168164144, 5.90586962608273e-08, 1.6734889049883462e-10, 2.167737805596757e-13)
 
 
 def _terms(coefficients, term) -> str:
@@ -529,7 +529,8 @@ places AS (SELECT CAST(i AS DOUBLE) / 64 AS share FROM range(0, 65) AS t(i)),
 ends AS (SELECT unnest([0.0::DOUBLE, 1.0::DOUBLE]) AS side),
 border AS (SELECT {UTM_GRID.xmin} + share * 10000 AS x, {UTM_GRID.ymin} + side * 10000 AS y FROM places, ends
   UNION ALL SELECT {UTM_GRID.xmin} + side * 10000, {UTM_GRID.ymin} + share * 10000 FROM places, ends),
-box AS (SELECT min(lon) AS west, max(lat) AS north, greatest((max(lon) - min(lon)) / {TARGET_COLS}, (max(lat) - min(lat)) / {TARGET_ROWS}) AS res
+box AS (SELECT round(min(lon), 9) AS west, round(max(lat), 9) AS north,
+  round(greatest((max(lon) - min(lon)) / {TARGET_COLS}, (max(lat) - min(lat)) / {TARGET_ROWS}), 12) AS res
   FROM ({degrees_sql('border', 'x, y')})),
 target AS (SELECT CAST(i // {TARGET_COLS} AS BIGINT) AS trow, CAST(i % {TARGET_COLS} AS BIGINT) AS tcol
   FROM range(0, {TARGET_COLS * TARGET_ROWS}) AS t(i)),

@@ -48,12 +48,17 @@ def _bytes_of(c: Column, dtype: T.DataType) -> Column:
     return F.coalesce(inner.cast("bigint"), F.lit(0).cast("bigint")) + 16
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of ``df`` in memory, by one distributed aggregation over it."""
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row of ``df`` in memory."""
     row = F.lit(ROW_OVERHEAD).cast("bigint")
     for f in df.schema.fields:
         row = row + _bytes_of(F.col(f"`{f.name}`"), f.dataType)
-    return df.agg(F.sum(row)).first()[0] or 0
+    return row
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of ``df`` in memory, by one distributed aggregation over it."""
+    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
 
 
 def fits_broadcast(
@@ -120,12 +125,19 @@ def remove_intermediates(spark: SparkSession) -> int:
     return count
 
 
-def materialise(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:
-    """Write ``df`` to the shared folder; (the table read back, its number of rows).
+def written(df: DataFrame, purpose: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """Write ``df`` to the shared folder; (the table read back, ``rows`` and the given aggregates of it).
 
-    The plan is cut there. Rows are counted while they are written.
+    The plan is cut there. Rows are counted and measured while they are written.
     """
     path = shared_folder(df.sparkSession, purpose)
-    written = Observation(purpose)
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), written.get["rows"]
+    seen = Observation(purpose)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in measures.items()])
+    counted.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), dict(seen.get)
+
+
+def materialise(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+    """Write ``df`` to the shared folder; (the table read back, its number of rows)."""
+    table, seen = written(df, purpose)
+    return table, seen["rows"]

@@ -124,15 +124,19 @@ def cell_lonlat(cells: DataFrame, spec: GridSpec) -> DataFrame:
 
 
 def lonlat_grid(spec: GridSpec, ncol: int, nrow: int, samples: int = 64) -> GridSpec:
-    """Square-celled longitude/latitude grid that covers ``spec``, at most ``ncol`` x ``nrow``."""
+    """Square-celled longitude/latitude grid that covers ``spec``, at most ``ncol`` x ``nrow``.
+
+    Its corner is given to nine decimals of a degree and its cells to twelve, so it does not hang on the last bits of a projection.
+    """
     steps = [i / samples for i in range(samples + 1)]
     xs = [spec.xmin + s * (spec.xmax - spec.xmin) for s in steps]
     ys = [spec.ymin + s * (spec.ymax - spec.ymin) for s in steps]
     border = [(x, y) for x in xs for y in (spec.ymin, spec.ymax)]
     border += [(x, y) for y in ys for x in (spec.xmin, spec.xmax)]
     lons, lats = zip(*[to_degrees(x, y, math) for x, y in border])
-    res = max((max(lons) - min(lons)) / ncol, (max(lats) - min(lats)) / nrow)
-    return GridSpec(min(lons), min(lons) + ncol * res, max(lats) - nrow * res, max(lats), res, "EPSG:4326")
+    res = round(max((max(lons) - min(lons)) / ncol, (max(lats) - min(lats)) / nrow), 12)
+    west, north = round(min(lons), 9), round(max(lats), 9)
+    return GridSpec(west, west + ncol * res, north - nrow * res, north, res, "EPSG:4326")
 
 
 def resample_weights(spark: SparkSession, source: GridSpec, target: GridSpec) -> DataFrame:

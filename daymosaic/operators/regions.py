@@ -13,7 +13,7 @@ from daymosaic.fixed_values import ADMIN_LEVELS, EXCLUDED_PROVINCES, INDICATORS
 from daymosaic.functions.geometry import edges_of, rings_from_wkt, touches, wkt_with_rings
 from daymosaic.functions.missing import nan_to_null
 from daymosaic.functions.projection import to_metres
-from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, fits_broadcast, materialise, small_side
+from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, fits_broadcast, row_bytes, small_side, written
 
 #: a cell with more edges is cut, but not more often than that
 MAX_EDGES, MAX_DEPTH = 24, 14
@@ -155,7 +155,7 @@ def polygon_cover(polygons: DataFrame, max_edges: int = MAX_EDGES, max_depth: in
 
     edges_column = f"coalesce({edges_of(rings_from_wkt('wkt'))}, array()) AS edges"
     # a polygon file is one small split; covering large shapes is not one task's work
-    spread = polygons.repartition(polygons.sparkSession.sparkContext.defaultParallelism, "admin_level", "polygon_id")
+    spread = polygons.repartition("admin_level", "polygon_id")
     return spread.selectExpr("admin_level", "polygon_id", edges_column).mapInArrow(
         cut, f"admin_level string, polygon_id {kind}, e int, gx bigint, gy bigint, flip boolean, whole boolean, "
              "edges array<struct<ax: double, ay: double, bx: double, by: double>>")
@@ -171,8 +171,9 @@ def locate_points(
     exact test runs on the candidates. Points are located once, not once per day.
     A point with a missing or infinite coordinate (NaN sorts above all) is nowhere.
     """
-    cover, _ = materialise(polygon_cover(polygons, max_edges, max_depth), "cover")
-    sizes = [(r["admin_level"], r["e"]) for r in cover.select("admin_level", "e").distinct().collect()]  # some sizes a level
+    cut = polygon_cover(polygons, max_edges, max_depth)
+    cover, seen = written(cut, "cover", bytes=F.sum(row_bytes(cut)), sizes=F.collect_set(F.struct("admin_level", "e")))
+    sizes = [(r["admin_level"], r["e"]) for r in seen["sizes"]]  # some sizes a level
     if not sizes:
         return points.join(cover.select("admin_level", "polygon_id"), F.lit(False)).select("point_id", "admin_level", "polygon_id")
     cells = ", ".join(f"named_struct('admin_level', '{level}', 'e', {e}, 'size', {2.0 ** e!r}D)" for level, e in sorted(sizes))
@@ -180,7 +181,8 @@ def locate_points(
     placed = points.where(finite).selectExpr("point_id", "x", "y", f"inline(array({cells}))").selectExpr(
         "point_id", "x", "y", "admin_level", "e", "floor(x / size) AS gx", "floor(y / size) AS gy"
     )
-    candidates = placed.join(small_side(cover, max_bytes), ["admin_level", "e", "gx", "gy"])
+    side = cover.hint("broadcast" if (seen["bytes"] or 0) <= max_bytes else "merge")
+    candidates = placed.join(side, ["admin_level", "e", "gx", "gy"])
     return candidates.where("whole OR " + touches("edges", "x", "y", "CAST(flip AS INT)")).select(
         "point_id", "admin_level", "polygon_id"
     )
