@@ -243,7 +243,11 @@ ORACLES["weather_semi"] = f"WITH {MATCHED} SELECT cell, obs_id, dates, {WEATHER}
 ORACLES["cells_without_weather"] = f"WITH {FILLED} SELECT coalesce(cell, -1) AS cell, dates FROM lacking"
 ORACLES["weather_nest"] = f"""WITH {MATCHED}
 SELECT cell, dates, {WEATHER}, row_number() OVER (PARTITION BY cell, dates ORDER BY {WEATHER}) - 1 AS place FROM matched"""
-ORACLES["weather_gap_fill"] = f"WITH {FILLED} SELECT coalesce(cell, -1) AS cell, dates, obs_id, {WEATHER} FROM filled"
+ORACLES["weather_gap_fill"] = f"""WITH {FILLED},
+lists AS (SELECT cell AS _cell, dates AS _dates, count(*) AS n_rows, count(Precipitation) AS n_known,
+  {each('coalesce(sum({v}), 0.0::DOUBLE) AS sum_{v}', WEATHER_VARS)} FROM filled GROUP BY cell, dates)
+SELECT coalesce(cell, -1) AS cell, dates, obs_id, {WEATHER}, n_rows, n_known, {each('sum_{v}', WEATHER_VARS)}
+FROM filled JOIN lists ON cell IS NOT DISTINCT FROM _cell AND dates IS NOT DISTINCT FROM _dates"""
 ORACLES["weather_to_points"] = f"""WITH {FILLED}
 SELECT point_id, province, dates, obs_id, {WEATHER} FROM placed p JOIN filled f ON f.cell IS NOT DISTINCT FROM p.cell"""
 ORACLES["weather_coverage"] = f"""WITH {PLACED}, {GRIDDED},

@@ -381,7 +381,8 @@ def weather_nest(spark, sf):
 def weather_gap_fill(spark, sf):
     cells = weather.cells_of(_placed(spark, sf))
     reduced = weather.weather_in_cells(_gridded(spark, sf), cells, GRID)
-    return weather.weather_gap_fill(cells, reduced, _days(), "obs_id").withColumn("cell", _whole("cell"))
+    filled = weather.weather_gap_fill(cells, reduced, _days(), "obs_id")
+    return weather.with_day_totals(filled).withColumn("cell", _whole("cell"))
 
 
 @query

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import HULL_MARGIN, WEATHER_UNUSED, WEATHER_VARS
 from daymosaic.functions.grid import cell_number
-from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, small_side
+from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, materialise, small_side
 from daymosaic.schemas import GridSpec
 
 #: blocks per side of the area when there are more
@@ -115,6 +115,19 @@ def weather_gap_fill(
     return rows.unionByName(cells_without_weather(cells, weather, dates, at_most_rows, max_bytes), allowMissingColumns=True)
 
 
+def with_day_totals(rows: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Each of ``rows`` with the figures of the list its cell and day make: ``n_rows``, ``n_known`` and a sum per variable.
+
+    Rows are counted and summed where they lie and before anything moves, so a cell and day with very many of them is a
+    row a task, never a list. A filler counts as one row of which nothing is known.
+    """
+    totals, count = materialise(rows.groupBy(F.col("cell").alias("_cell"), F.col("dates").alias("_dates")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("Precipitation").alias("n_known"),
+        *[F.coalesce(F.sum(v), F.lit(0.0)).alias(f"sum_{v}") for v in WEATHER_VARS]), "day-totals")
+    same = F.col("cell").eqNullSafe(F.col("_cell")) & F.col("dates").eqNullSafe(F.col("_dates"))
+    return rows.join(small_side(totals, max_bytes, count), same).drop("_cell", "_dates")
+
+
 def weather_to_points(
     points: DataFrame, rows: DataFrame, filled: bool = False, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:

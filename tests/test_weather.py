@@ -274,3 +274,14 @@ def test_places_along_the_curve(spark):
     df = spark.createDataFrame([(0.0, 0.0), (4.0, 0.0), (0.0, 4.0), (4.0, 4.0), (9.0, -9.0), (None, 1.0), (1.5, 2.5)], "x double, y double")
     got = [r[0] for r in df.select(morton(F.col("x"), F.col("y"), area)).collect()]
     assert got[:6] == [0, 0x55555555, 0xAAAAAAAA, 0xFFFFFFFF, 0x55555555, None] and 0xAAAAAAAA > got[6] > 0x55555555
+
+
+@pytest.mark.parametrize("max_bytes", [10**9, 0])
+def test_filled_rows_carry_the_figures_of_their_cell_and_day(spark, max_bytes):
+    pts = w.with_cell(points(spark, [(1, 10, 0.5, 9.5), (1, 11, 1.5, 9.5), (1, 12, 50.0, 0.5)]), GRID)
+    gridded = w.weather_on_grid(weather(spark, [(1, 0.5, 9.5, D1, 1.5), (2, 0.5, 9.5, D1, 2.0), (3, 0.5, 9.5, D1, None)]), GRID)
+    rows = w.with_day_totals(fill(pts, gridded), max_bytes).collect()
+    assert {(r["obs_id"], r["n_rows"], r["n_known"], r["sum_Precipitation"]) for r in rows if (r["cell"], r["dates"]) == (1, D1)} == {
+        (1, 3, 2, 3.5), (2, 3, 2, 3.5), (3, 3, 2, 3.5)}
+    fillers = [r for r in rows if r["obs_id"] is None]                       # two days of a cell and of no cell, one of the other
+    assert len(rows) == 8 and len(fillers) == 5 and {(r["n_rows"], r["n_known"], r["sum_PET"]) for r in fillers} == {(1, 0, 0.0)}
