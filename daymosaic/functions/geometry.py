@@ -64,8 +64,12 @@ def crosses_ray(x: str, y: str) -> str:
 
 
 def touches(edges: str, x: str, y: str, more: str = "0") -> str:
-    """The point is inside the polygon or on its boundary (even-odd over all rings); ``more`` edges are crossed besides."""
+    """The point is inside the polygon or on its boundary (even-odd over all rings); ``more`` edges are crossed besides.
+
+    Both tests see only the edges that reach the point's height, which are picked once, by comparisons alone.
+    """
+    level = f"(e.ay <= {y} AND e.by >= {y}) OR (e.by <= {y} AND e.ay >= {y})"
     return (
-        f"(exists({edges}, e -> {on_edge(x, y)})"
-        f" OR (size(filter({edges}, e -> {crosses_ray(x, y)})) + {more}) % 2 = 1)"
+        f"exists(array(filter({edges}, e -> {level})), near -> exists(near, e -> {on_edge(x, y)})"
+        f" OR (size(filter(near, e -> {crosses_ray(x, y)})) + {more}) % 2 = 1)"
     )

@@ -13,10 +13,12 @@ from daymosaic.fixed_values import ADMIN_LEVELS, EXCLUDED_PROVINCES, INDICATORS
 from daymosaic.functions.geometry import edges_of, rings_from_wkt, touches, wkt_with_rings
 from daymosaic.functions.missing import nan_to_null
 from daymosaic.functions.projection import to_metres
-from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, fits_broadcast, row_bytes, small_side, written
+from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, fits_broadcast, materialise, row_bytes, small_side, written
 
 #: a cell with more edges is cut, but not more often than that
 MAX_EDGES, MAX_DEPTH = 24, 14
+#: points a task locates
+POINTS_PER_TASK = 10_000
 
 
 def admin_polygons_clean(polygons: DataFrame) -> DataFrame:
@@ -168,7 +170,8 @@ def locate_points(
 
     Polygons are independent: a point on a shared border is in both. The cover is written once. The join is
     an equality on cells of the sizes that occur in it, broadcast while it is small; the
-    exact test runs on the candidates. Points are located once, not once per day.
+    exact test runs on the candidates. Points are located once, not once per day. Their places are written first: they may
+    be costly to compute, and a file of points is a small split, so they are dealt to as many tasks as their number asks for.
     A point with a missing or infinite coordinate (NaN sorts above all) is nowhere.
     """
     cut = polygon_cover(polygons, max_edges, max_depth)
@@ -178,7 +181,9 @@ def locate_points(
         return points.join(cover.select("admin_level", "polygon_id"), F.lit(False)).select("point_id", "admin_level", "polygon_id")
     cells = ", ".join(f"named_struct('admin_level', '{level}', 'e', {e}, 'size', {2.0 ** e!r}D)" for level, e in sorted(sizes))
     finite = " AND ".join(f"{c} BETWEEN -1.7976931348623157E308D AND 1.7976931348623157E308D" for c in ("x", "y"))
-    placed = points.where(finite).selectExpr("point_id", "x", "y", f"inline(array({cells}))").selectExpr(
+    places, count = materialise(points.select("point_id", "x", "y"), "places")
+    places = places.repartition(max(1, math.ceil(count / POINTS_PER_TASK)))
+    placed = places.where(finite).selectExpr("point_id", "x", "y", f"inline(array({cells}))").selectExpr(
         "point_id", "x", "y", "admin_level", "e", "floor(x / size) AS gx", "floor(y / size) AS gy"
     )
     side = cover.hint("broadcast" if (seen["bytes"] or 0) <= max_bytes else "merge")

@@ -257,3 +257,11 @@ def test_plan_is_an_equality_join_with_partial_means(spark, plan):
     text = plan(regional_series(observations(spark, [(1, DAY, 1.0)]), pts, polygons))
     assert "BroadcastHashJoin" in text and "partial_sum" in text
     assert "NestedLoop" not in text and "CartesianProduct" not in text
+
+
+def test_points_of_one_split_are_located_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(rg, "POINTS_PER_TASK", 100)
+    pts = spark.range(1000).coalesce(1).selectExpr("id AS point_id", "CAST(id % 40 AS DOUBLE) + 0.5 AS x", "CAST(id % 30 AS DOUBLE) AS y")
+    clean = rg.admin_polygons_clean(spark.createDataFrame(rows_of("comarca", polygon(box(0, 0, 50, 50))), COLUMNS))
+    found = rg.locate_points(pts, clean).select("point_id", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r["point_id"] for r in found) == list(range(1000)) and len({r["task"] for r in found}) == 10
