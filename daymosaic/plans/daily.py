@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import IMAGES_PER_GROUP, ROWS_PER_GROUP
 from daymosaic.functions.curve import morton
+from daymosaic.functions.sizing import materialise
 from daymosaic.functions.text import partition_digits
 from daymosaic.operators.flatten import flatten_results
 from daymosaic.operators.quality import rejected
@@ -65,15 +66,17 @@ def accepted_and_rejected(results: DataFrame) -> list[DataFrame]:
 
 def publish_days(
     spark: SparkSession, results: DataFrame, indicators: DayDataset, rejects: DayDataset, run_date: dt.date,
-    txn: str | None = None, sources: DataFrame | None = None,
+    txn: str | None = None, sources: DataFrame | None = None, keep: bool = False,
 ) -> list[dt.date]:
     """Publish the days of the window whose result files are new or changed; failed rows go to ``rejects``.
 
     ``results`` is read from files, unless ``sources`` says what its days come from. A window has 381 days, so those
-    to publish become a literal list and the reader skips every other folder or row group.
+    to publish become a literal list and the reader skips every other folder or row group. Results that are
+    themselves computed, not just read, are written once (``keep``), as accepted and rejected rows both come from them.
     """
     def make(days: list[dt.date]) -> list[DataFrame]:
-        return accepted_and_rejected(results.where(F.col("date").isin(days)))
+        asked = results.where(F.col("date").isin(days))
+        return accepted_and_rejected(materialise(asked, "asked")[0] if keep else asked)
 
     return publish(spark, [indicators, rejects], file_sources(results) if sources is None else sources, make, run_date, txn)
 

@@ -330,3 +330,23 @@ def test_intermediate_folders_can_be_removed(spark):
     finally:
         sizing._made[:] = [p for p in kept if p not in made]
     assert not [f for f in os.listdir(root) if f.startswith("gone-")]
+
+
+def test_only_the_latest_rows_asked_for_come_out(spark, tmp_path):
+    source = str(tmp_path / "results")
+    deliver(spark, source, result(1, [layer(1)], OK), result(2, [layer(1)], OK))
+    deliver(spark, source, at(result(1, [layer(1)], OK), D2))
+
+    def latest(day):
+        rows = latest_delivery(spark.read.schema(RESULTS).parquet(source), ("province", "point_id"), F.col("date") == F.lit(day))
+        return sorted((r["point_id"], r["date"]) for r in rows.collect())
+
+    assert latest(D1) == [(2, D1)] and latest(D2) == [(1, D2)]              # what counts of the first was delivered for another day
+
+
+def test_a_batch_finds_its_latest_rows_once(spark, tmp_path):
+    run, (indicators, rejects) = dt.date(2025, 11, 24), datasets(tmp_path)
+    deliver(spark, str(tmp_path / "r"), result(1, [layer(1)], OK), result(2, [layer(1)], OK, "failed"))
+    before = len(sizing._made)
+    stream_days(spark, str(tmp_path / "r"), indicators, rejects, str(tmp_path / "log"), run)
+    assert sum("/asked-" in p for p in sizing._made[before:]) == 1 and published(spark, indicators) == [(1, D1)]
