@@ -16,6 +16,9 @@ MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 ROW_OVERHEAD = 32
 
+#: pairs a task of a join makes that returns many rows for each of its larger side
+PAIRS_PER_TASK = 4_000_000
+
 
 def _fixed_width(dtype: T.DataType) -> int | None:
     """Bytes of a value of ``dtype``, or None where values differ in length."""
@@ -93,6 +96,19 @@ def small_side(
     return df.hint("broadcast" if fits_broadcast(df, max_bytes, at_most_rows, text_bytes) else "merge")
 
 
+def spread_by_pairs(df: DataFrame, partners: DataFrame, same: Column, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+    """``df`` in as many tasks as the pairs need that it makes with a side it is joined to.
+
+    ``partners`` has each key of that side once with the number of ``partners`` a row meets there; ``same`` compares keys.
+    Without this the tasks of ``df`` follow its own bytes, and each has as much more to do as its rows have partners.
+    Only keys are read to count. Rows are dealt out one by one, so a key with many of them or with many partners is spread
+    like all others; where one task's pairs suffice, ``df`` stays where it is.
+    """
+    pairs = df.join(partners, same).agg(F.sum("partners")).first()[0] or 0
+    tasks = -(-pairs // pairs_per_task)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 _made: list[str] = []
 
 

@@ -2,8 +2,9 @@
 
 Weather is the large side. It is reduced to cells that hold a point before anything else and stays flat, one row a
 record, up to the edge: a cell and day with a third of all weather is many rows, never one list in one task.
-Cells and days without weather come in as filler rows. The point table is broadcast when a count shows it is small; then
-weather does not move at all. Lists are made last, by who wants them.
+Cells and days without weather come in as filler rows. Points come to them as lists of a cell, broadcast when they are
+small; then weather moves only to be spread over as many tasks as the result needs. Lists of weather are made last, by who
+wants them.
 """
 
 from __future__ import annotations
@@ -15,12 +16,17 @@ from pyspark.sql import functions as F
 
 from daymosaic.fixed_values import HULL_MARGIN, WEATHER_UNUSED, WEATHER_VARS
 from daymosaic.functions.grid import cell_number
-from daymosaic.functions.sizing import MAX_BROADCAST_BYTES, materialise, small_side
+from daymosaic.functions.sizing import (
+    MAX_BROADCAST_BYTES, PAIRS_PER_TASK, materialise, row_bytes, small_side, spread_by_pairs, written,
+)
 from daymosaic.schemas import GridSpec
 
 #: blocks per side of the area when there are more
 BOX_BLOCKS = 64
 
+#: points a list of a cell's points has about at most
+POINTS_PER_LIST = 512
+
 
 def with_cell(points: DataFrame, spec: GridSpec) -> DataFrame:
     """Add the cell of (x, y); NULL outside the grid."""
@@ -128,20 +134,44 @@ def with_day_totals(rows: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> Da
     return rows.join(small_side(totals, max_bytes, count), same).drop("_cell", "_dates")
 
 
+def points_of_cells(points: DataFrame, per_cell: DataFrame) -> DataFrame:
+    """Points as lists (cell, _points), as many of a cell as keep each at about ``POINTS_PER_LIST``.
+
+    ``per_cell`` has each cell (``_cell``) once with its number of points, ``partners``. A point's list comes from its own
+    values, which makes a retried task assign the same points again; copies of a point share a list.
+    """
+    same_cell = F.col("cell").eqNullSafe(F.col("_cell"))
+    lists = F.ceil(F.col("partners") / F.lit(POINTS_PER_LIST))
+    return (
+        points.join(per_cell, same_cell)
+        .groupBy("cell", F.pmod(F.xxhash64(*points.columns), lists).alias("_list"))
+        .agg(F.collect_list(F.struct(*[c for c in points.columns if c != "cell"])).alias("_points")).drop("_list")
+    )
+
+
 def weather_to_points(
-    points: DataFrame, rows: DataFrame, filled: bool = False, max_bytes: int = MAX_BROADCAST_BYTES
+    points: DataFrame, rows: DataFrame, filled: bool = False, max_bytes: int = MAX_BROADCAST_BYTES, pairs_per_task: int = PAIRS_PER_TASK
 ) -> DataFrame:
     """Every point with the weather rows of its cell; NULL where there is none.
 
-    An inner join, which leaves the weather where it is while the point table is
-    small; otherwise both sides are shuffled, and a cell with much of the data can
-    be split on either side. Points that found nothing are added, unless the
-    rows are ``filled`` and every point finds some.
+    An inner join with the points of a cell as lists. Its result is all their pairs, so its work is counted in pairs: the
+    weather stays where it is while they are few, and is spread over tasks of about ``pairs_per_task`` otherwise. With
+    more than ``max_bytes`` of points both sides are shuffled, and a cell with much of the data can be split
+    on either side. Points that found nothing are added, unless the rows are ``filled`` and every point finds some.
     """
     columns = [*points.columns, *[c for c in rows.columns if c != "cell"]]
     rows = rows.withColumnRenamed("cell", "_cell")
     same_cell = F.col("cell").eqNullSafe(F.col("_cell"))
-    matched = rows.join(small_side(points, max_bytes), same_cell).select(*columns)
+    counted, cells = materialise(
+        points.groupBy(F.col("cell").alias("_cell")).agg(F.count(F.lit(1)).alias("partners")), "points-per-cell")
+    lists = points_of_cells(points, small_side(counted, max_bytes, cells))
+    lists, seen = written(lists, "points-of-cells", bytes=F.sum(row_bytes(lists)))
+    if (seen["bytes"] or 0) <= max_bytes:
+        per_cell = small_side(counted.withColumnRenamed("_cell", "cell"), max_bytes, cells)
+        met = spread_by_pairs(rows, per_cell, same_cell, pairs_per_task).join(lists.hint("broadcast"), same_cell)
+    else:
+        met = rows.join(lists.hint("merge"), same_cell)
+    matched = met.select(F.inline("_points"), "cell", *columns[len(points.columns):]).select(*columns)
     if filled:
         return matched
     lonely = points.join(rows.select("_cell").distinct(), same_cell, "left_anti")

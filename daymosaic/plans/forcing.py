@@ -24,7 +24,7 @@ def filled_weather(placed: DataFrame, weather: DataFrame, spec: GridSpec, dates:
     once, as several steps use them.
     """
     spark, days = placed.sparkSession, sorted(set(dates))
-    asked = spark.createDataFrame([(d,) for d in days], "date date")
+    asked = spark.range(1).select(F.explode(F.array(*[F.lit(d) for d in days])).alias("date"))
     observed = weather.where(F.col("dates").between(F.lit(days[0]), F.lit(days[-1]))).select(F.col("dates").alias("date"))
     materialise(assert_dates_present(asked, observed), "days")
     boxes, _ = materialise(province_bbox(placed), "boxes")

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from collections import Counter
 
 import pyarrow.parquet as pq
 import pytest
@@ -125,6 +126,33 @@ def test_a_cell_and_day_with_a_third_of_all_weather_is_spread(spark, max_bytes):
         assert sizes[-1] < 4000
 
 
+def test_tasks_follow_the_pairs_and_not_the_bytes_of_the_weather(spark):
+    """Few weather rows with many points each: more tasks, none with much more than its share of the result."""
+    pts = w.with_cell(points(spark, [(1, i % 190, 0.5, 0.5) for i in range(200)] + [(2, 900, 99.0, 0.5), (2, 901, 3.5, 0.5)]), GRID)
+    rows, _ = materialise(spark.createDataFrame(
+        [(91, D1, i // 2) for i in range(400)] + [(None, D1, 7000), (94, D2, None)], "cell long, dates date, obs_id long").coalesce(1), "rows")
+    got = w.weather_to_points(pts, rows, filled=True, pairs_per_task=5000).withColumn("task", F.spark_partition_id()).collect()
+    want = Counter((i % 190, D1, k // 2) for i in range(200) for k in range(400)) + Counter([(900, D1, 7000), (901, D2, None)])
+    assert Counter((r["point_id"], r["dates"], r["obs_id"]) for r in got) == want
+    sizes = Counter(r["task"] for r in got).values()
+    assert len(sizes) >= 16 and max(sizes) <= 2 * 5000
+
+
+@pytest.mark.parametrize("max_bytes", [10**9, 0])
+def test_points_of_a_full_cell_come_in_several_lists(spark, max_bytes):
+    many = 3 * w.POINTS_PER_LIST
+    pts = w.with_cell(points(spark, [(1, i, 0.5, 0.5) for i in range(many)] + [(1, many, 1.5, 0.5), (1, many + 1, 99.0, 0.5)]), GRID)
+    per_cell = pts.groupBy(F.col("cell").alias("_cell")).agg(F.count(F.lit(1)).alias("partners"))
+    lists = [(r["cell"], [p["point_id"] for p in r["_points"]]) for r in w.points_of_cells(pts, per_cell).collect()]
+    assert sorted(i for _, some in lists for i in some) == list(range(many + 2))
+    assert sorted((c for c, _ in lists if c != 91), key=str) == [92, None] and sum(c == 91 for c, _ in lists) == 3
+    assert max(len(some) for _, some in lists) < 1.3 * w.POINTS_PER_LIST
+    rows = spark.createDataFrame([(91, D1, 1), (91, D1, 2), (93, D1, 3)], "cell long, dates date, obs_id long")
+    got = w.weather_to_points(pts, rows, max_bytes=max_bytes).collect()
+    assert sorted((r["point_id"], r["obs_id"] or 0) for r in got) == sorted(
+        [(i, k) for i in range(many) for k in (1, 2)] + [(many, 0), (many + 1, 0)])
+
+
 def test_lists_are_made_at_the_edge_by_the_callers_number(spark):
     rows = [(i, 0.5, 0.5, D1, float(i)) for i in range(1000)] + [(5000, 1.5, 0.5, D1, 7.0)]
     gridded = w.weather_on_grid(weather(spark, rows), GRID)
