@@ -3,8 +3,8 @@
 Weather is the large side. It is reduced to cells that hold a point before anything else and stays flat, one row a
 record, up to the edge: a cell and day with a third of all weather is many rows, never one list in one task.
 Cells and days without weather come in as filler rows. Points come to them as lists of a cell, broadcast when they are
-small; then weather moves only to be spread over as many tasks as the result needs. Lists of weather are made last, by who
-wants them.
+small; then weather moves only to be spread over as many tasks as the result needs, few cells to a task. Lists of weather
+are made last, by who wants them.
 """
 
 from __future__ import annotations
@@ -155,9 +155,11 @@ def weather_to_points(
     """Every point with the weather rows of its cell; NULL where there is none.
 
     An inner join with the points of a cell as lists. Its result is all their pairs, so its work is counted in pairs: the
-    weather stays where it is while they are few, and is spread over tasks of about ``pairs_per_task`` otherwise. With
-    more than ``max_bytes`` of points both sides are shuffled, and a cell with much of the data can be split
-    on either side. Points that found nothing are added, unless the rows are ``filled`` and every point finds some.
+    weather stays where it is while they are few, and is spread over tasks of about ``pairs_per_task`` otherwise, the rows
+    of a cell one after the other: the result has a row for each pair, but written in columns it repeats itself, and takes
+    little more room for more points. With more than ``max_bytes`` of points both sides are shuffled, and a cell with much
+    of the data can be split on either side. Points that found nothing are added, unless the rows are ``filled`` and every
+    point finds some.
     """
     columns = [*points.columns, *[c for c in rows.columns if c != "cell"]]
     rows = rows.withColumnRenamed("cell", "_cell")
@@ -167,8 +169,7 @@ def weather_to_points(
     lists = points_of_cells(points, small_side(counted, max_bytes, cells))
     lists, seen = written(lists, "points-of-cells", bytes=F.sum(row_bytes(lists)))
     if (seen["bytes"] or 0) <= max_bytes:
-        per_cell = small_side(counted.withColumnRenamed("_cell", "cell"), max_bytes, cells)
-        met = spread_by_pairs(rows, per_cell, same_cell, pairs_per_task).join(lists.hint("broadcast"), same_cell)
+        met = spread_by_pairs(rows, small_side(counted, max_bytes, cells), "_cell", pairs_per_task).join(lists.hint("broadcast"), same_cell)
     else:
         met = rows.join(lists.hint("merge"), same_cell)
     matched = met.select(F.inline("_points"), "cell", *columns[len(points.columns):]).select(*columns)

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 from collections import Counter
+from itertools import groupby
 
 import pyarrow.parquet as pq
 import pytest
@@ -138,6 +139,43 @@ def test_tasks_follow_the_pairs_and_not_the_bytes_of_the_weather(spark):
     assert len(sizes) >= 16 and max(sizes) <= 2 * 5000
 
 
+def many_pairs(spark, points_a_cell):
+    """60 cells with 40 records and a filler each, in turn; one cell has 3000 records more."""
+    pts = w.with_cell(points(spark, [(1, 7919 * i % 100003, i % 10 + 0.5, i // 10 % 6 + 0.5) for i in range(60 * points_a_cell)]), GRID)
+    cells = [r["cell"] for r in w.cells_of(pts).orderBy("cell").collect()]
+    assert len(cells) == 60
+    records = [(cells[k % 60], D1, k) for k in range(2400)] + [(c, D2, None) for c in cells] + [(cells[7], D1, 5000 + k) for k in range(3000)]
+    rows, _ = materialise(spark.createDataFrame(records, "cell long, dates date, obs_id long").coalesce(1), "rows")
+    return pts, rows, records
+
+
+def test_a_task_has_the_rows_of_few_cells_one_cell_after_the_other(spark):
+    pts, rows, records = many_pairs(spark, 30)
+    out = w.weather_to_points(pts, rows, filled=True, pairs_per_task=6000)
+    got = out.withColumn("task", F.spark_partition_id()).collect()
+    of_cell = {c: [p["point_id"] for p in pts.collect() if p["cell"] == c] for c in {r[0] for r in records}}
+    assert Counter((r["point_id"], r["dates"], r["obs_id"]) for r in got) == Counter((p, d, k) for c, d, k in records for p in of_cell[c])
+    tasks = {t: [r for r in got if r["task"] == t] for t in {r["task"] for r in got}}
+    assert len(tasks) >= 20 and max(len(rs) for rs in tasks.values()) <= 1.5 * 6000
+    for rs in tasks.values():
+        assert len({r["cell"] for r in rs}) <= 8
+        places = [(r["obs_id"] is None, r["cell"]) for r in rs]
+        assert [k for k, _ in groupby(places)] == sorted(set(places))       # fillers last
+    other = w.weather_to_points(pts, rows, filled=True, pairs_per_task=5000)
+    assert out.unionByName(other).count() == 2 * len(got) and out.join(other, out.columns, "left").count() == len(got)
+
+
+def test_what_is_written_follows_the_weather_and_not_the_pairs(spark, tmp_path):
+    """Eight times the points a cell make eight times the rows, but nothing near eight times the bytes."""
+    sizes = []
+    for n in (30, 240):
+        pts, rows, records = many_pairs(spark, n)
+        w.weather_to_points(pts, rows, filled=True, pairs_per_task=6000 * n // 30).write.parquet(str(tmp_path / str(n)))
+        assert spark.read.parquet(str(tmp_path / str(n))).count() == n * len(records)
+        sizes.append(sum(f.stat().st_size for f in (tmp_path / str(n)).glob("*.parquet")))
+    assert sizes[1] < 4 * sizes[0]
+
+
 @pytest.mark.parametrize("max_bytes", [10**9, 0])
 def test_points_of_a_full_cell_come_in_several_lists(spark, max_bytes):
     many = 3 * w.POINTS_PER_LIST
