@@ -103,13 +103,13 @@ def small_side(
 
 
 def spread_by_pairs(df: DataFrame, partners: DataFrame, key: str, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
-    """``df`` in as many tasks as the pairs need that it makes with a side it is joined to, rows of a ``key`` one after the other.
+    """``df`` in as many tasks as the pairs need that it makes with a side it is joined to, few keys in each.
 
     ``partners`` has each ``key`` of that side once with the number of ``partners`` a row meets there; other rows go.
     Without this the tasks of ``df`` follow its own bytes, and each has as much more to do as its rows have partners.
     All pairs are thought of as one line, key after key, and tasks take equal pieces of it: a piece is many whole keys, or
-    part of one that has many rows or many partners. So a task meets few partners again and again, and what it writes in
-    columns is mostly runs and repeats. A row's place among those of its key comes from its own values, which makes a
+    part of one that has many rows or many partners. So a task meets few partners again and again, and its dictionaries
+    of them stay small. A row's place among those of its key comes from its own values, which makes a
     retried task send it to the same task again; copies of a row stay together. Only keys are read to count. Where one
     task's pairs suffice, ``df`` stays as it is.
     """
@@ -135,11 +135,18 @@ def spread_by_pairs(df: DataFrame, partners: DataFrame, key: str, pairs_per_task
     share = F.pmod(F.xxhash64(*columns), F.lit(1 << 31).cast("bigint")) / F.lit(float(1 << 31))
     task = F.floor((F.col("_start") + F.floor(share * F.col("_pairs"))) / F.lit(pairs_per_task)).cast("int")
     placed = df.join(small_side(keys, at_most_rows=count), same).select(*columns, task.alias("_task"))
-    # rows that lack values come last: a first page of nulls alone makes a Parquet writer give up its dictionary for good
-    lacking = sum((c.isNull().cast("int") for c in columns), F.lit(0))
-    ordered = placed.repartitionById(tasks, "_task").drop("_task").sortWithinPartitions(lacking, key)
+    return placed.repartitionById(tasks, "_task").drop("_task")
+
+
+def side_by_side(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` with the rows of equal ``keys`` in a task one after the other, also below a join.
+
+    Rows that lack values come last: a first page of nulls alone makes a Parquet writer give up its dictionary for good.
+    """
+    lacking = sum((F.col(f"`{c}`").isNull().cast("int") for c in df.columns), F.lit(0))
+    ordered = df.sortWithinPartitions(lacking, *keys)
     # Spark drops a sort right below a join; it keeps one below a metric
-    return ordered.observe(f"moved-{uuid.uuid4().hex[:12]}", F.count(F.lit(1)).alias("rows"))
+    return ordered.observe(f"ordered-{uuid.uuid4().hex[:12]}", F.count(F.lit(1)).alias("rows"))
 
 
 _made: list[str] = []

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from daymosaic.fixed_values import HULL_MARGIN, WEATHER_UNUSED, WEATHER_VARS
 from daymosaic.functions.grid import cell_number
 from daymosaic.functions.sizing import (
-    MAX_BROADCAST_BYTES, PAIRS_PER_TASK, materialise, row_bytes, small_side, spread_by_pairs, written,
+    MAX_BROADCAST_BYTES, PAIRS_PER_TASK, materialise, row_bytes, side_by_side, small_side, spread_by_pairs, written,
 )
 from daymosaic.schemas import GridSpec
 
@@ -27,6 +27,9 @@ BOX_BLOCKS = 64
 #: points a list of a cell's points has about at most
 POINTS_PER_LIST = 512
 
+#: lists that are cut from points gathered at once
+LISTS_AT_ONCE = 16
+
 
 def with_cell(points: DataFrame, spec: GridSpec) -> DataFrame:
     """Add the cell of (x, y); NULL outside the grid."""
@@ -135,18 +138,24 @@ def with_day_totals(rows: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> Da
 
 
 def points_of_cells(points: DataFrame, per_cell: DataFrame) -> DataFrame:
-    """Points as lists (cell, _points), as many of a cell as keep each at about ``POINTS_PER_LIST``.
+    """Points as lists (cell, _list, _points), as many of a cell as keep each at about ``POINTS_PER_LIST``.
 
-    ``per_cell`` has each cell (``_cell``) once with its number of points, ``partners``. A point's list comes from its own
-    values, which makes a retried task assign the same points again; copies of a point share a list.
+    ``per_cell`` has each cell (``_cell``) once with its number of points, ``partners``. Points are gathered by a hash of
+    their values, which makes a retried task gather the same points again; copies of a point meet. Lists cut from them have
+    equal lengths but for the last one, multiples of 8: Parquet packs values by eights, and a list that fills them repeats to the byte.
     """
     same_cell = F.col("cell").eqNullSafe(F.col("_cell"))
-    lists = F.ceil(F.col("partners") / F.lit(POINTS_PER_LIST))
-    return (
+    groups = F.ceil(F.col("partners") / F.lit(POINTS_PER_LIST * LISTS_AT_ONCE))
+    gathered = (
         points.join(per_cell, same_cell)
-        .groupBy("cell", F.pmod(F.xxhash64(*points.columns), lists).alias("_list"))
-        .agg(F.collect_list(F.struct(*[c for c in points.columns if c != "cell"])).alias("_points")).drop("_list")
+        .groupBy("cell", F.pmod(F.xxhash64(*points.columns), groups).alias("_group"))
+        .agg(F.collect_list(F.struct(*[c for c in points.columns if c != "cell"])).alias("_all"))
     )
+    lists = F.ceil(F.size("_all") / F.lit(POINTS_PER_LIST))
+    length = (F.ceil(F.size("_all") / lists / F.lit(8)) * F.lit(8)).cast("int")
+    cut = F.transform(F.sequence(F.lit(1), F.size("_all"), length), lambda first: F.slice("_all", first, length))
+    return gathered.select("cell", "_group", F.posexplode(cut).alias("_place", "_points")).select(
+        "cell", F.concat_ws("/", "_group", "_place").alias("_list"), "_points")
 
 
 def weather_to_points(
@@ -155,11 +164,11 @@ def weather_to_points(
     """Every point with the weather rows of its cell; NULL where there is none.
 
     An inner join with the points of a cell as lists. Its result is all their pairs, so its work is counted in pairs: the
-    weather stays where it is while they are few, and is spread over tasks of about ``pairs_per_task`` otherwise, the rows
-    of a cell one after the other: the result has a row for each pair, but written in columns it repeats itself, and takes
-    little more room for more points. With more than ``max_bytes`` of points both sides are shuffled, and a cell with much
-    of the data can be split on either side. Points that found nothing are added, unless the rows are ``filled`` and every
-    point finds some.
+    weather stays where it is while they are few, and is spread over tasks of about ``pairs_per_task`` otherwise. A task
+    takes list after list, and with each all its weather: the result has a row for each pair, but written in columns it
+    is runs of weather and repeats of a list, and takes little more room for more points. With more than ``max_bytes`` of
+    points both sides are shuffled, and a cell with much of the data can be split on either side. Points that found
+    nothing are added, unless the rows are ``filled`` and every point finds some.
     """
     columns = [*points.columns, *[c for c in rows.columns if c != "cell"]]
     rows = rows.withColumnRenamed("cell", "_cell")
@@ -169,7 +178,10 @@ def weather_to_points(
     lists = points_of_cells(points, small_side(counted, max_bytes, cells))
     lists, seen = written(lists, "points-of-cells", bytes=F.sum(row_bytes(lists)))
     if (seen["bytes"] or 0) <= max_bytes:
-        met = spread_by_pairs(rows, small_side(counted, max_bytes, cells), "_cell", pairs_per_task).join(lists.hint("broadcast"), same_cell)
+        moved = spread_by_pairs(rows, small_side(counted, max_bytes, cells), "_cell", pairs_per_task)
+        numbers = lists.select("cell", F.col("_list").alias("_number"))
+        meetings = side_by_side(moved.join(numbers.hint("broadcast"), same_cell).drop("cell"), "_cell", "_number")
+        met = meetings.join(lists.hint("broadcast"), same_cell & (F.col("_number") == F.col("_list")))
     else:
         met = rows.join(lists.hint("merge"), same_cell)
     matched = met.select(F.inline("_points"), "cell", *columns[len(points.columns):]).select(*columns)
